@@ -1,0 +1,6 @@
+"""Nothing to stream: every flow is a batch that replaces its table.
+
+The silver operators are row-wise plus lookups in a static table, so they also accept a
+streaming DataFrame as they are (``tests/test_streaming.py``); no streaming operator of
+its own is needed for that.
+"""
