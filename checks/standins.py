@@ -14,10 +14,15 @@ Lines, orders, customers and suppliers are all large, so joining them is left to
 below its broadcast threshold a side is broadcast, above it the join shuffles on its key
 and adaptive execution splits hot partitions. Customers and suppliers only contribute the
 locations; a query that needs none (``located=False``) does not read them.
+
+The functions are cached per session: what is kept are lazy plans, never rows, so that
+sixty queries do not list the same files and analyze the same projections sixty times.
 """
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,10 +42,12 @@ PERIODS = {
 }
 
 
+@cache
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@cache
 def zones_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
     service = (
@@ -68,6 +75,7 @@ def _with_nation(
     return df.join(parties, F.col(on) == F.col(key), "left")
 
 
+@cache
 def _ordered(spark: SparkSession, sf_dir: str, located: bool) -> DataFrame:
     """Orders with the customer's nation and a time of day."""
     orders = table(spark, sf_dir, "orders")
@@ -81,6 +89,7 @@ def _ordered(spark: SparkSession, sf_dir: str, located: bool) -> DataFrame:
     )
 
 
+@cache
 def lines_raw(
     spark: SparkSession, sf_dir: str, prefix: str, returned: bool, located: bool
 ) -> DataFrame:
@@ -119,6 +128,7 @@ def lines_raw(
     )
 
 
+@cache
 def orders_raw(spark: SparkSession, sf_dir: str, located: bool) -> DataFrame:
     return _ordered(spark, sf_dir, located).select(
         F.concat(F.lit("B"), "o_orderstatus").alias("dispatching_base_num"),
@@ -131,6 +141,7 @@ def orders_raw(spark: SparkSession, sf_dir: str, located: bool) -> DataFrame:
     )
 
 
+@cache
 def events_raw(spark: SparkSession, sf_dir: str, located: bool) -> DataFrame:
     events = table(spark, sf_dir, "events")
     joined = _with_nation(spark, sf_dir, events, "user_id", "customer", "c_custkey", located)
@@ -172,19 +183,12 @@ def raw(spark: SparkSession, sf_dir: str, taxi_type: str, located: bool = True)
     return (orders_raw if taxi_type == "fhv" else events_raw)(spark, sf_dir, located)
 
 
-_ZONES: dict[tuple[str, str], int] = {}
-
-
+@cache
 def zones(spark: SparkSession, sf_dir: str) -> Dimension:
-    """The zone dimension, counted once per session and folder."""
-    known = (spark.sparkContext.applicationId, sf_dir)
-    if known not in _ZONES:
-        _ZONES[known] = zone_lookup(zones_raw(spark, sf_dir)).rows
-    named = zones_raw(spark, sf_dir).toDF("location_id", "borough", "zone", "service_zone")
-    frame = named.withColumn("location_id", F.col("location_id").cast("int"))
-    return Dimension(frame, "location_id", _ZONES[known])
+    return zone_lookup(zones_raw(spark, sf_dir))
 
 
+@cache
 def silver(
     spark: SparkSession,
     sf_dir: str,
@@ -202,12 +206,14 @@ def silver(
     )
 
 
+@cache
 def unified(
     spark: SparkSession, sf_dir: str, with_zones: bool = True, located: bool = True
 ) -> DataFrame:
     return union_all_types({t: silver(spark, sf_dir, t, with_zones, located) for t in PERIODS})
 
 
+@cache
 def dimensions(spark: SparkSession, sf_dir: str, date: Dimension | None = None) -> StarDimensions:
     return star_dimensions(spark, zones(spark, sf_dir), date)
 

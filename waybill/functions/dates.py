@@ -68,3 +68,8 @@ def months_between(start: str, stop: str) -> str:
 def days_between(start: str, stop: str) -> str:
     """Array of dates, both days included."""
     return _steps(start, stop, "DAY")
+
+
+def window_end(last_day: str) -> str:
+    """Exclusive end of a validity window, as an expression over the last ingested day."""
+    return f"add_months(trunc({last_day}, 'MM'), 1)"

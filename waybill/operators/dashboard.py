@@ -12,7 +12,7 @@ from waybill.operators.dimensions import StarDimensions
 from waybill.operators.marts import SERVICE_DESCRIPTION, Axis, star_rollup
 
 
-def _with_share(groups: DataFrame, count: str, share: str) -> DataFrame:
+def with_share(groups: DataFrame, count: str, share: str) -> DataFrame:
     """Share of the grand total. The window is global, but its input is already aggregated
     to one row per label, so the single partition it needs stays small."""
     return groups.selectExpr("*", f"{share_of_total(count, f'SUM({count}) OVER ()')} AS {share}")
@@ -22,7 +22,7 @@ def airport_share(fact: DataFrame, dims: StarDimensions) -> DataFrame:
     """Airport trips per service type and their share of all airport trips."""
     trips = star_rollup(fact.filter(F.col("is_airport_trip")), dims, (SERVICE_DESCRIPTION,))
     counted = trips.withColumnRenamed("trips", "airport_trip_count")
-    return _with_share(counted, "airport_trip_count", "airport_trip_pct").orderBy(
+    return with_share(counted, "airport_trip_count", "airport_trip_pct").orderBy(
         F.desc("airport_trip_pct")
     )
 
@@ -48,7 +48,7 @@ def zone_share(fact: DataFrame, dims: StarDimensions) -> DataFrame:
     """Trips per pickup zone and their share of all trips."""
     axis = Axis("pickup_zone_key", "zone", {"zone": "zone", "borough": "borough"})
     trips = star_rollup(fact, dims, (axis,)).withColumnRenamed("trips", "trip_count")
-    return _with_share(trips, "trip_count", "trip_pct").orderBy(F.desc("trip_count"))
+    return with_share(trips, "trip_count", "trip_pct").orderBy(F.desc("trip_count"))
 
 
 def chart_total(dataset: DataFrame, axis: str, measure: str) -> DataFrame:
