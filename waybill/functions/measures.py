@@ -75,9 +75,12 @@ class Measure:
     def finished(self) -> list[str]:
         """Output columns from merged aggregates."""
         summed = self._value(self.sum_name)
-        out = [f"{summed} AS {self.total}"] if self.total else []
+        out = []
         if self.average:
-            out.append(f"try_divide(CAST({summed} AS DOUBLE), CAST({self.count_name} AS DOUBLE)) AS {self.average}")
+            parts = f"CAST({summed} AS DOUBLE), CAST({self.count_name} AS DOUBLE)"
+            out.append(f"try_divide({parts}) AS {self.average}")
+        if self.total:
+            out.append(f"{summed} AS {self.total}")
         return out
 
     def total_in_one(self) -> str:
