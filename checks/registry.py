@@ -19,6 +19,7 @@ from checks.sql import (
     REVENUE_MONTHLY,
     exact_avg,
     exact_sum,
+    half_up,
     over_sources,
     share,
     whole_avg,
@@ -959,8 +960,8 @@ def cube_trips(spark, sf_dir):
 @query(
     "q_monthly_average",
     over_sources(
-        """SELECT year, month, trips, round(avg_total_amount, 2) AS avg_total_amount_por_corrida,
-                  round(sum_total_amount, 2) AS total_recebido_no_mes
+        f"""SELECT year, month, trips, {half_up('avg_total_amount', 2)} AS avg_total_amount_por_corrida,
+                  {half_up('sum_total_amount', 2)} AS total_recebido_no_mes
            FROM mart WHERE service_type = 'yellow'""",
         f"mart AS ({REVENUE_MONTHLY})",
     ),
@@ -969,12 +970,15 @@ def q_monthly_average(spark, sf_dir):
     return questions.monthly_average(_revenue(spark, sf_dir))
 
 
+AVERAGE_OF_AVERAGES = """CAST(sum(CAST(round_even(avg_total_amount * 1e6, 0) AS BIGINT)) AS DOUBLE) / 1e6
+                        / count(avg_total_amount)"""
+
+
 @query(
     "q_average_of_months",
     over_sources(
-        f"""SELECT round({exact_avg('sum_total_amount')}, 2) AS media_total_recebido_por_mes,
-                  round((CAST(sum(CAST(round_even(avg_total_amount * 1e6, 0) AS BIGINT)) AS DOUBLE) / 1e6)
-                        / count(avg_total_amount), 2) AS media_total_amount_por_corrida
+        f"""SELECT {half_up(exact_avg('sum_total_amount'), 2)} AS media_total_recebido_por_mes,
+                  {half_up(AVERAGE_OF_AVERAGES, 2)} AS media_total_amount_por_corrida
            FROM mart WHERE service_type = 'yellow'""",
         f"mart AS ({REVENUE_MONTHLY})",
     ),
@@ -986,7 +990,7 @@ def q_average_of_months(spark, sf_dir):
 @query(
     "q_passengers_by_hour",
     over_sources(
-        f"""SELECT hour, period_of_day, round({whole_avg('passenger_count')}, 3) AS avg_passenger_count,
+        f"""SELECT hour, period_of_day, {half_up(whole_avg('passenger_count'), 3)} AS avg_passenger_count,
                   count(passenger_count) AS trips_com_passageiros
            FROM starred WHERE month = 5 GROUP BY 1, 2"""
     ),
@@ -1004,8 +1008,8 @@ def _yellow(spark: SparkSession, sf_dir: str) -> DataFrame:
     "q_silver_monthly",
     over_sources(
         f"""SELECT CAST(year(pickup_datetime) AS INTEGER) AS ano, CAST(month(pickup_datetime) AS INTEGER) AS mes,
-                  count(*) AS qt_corridas, round({exact_avg('total_amount')}, 2) AS media_total_amount,
-                  round({exact_sum('total_amount')}, 2) AS soma_total_amount
+                  count(*) AS qt_corridas, {half_up(exact_avg('total_amount'), 2)} AS media_total_amount,
+                  {half_up(exact_sum('total_amount'), 2)} AS soma_total_amount
            FROM valid_line WHERE service_type = 'yellow' GROUP BY 1, 2"""
     ),
 )
@@ -1016,7 +1020,7 @@ def q_silver_monthly(spark, sf_dir):
 @query(
     "q_silver_overall",
     over_sources(
-        f"""SELECT round({exact_avg('total_amount')}, 2) AS media_total_amount_periodo
+        f"""SELECT {half_up(exact_avg('total_amount'), 2)} AS media_total_amount_periodo
            FROM valid_line WHERE service_type = 'yellow'"""
     ),
 )
@@ -1027,8 +1031,8 @@ def q_silver_overall(spark, sf_dir):
 @query(
     "q_silver_by_hour",
     over_sources(
-        """SELECT CAST(hour(pickup_datetime) AS INTEGER) AS hora_do_dia, count(*) AS qt_corridas,
-                  round(avg(passenger_count), 2) AS media_passageiros
+        f"""SELECT CAST(hour(pickup_datetime) AS INTEGER) AS hora_do_dia, count(*) AS qt_corridas,
+                  {half_up('avg(passenger_count)', 2)} AS media_passageiros
            FROM valid_line WHERE service_type = 'yellow' AND month(pickup_datetime) = 5 GROUP BY 1"""
     ),
 )

@@ -171,6 +171,12 @@ def whole_avg(column: str) -> str:
     return f"CAST(sum({column}) AS DOUBLE) / CAST(nullif(count({column}), 0) AS DOUBLE)"
 
 
+def half_up(value: str, digits: int) -> str:
+    """A double rounded half up by its decimal digits, as Spark rounds. The other engine's
+    own rounding of doubles scales by a power of ten first, which moves ties."""
+    return f"CAST(round(CAST(CAST({value} AS VARCHAR) AS DECIMAL(38, 14)), {digits}) AS DOUBLE)"
+
+
 def share(count: str) -> str:
     """Percentage rounded half up to two decimals, in integers."""
     whole = f"sum({count}) OVER ()"

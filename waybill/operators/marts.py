@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from waybill.functions.measures import Measure
 from waybill.operators.dimensions import StarDimensions
+from waybill.operators.lookup import Dimension
 
 
 @dataclass(frozen=True)
@@ -45,7 +46,6 @@ PAYMENT = Axis(
 )
 
 
-MONTH_OF_KEY = "CAST(pickup_date_key DIV 100 % 100 AS INT)"
 # Year and month of the pickup. Both are digits of the key, and the calendar covers every
 # pickup by construction, so without a stored calendar the inner join comes down to
 # dropping rows that have no pickup date.
@@ -53,7 +53,10 @@ MONTH = Axis(
     "pickup_date_key",
     "date",
     {"year": "year", "month": "month"},
-    derived={"year": "CAST(pickup_date_key DIV 10000 AS INT)", "month": MONTH_OF_KEY},
+    derived={
+        "year": "CAST(pickup_date_key DIV 10000 AS INT)",
+        "month": "CAST(pickup_date_key DIV 100 % 100 AS INT)",
+    },
 )
 
 
@@ -66,11 +69,7 @@ TOTAL_AVERAGE = Measure("total_amount", average="avg_total_amount")
 AIRPORT = Measure("is_airport_trip", total="airport_trips", whole=True)
 
 
-def _label(groups: DataFrame, axis: Axis, dims: StarDimensions) -> DataFrame:
-    dimension = getattr(dims, axis.dimension)
-    if dimension is None:
-        known = groups.filter(f"{axis.foreign_key} IS NOT NULL")
-        return known.selectExpr("*", *[f"{sql} AS {name}" for name, sql in axis.derived.items()])
+def _label(groups: DataFrame, axis: Axis, dimension: Dimension) -> DataFrame:
     side = dimension.frame.selectExpr(
         f"{dimension.key} AS __key", *[f"{a} AS {name}" for a, name in axis.take.items()]
     )
@@ -78,22 +77,28 @@ def _label(groups: DataFrame, axis: Axis, dims: StarDimensions) -> DataFrame:
     return groups.join(side, F.expr(f"{axis.foreign_key} = __key"), how).drop("__key")
 
 
-def _aggregates(parts: Sequence[str]) -> list[Column]:
-    return [F.expr(part) for part in parts]
+def _expressions(parts: Sequence[str]) -> list[Column]:
+    return [F.expr(part) for part in dict.fromkeys(parts)]
 
 
 def star_groups(
     fact: DataFrame, dims: StarDimensions, axes: Sequence[Axis], measures: Sequence[Measure]
 ) -> tuple[DataFrame, list[str], list[Column]]:
     """Facts grouped by foreign keys and labelled; the label names; how to merge groups."""
-    keys = list(dict.fromkeys(axis.foreign_key for axis in axes))
+    joined = [(axis, getattr(dims, axis.dimension)) for axis in axes]
+    keys = [axis.foreign_key for axis, dimension in joined if dimension]
+    for axis, dimension in joined:
+        if dimension is None:  # labels that follow from the key itself
+            fact = fact.filter(f"{axis.foreign_key} IS NOT NULL")
+            keys += [f"{sql} AS {name}" for name, sql in axis.derived.items()]
     partial = ["count(1) AS trips"] + [p for m in measures for p in m.partial()]
-    groups = fact.groupBy(*keys).agg(*_aggregates(partial))
-    for axis in axes:
-        groups = _label(groups, axis, dims)
+    groups = fact.groupBy(*_expressions(keys)).agg(*_expressions(partial))
+    for axis, dimension in joined:
+        if dimension:
+            groups = _label(groups, axis, dimension)
     labels = [name for axis in axes for name in axis.take.values()]
     merge = ["sum(trips) AS trips"] + [c for m in measures for c in m.merged()]
-    return groups, labels, _aggregates(merge)
+    return groups, labels, _expressions(merge)
 
 
 def star_rollup(

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from waybill.functions.measures import Measure
 from waybill.functions.names import detect_pickup_col
 from waybill.operators.dimensions import StarDimensions
-from waybill.operators.marts import HOUR_AND_PERIOD, MONTH, MONTH_OF_KEY, star_groups
+from waybill.operators.marts import HOUR_AND_PERIOD, MONTH, star_groups
 
 
 def monthly_average(revenue_monthly: DataFrame, service_type: str = "yellow") -> DataFrame:
@@ -42,8 +42,6 @@ def passengers_by_hour(fact: DataFrame, dims: StarDimensions, month: int = 5) ->
     """Passengers per hour of the day in one calendar month, weighted by trip. Types that
     report no passengers are ignored by the average and by its count."""
     passengers = Measure("passenger_count", average="average", whole=True)
-    if dims.date is None:
-        fact = fact.filter(f"{MONTH_OF_KEY} = {month}")
     groups, _, merge = star_groups(fact, dims, (MONTH, HOUR_AND_PERIOD), (passengers,))
     by_hour = groups.filter(f"month = {month}").groupBy("hour", "period_of_day").agg(*merge)
     return (
