@@ -83,3 +83,14 @@ def test_comment_ddl():
         "ALTER TABLE s.t ALTER COLUMN b COMMENT 'it''s'",
         "ALTER TABLE s.t ALTER COLUMN a COMMENT 'plain'",
     ]
+
+
+def test_command_line():
+    from waybill.__main__ import parse
+    from waybill.plans.medallion import Medallion
+
+    plan, stages = parse(["--landing", "/in", "--taxi-types", "fhv, yellow", "--no-dedup", "--stages", "silver,gold"])
+    assert plan == Medallion(landing="/in", taxi_types=("fhv", "yellow"), dedup=False)
+    assert stages == ("silver", "gold")
+    with pytest.raises(SystemExit):
+        parse(["--landing", "/in", "--stages", "platinum"])

@@ -140,10 +140,14 @@ def cube_trips(fact: DataFrame, dims: StarDimensions, decimals: int | None = Non
     """All 2^6 subtotals. ``grouping_id`` tells a rolled-up dimension from a NULL label.
 
     The cube runs over the finest groups instead of over trips, so the 64-fold expansion
-    multiplies groups (bounded by the dimensions), not facts."""
+    multiplies groups (bounded by the dimensions), not facts. The groups are few enough for
+    adaptive execution to merge them into one partition, just before they multiply; a
+    fixed number of partitions keeps the expansion spread out. It takes the place of the
+    shuffle the aggregation needs anyway."""
     measures = [m.with_decimals(decimals) for m in CUBE_MEASURES]
     groups, labels, merge = star_groups(fact, dims, CUBE_AXES, measures)
-    finest = groups.groupBy(*labels).agg(*merge)
+    tasks = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    finest = groups.repartition(tasks, *labels).groupBy(*labels).agg(*merge)
     cubed = finest.cube(*labels).agg(F.grouping_id().alias("grouping_id"), *merge)
     return cubed.selectExpr(
         *labels, "grouping_id", "trips", *[c for m in measures for c in m.finished()]

@@ -8,7 +8,7 @@ and never a recomputation of earlier stages.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -107,7 +107,8 @@ def write_gold(spark: SparkSession, plan: Medallion) -> None:
     zones = spark.read.table(f"{plan.silver}.{ZONE_TABLE}")
     for name, dimension in star_dimensions(spark, zones, dim_date(silver)).named().items():
         _write_gold_table(plan, name, dimension.frame)
-    dims = stored_dimensions(spark, plan.gold)
+    # The calendar spans exactly these trips, so the marts need no join with it.
+    dims = replace(stored_dimensions(spark, plan.gold), date=None)
     _write_gold_table(
         plan, "fact_trips", build_fact(union_all_types(silver), dims), ("service_type_key",)
     )
