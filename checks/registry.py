@@ -35,7 +35,7 @@ from waybill.operators.sinks import preview
 from waybill.operators.zones import enrich_with_zones, zone_lookup
 from waybill.session import apply_settings
 from waybill.sources.calendars import date_bounds, days_of, hours, months_of
-from waybill.sources.files import read_monthly
+from waybill.sources.files import optional_table, read_monthly
 from waybill.sources.inline import inline_values
 from waybill.spec import RECORD_TYPES
 
@@ -72,6 +72,15 @@ def counts_sql(source: str, *columns: str) -> str:
     return over_sources(f"SELECT {names}, count(*) AS count FROM {source} GROUP BY ALL")
 
 
+ZONE_COLUMNS_SQL = """
+  p.borough AS pickup_borough, p.zone AS pickup_zone, p.service_zone AS pickup_service_zone,
+  d.borough AS dropoff_borough, d.zone AS dropoff_zone, d.service_zone AS dropoff_service_zone,
+  coalesce(p.service_zone = 'Airports', false) OR coalesce(d.service_zone = 'Airports', false)
+    AS is_airport_trip"""
+ZONE_JOINS_SQL = """LEFT JOIN zone p ON t.pu_location_id = p.location_id
+                    LEFT JOIN zone d ON t.do_location_id = d.location_id"""
+
+
 # --- sources -----------------------------------------------------------------------
 
 
@@ -111,6 +120,44 @@ def scan_parquet(spark, sf_dir):
     return read_monthly(spark, [f"{sf_dir}/orders.parquet"])
 
 
+def _view(df: DataFrame, name: str) -> str:
+    """A catalog entry of this session only; nothing is written."""
+    df.createOrReplaceTempView(name)
+    return name
+
+
+@query(
+    "scan_table",
+    "SELECT o_orderstatus, o_orderpriority, count(*) AS count FROM orders GROUP BY ALL",
+)
+def scan_table(spark, sf_dir):
+    name = _view(trips.table(spark, sf_dir, "orders"), "waybill_orders")
+    return count_by(optional_table(spark, name), "o_orderstatus", "o_orderpriority")
+
+
+@query(
+    "optional_dim",
+    over_sources(
+        f"""SELECT true AS with_zones, is_airport_trip, count(*) AS count
+            FROM (SELECT {ZONE_COLUMNS_SQL} FROM valid_ride t {ZONE_JOINS_SQL}) GROUP BY ALL
+            UNION ALL SELECT false, NULL, count(*) FROM valid_ride"""
+    ),
+)
+def optional_dim(spark, sf_dir):
+    """The zone table if the catalog has one; without it silver does without the airport flag."""
+    rides = trips.raw(spark, sf_dir, "fhvhv")
+    present = _view(trips.zones_raw(spark, sf_dir), "waybill_zones")
+    parts = []
+    for name in (present, "waybill_no_such_zones"):
+        zones = optional_table(spark, name)
+        tidy = silver.standardize_silver(rides, zones, "fhvhv", "2024-01-01", "2024-02-01")
+        flag = "is_airport_trip" if "is_airport_trip" in tidy.columns else "CAST(NULL AS BOOLEAN)"
+        parts.append(
+            tidy.selectExpr(f"{'false' if zones is None else 'true'} AS with_zones", f"{flag} AS is_airport_trip")
+        )
+    return count_by(schema.balanced_union(parts), "with_zones", "is_airport_trip")
+
+
 @query(
     "gen_hours",
     over_sources(
@@ -212,19 +259,25 @@ _register_code_dimension(
     ),
 )
 def all_code_labels(spark, sf_dir):
-    """Facts are grouped by all five keys once; each dimension then reads those groups."""
+    """The facts are read once: grouped by all five keys, and each group then counts for one
+    row of every dimension."""
     labels = _used_labels(spark, sf_dir)
     keys = [key for _, _, key, _ in labels]
     groups = count_by(trips.fact(spark, sf_dir, *keys), *keys)
-    parts = []
-    for name, dimension, key, label in labels:
-        used = groups.groupBy(key).agg(F.expr("sum(count) AS trips"))
-        parts.append(
-            dimension.frame.join(used, key, "left").selectExpr(
-                f"'{name}' AS dim", f"{key} AS key", f"{label} AS label", "COALESCE(trips, 0) AS trips"
-            )
-        )
-    return schema.balanced_union(parts)
+    pairs = ", ".join(f"'{name}', {key}" for name, _, key, _ in labels)
+    used = (
+        groups.selectExpr("count", f"stack({len(keys)}, {pairs}) AS (used_dim, used_key)")
+        .groupBy("used_dim", "used_key")
+        .agg(F.expr("sum(count) AS trips"))
+    )
+    members = schema.balanced_union(
+        [
+            dimension.frame.selectExpr(f"'{name}' AS dim", f"{key} AS key", f"{label} AS label")
+            for name, dimension, key, label in labels
+        ]
+    )
+    joined = members.join(used, F.expr("dim = used_dim AND key = used_key"), "left")
+    return joined.selectExpr("dim", "key", "label", "COALESCE(trips, 0) AS trips")
 
 
 FACT_TEXT_COLUMNS = ("vendor_id", "passenger_count", "total_amount", "pickup_datetime", "dropoff_datetime")
@@ -528,15 +581,6 @@ def yn_to_bool(spark, sf_dir):
     return count_by(schema.balanced_union(parts), "service_type", "flag")
 
 
-ZONE_COLUMNS_SQL = """
-  p.borough AS pickup_borough, p.zone AS pickup_zone, p.service_zone AS pickup_service_zone,
-  d.borough AS dropoff_borough, d.zone AS dropoff_zone, d.service_zone AS dropoff_service_zone,
-  coalesce(p.service_zone = 'Airports', false) OR coalesce(d.service_zone = 'Airports', false)
-    AS is_airport_trip"""
-ZONE_JOINS_SQL = """LEFT JOIN zone p ON t.pu_location_id = p.location_id
-                    LEFT JOIN zone d ON t.do_location_id = d.location_id"""
-
-
 def _metered_sql(service_type: str, prefix: str) -> str:
     return over_sources(
         f"""SELECT t.* EXCLUDE (service_type, pickup_datetime, dropoff_datetime, store_and_fwd_flag,
@@ -775,9 +819,11 @@ def filter_options(spark, sf_dir):
 )
 def column_contract(spark, sf_dir):
     fact = trips.fact(spark, sf_dir, *fv.CONTRACT_COLUMNS)
-    verdict = quality.column_contract(fact).withColumn("one", F.lit(1))
-    counted = fact.selectExpr("count(1) AS trips", "1 AS one")
-    return verdict.join(counted, "one").drop("one")
+    verdict = quality.column_contract(fact).selectExpr("*", "CAST(NULL AS BIGINT) AS trips")
+    counted = fact.selectExpr("CAST(NULL AS STRING) AS consumption_contract", "count(1) AS trips")
+    return verdict.unionByName(counted).selectExpr(
+        "max(consumption_contract) AS consumption_contract", "max(trips) AS trips"
+    )
 
 
 # --- joins -----------------------------------------------------------------------------

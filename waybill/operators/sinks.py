@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def create_schema(spark: SparkSession, schema: str) -> None:
@@ -33,10 +34,14 @@ def apply_comments(spark: SparkSession, full_table: str, comments: Mapping[str,
 def with_comments(df: DataFrame, comments: Mapping[str, str]) -> DataFrame:
     """Carry descriptions in the schema, so that one write stores them all and no DDL per
     column is needed."""
-    for column in df.columns:
-        if column in comments:
-            df = df.withMetadata(column, {"comment": comments[column]})
-    return df
+    return df.select(
+        *[
+            F.col(f"`{f.name}`").alias(f.name, metadata={**f.metadata, "comment": comments[f.name]})
+            if f.name in comments
+            else F.col(f"`{f.name}`")
+            for f in df.schema
+        ]
+    )
 
 
 def write_table(
@@ -58,7 +63,8 @@ def write_table(
     layout = [c for c in partition_by if c in df.columns]
     if rebalance:
         df = df.hint("rebalance", *layout)
-    writer = with_comments(df, comments or {}).write.format("parquet").mode("overwrite")
+    described = with_comments(df, comments) if comments else df
+    writer = described.write.format("parquet").mode("overwrite")
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
     if layout:
