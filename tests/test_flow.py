@@ -9,7 +9,7 @@ from tests.conftest import rows
 from waybill import fixed_values as fv
 from waybill.operators.quality import landing_completeness, missing_months
 from waybill.operators.sinks import apply_comments, create_schema, preview, write_table
-from waybill.plans.medallion import Medallion, run
+from waybill.plans.medallion import Medallion, landing_report, run
 from waybill.sources.calendars import date_bounds, days_of, months
 from waybill.sources.files import landed_months, monthly_paths, optional_table, read_monthly, read_zone_csv
 from waybill.sources.inline import inline_values
@@ -99,6 +99,12 @@ def test_landed_months(spark, tmp_path):
     assert rows(missing_months(expected, landed)) == [("2023-02",), ("2023-03",)]
 
 
+def test_landing_report(spark, tmp_path):
+    (tmp_path / "fhv_tripdata_2023-02.parquet").write_bytes(b"x")
+    plan = Medallion(landing=str(tmp_path), date_start="2023-01-01", date_stop="2023-02-01")
+    assert rows(landing_report(spark, plan, "fhv")) == [("2023-01", "missing"), ("2023-02", "ingested")]
+
+
 def test_generated_rows(spark):
     assert rows(months(spark, "2022-11-30", "2023-02-01")) == [("2022-11",), ("2022-12",), ("2023-01",), ("2023-02",)]
     assert rows(months(spark, "2023-05-01", "2023-04-30")) == []

@@ -19,10 +19,17 @@ from waybill.operators import marts
 from waybill.operators.bronze import build_bronze
 from waybill.operators.dimensions import dim_date, star_dimensions, stored_dimensions
 from waybill.operators.fact import build_fact, union_all_types
-from waybill.operators.quality import column_contract
+from waybill.operators.quality import column_contract, landing_completeness
 from waybill.operators.silver import PARTITION_COLUMNS, standardize_silver
 from waybill.operators.sinks import create_schema, write_table
-from waybill.sources.files import monthly_paths, optional_table, read_monthly, read_zone_csv
+from waybill.sources.calendars import months
+from waybill.sources.files import (
+    landed_months,
+    monthly_paths,
+    optional_table,
+    read_monthly,
+    read_zone_csv,
+)
 from waybill.spec import RECORD_TYPES
 
 ZONE_TABLE = "taxi_zone_lookup"
@@ -43,6 +50,14 @@ class Medallion:
     rebalance: bool = False
 
 
+def landing_report(spark: SparkSession, plan: Medallion, taxi_type: str) -> DataFrame:
+    """Which months of the period have arrived, and which are missing."""
+    return landing_completeness(
+        months(spark, plan.date_start, plan.date_stop),
+        landed_months(spark, plan.landing, taxi_type),
+    )
+
+
 def bronze_frame(spark: SparkSession, plan: Medallion, taxi_type: str) -> DataFrame:
     paths = monthly_paths(plan.landing, taxi_type, plan.date_start, plan.date_stop)
     return build_bronze(read_monthly(spark, paths), plan.dedup, plan.dedup_keys)
