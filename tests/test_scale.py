@@ -12,6 +12,8 @@ from waybill.operators.fact import FACT_COLUMNS, build_fact, union_all_types
 from waybill.operators.lookup import Dimension, lookup
 from waybill.operators.silver import standardize_silver
 from waybill.operators.sinks import write_table
+from waybill.session import shuffles_sized_for
+from waybill.sources.files import stored_bytes
 from waybill.spec import CONFORMED_SCHEMA
 
 
@@ -68,6 +70,20 @@ def test_copies_collapse_before_the_shuffle(spark, plan_of):
     assert rows(first) == [(89_994, "x0"), (89_997, "x1")]
 
 
+def test_record_shuffles_are_sized(spark, plan_of, tmp_path):
+    path = str(tmp_path / "files.parquet")
+    spark.range(1000).write.parquet(path)
+    assert 0 < stored_bytes(spark, [path]) < 100_000
+    df = bronze.deduplicate(spark.read.parquet(path))
+    usual = spark.conf.get("spark.sql.shuffle.partitions")
+    with shuffles_sized_for(spark, 10 * 2**30) as partitions:
+        assert partitions == 40
+        assert "hashpartitioning(id" in plan_of(df) and ", 40)" in plan_of(df)
+        assert df.count() == 1000
+    again = bronze.deduplicate(spark.read.parquet(path))
+    assert f", {usual})" in plan_of(again)
+
+
 @pytest.fixture(scope="module")
 def zones(spark):
     return spark.createDataFrame(

@@ -22,6 +22,7 @@ from waybill.operators.fact import build_fact, union_all_types
 from waybill.operators.quality import column_contract, landing_completeness
 from waybill.operators.silver import PARTITION_COLUMNS, standardize_silver
 from waybill.operators.sinks import create_schema, write_table
+from waybill.session import shuffles_sized_for
 from waybill.sources.calendars import months
 from waybill.sources.files import (
     landed_months,
@@ -29,6 +30,7 @@ from waybill.sources.files import (
     optional_table,
     read_monthly,
     read_zone_csv,
+    stored_bytes,
 )
 from waybill.spec import RECORD_TYPES
 
@@ -58,9 +60,13 @@ def landing_report(spark: SparkSession, plan: Medallion, taxi_type: str) -> Data
     )
 
 
+def landing_paths(plan: Medallion, taxi_type: str) -> list[str]:
+    return monthly_paths(plan.landing, taxi_type, plan.date_start, plan.date_stop)
+
+
 def bronze_frame(spark: SparkSession, plan: Medallion, taxi_type: str) -> DataFrame:
-    paths = monthly_paths(plan.landing, taxi_type, plan.date_start, plan.date_stop)
-    return build_bronze(read_monthly(spark, paths), plan.dedup, plan.dedup_keys)
+    files = read_monthly(spark, landing_paths(plan, taxi_type))
+    return build_bronze(files, plan.dedup, plan.dedup_keys)
 
 
 def silver_frame(spark: SparkSession, plan: Medallion, taxi_type: str) -> DataFrame:
@@ -79,13 +85,15 @@ def silver_tables(spark: SparkSession, plan: Medallion) -> Mapping[str, DataFram
 
 
 def write_bronze(spark: SparkSession, plan: Medallion) -> None:
+    """Deduplication is the one step of the flow that shuffles whole records."""
     create_schema(spark, plan.bronze)
     for taxi_type in plan.taxi_types:
-        write_table(
-            bronze_frame(spark, plan, taxi_type),
-            f"{plan.bronze}.{taxi_type}_trips",
-            comments=comments_for(taxi_type),
-        )
+        frame = bronze_frame(spark, plan, taxi_type)
+        size = stored_bytes(spark, landing_paths(plan, taxi_type)) if plan.dedup else 0
+        with shuffles_sized_for(spark, size):
+            write_table(
+                frame, f"{plan.bronze}.{taxi_type}_trips", comments=comments_for(taxi_type)
+            )
 
 
 def write_zones(spark: SparkSession, plan: Medallion) -> None:

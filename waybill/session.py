@@ -6,6 +6,10 @@ created. Executor sizes, dynamic allocation and the like stay with the cluster.
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
 SQL_SETTINGS: dict[str, str] = {
@@ -28,6 +32,31 @@ def apply_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
+BYTES_PER_PARTITION = 256 * 1024 * 1024
+_INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
+@contextmanager
+def shuffles_sized_for(spark: SparkSession, stored_bytes: int) -> Iterator[int]:
+    """Within the block, shuffles start from enough partitions to move this many bytes.
+
+    Adaptive execution merges and splits partitions but never starts from more than it is
+    told, and a fixed number that suits an aggregation is far too small for whole records.
+    Meant for one stage that shuffles records; results that aggregate to little should not
+    pay for as many partitions."""
+    usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    needed = max(usual, math.ceil(stored_bytes / BYTES_PER_PARTITION))
+    before = spark.conf.get(_INITIAL_PARTITIONS, None)
+    spark.conf.set(_INITIAL_PARTITIONS, needed)
+    try:
+        yield needed
+    finally:
+        if before is None:
+            spark.conf.unset(_INITIAL_PARTITIONS)
+        else:
+            spark.conf.set(_INITIAL_PARTITIONS, before)
+
+
 def local_session(cores: int | str = "*", app: str = "waybill", **extra: str) -> SparkSession:
     """A single-machine session for tests and benchmarks."""
     builder = (

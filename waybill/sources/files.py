@@ -43,6 +43,12 @@ def read_monthly(spark: SparkSession, paths: list[str]) -> DataFrame:
     return balanced_union(scans)
 
 
+def stored_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Size of the files, from the file listing alone."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
+    return files.select(F.sum("length")).first()[0] or 0
+
+
 def read_zone_csv(spark: SparkSession, path: str) -> DataFrame:
     """Zone lookup CSV with a header: every column as text, snake_case names, then the id
     as an int (text that is no number becomes NULL)."""
