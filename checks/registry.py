@@ -216,10 +216,8 @@ def dimension_usage(dimension: Dimension, fact: DataFrame) -> DataFrame:
 
 def usage_sql(values: str, columns: str, key: str) -> str:
     return over_sources(
-        f"""SELECT {columns}, count(f.{key}) AS trips
-            FROM (VALUES {values}) AS t({columns})
-            LEFT JOIN fact f ON f.{key} = t.k GROUP BY ALL""".replace("t.k", f"t.{key}")
-        .replace(f"SELECT {columns}", "SELECT " + ", ".join(f"t.{c.strip()}" for c in columns.split(",")))
+        f"""SELECT t.*, count(f.{key}) AS trips FROM (VALUES {values}) AS t({columns})
+            LEFT JOIN fact f ON f.{key} = t.{key} GROUP BY ALL"""
     )
 
 
