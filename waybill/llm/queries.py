@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waybill.llm import sharding
+from waybill.llm import exact_dedup, line_dedup, sharding
 
 SHARDS = 16
 
@@ -24,6 +24,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents"), threshold=10, least_length=1).select(
+        "doc_id", "n_lines", "n_dropped", "kept_sha256"
+    )
+
+
+@query
+def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.radix_groups(table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"), SHARDS).select(
