@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waybill.llm import exact_dedup, line_dedup, packing, secrets, sharding, simhash
+from waybill.llm import exact_dedup, knn, line_dedup, packing, secrets, sharding, simhash
 
 SHARDS = 16
 
@@ -36,6 +36,11 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"), example_owners=3)
 
 
+@query
+def op6_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return knn.top_k(table(spark, sf_dir, "embeddings"), modulus=20, k=20)
+
+
 @query
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.radix_groups(table(spark, sf_dir, "documents"))
