@@ -41,11 +41,14 @@ END = b"\xff"  # in no UTF-8 text
 UNIT = re.compile(rb"[^\x20\x09-\x0D]*[\x20\x09-\x0D]|[^\x20\x09-\x0D]+")
 ENDS = SPACE_CHARS.encode() + END
 ORDERS = (1, 2, 3, 4, 6, 16)
-BITS = (16, 18, 21, 21, 21, 21)  # log2 of the slots per order
+BITS = (16, 18, 20, 22, 23, 23)  # log2 of the slots per order
 FIRST_SLOT = tuple(int(x) for x in np.cumsum([0, *(1 << b for b in BITS)]))
 SLOTS = FIRST_SLOT[-1]
 SLOTS_PER_BLOCK = 8192
 STATES = 16
+#: Words that teach each order: all, or about so many of the most frequent ones. Longer contexts
+#: are as many as words are, and the tables are not.
+TEACHERS = (None, None, None, None, 1_000_000, 300_000)
 GATES = (len(ORDERS) + 1) * 8
 BUCKETS = 33
 DELTA = 0.4
@@ -170,7 +173,7 @@ def cut_long(mark: int, unit: bytes) -> list[tuple[int, bytes]]:
     return [(mark if not i else 5 * STATES, unit[i : i + BYTES_AT_ONCE]) for i in range(0, len(unit), BYTES_AT_ONCE)]
 
 
-def context_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def context_counts(batches: Iterator[pa.RecordBatch], least: list[int]) -> Iterator[pa.RecordBatch]:
     """Zeros and ones seen per slot by this task, as blocks of the slots that were hit."""
     table = np.zeros((2, SLOTS), np.float32)
     for batch in batches:
@@ -179,8 +182,10 @@ def context_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             bits = Bits(marks[a:b], units[a:b])
             weight = n[a:b][bits.unit]
             for t in range(8):
-                for slots in bits.slots[t]:
-                    np.add.at(table.reshape(-1), slots + SLOTS * bits.bit[t].astype(np.int64), weight)
+                for slots, cutoff in zip(bits.slots[t], least):
+                    taught = weight >= cutoff
+                    place = slots + SLOTS * bits.bit[t].astype(np.int64)
+                    np.add.at(table.reshape(-1), place[taught], weight[taught])
     for block in range(math.ceil(SLOTS / SLOTS_PER_BLOCK)):
         part = table[:, block * SLOTS_PER_BLOCK : (block + 1) * SLOTS_PER_BLOCK]
         hit = np.flatnonzero(part.any(axis=0)).astype("<u2")
@@ -213,7 +218,7 @@ def sum_block(table: pa.Table) -> pa.Table:
     return pa.table({"block": pa.array([table.column("block")[0].as_py()], pa.int32()), "counts": pa.array([small.tobytes()])})
 
 
-def counts_table(blocks: list) -> np.ndarray:
+def counts_table(blocks) -> np.ndarray:
     out = np.zeros((2, math.ceil(SLOTS / SLOTS_PER_BLOCK) * SLOTS_PER_BLOCK), np.uint16)
     for row in blocks:
         at = row["block"] * SLOTS_PER_BLOCK
@@ -221,6 +226,15 @@ def counts_table(blocks: list) -> np.ndarray:
     return out
 
 
+def log_odds_of(counts: np.ndarray) -> np.ndarray:
+    """Log-odds per slot, zero where nothing was seen; in halves to spare memory and caches."""
+    out = np.empty(counts.shape[1], np.float16)
+    for at in range(0, len(out), 1 << 20):
+        zeros, ones = counts[:, at : at + (1 << 20)]
+        out[at : at + (1 << 20)] = LOGS[ones] - LOGS[zeros]
+    return out
+
+
 LOGS = np.log(np.arange(65536) + DELTA).astype(np.float32)
 
 
@@ -249,7 +263,7 @@ def bucket_of(odds: np.ndarray) -> np.ndarray:
     return np.rint(np.clip(odds, -8, 8) * 2).astype(np.int64) + 16
 
 
-def learn_mixing(batches: Iterator[pa.RecordBatch], counts) -> Iterator[pa.RecordBatch]:
+def learn_mixing(batches: Iterator[pa.RecordBatch], counts, least: list[int]) -> Iterator[pa.RecordBatch]:
     """Online: after each group of units the weights follow the gradient of the coding cost,
     scaled by its curvature. Returns weights and map sums with the number of bits per gate."""
     zeros, ones = counts.value
@@ -263,18 +277,21 @@ def learn_mixing(batches: Iterator[pa.RecordBatch], counts) -> Iterator[pa.Recor
             weight = n[a:b][bits.unit].astype(np.float64)
             for t in range(8):
                 bit = bits.bit[t]
-                inputs = [
-                    LOGS[np.maximum(ones[s].astype(np.int32) - bit, 0)] - LOGS[np.maximum(zeros[s].astype(np.int32) - (1 - bit), 0)]
-                    for s in bits.slots[t]
-                ]
+                inputs = []
+                for slots, cutoff in zip(bits.slots[t], least):
+                    own = (weight >= cutoff).astype(np.int32)
+                    one = np.maximum(ones[slots] - own * bit, 0)
+                    zero = np.maximum(zeros[slots] - own * (1 - bit), 0)
+                    inputs.append(LOGS[one] - LOGS[zero])
                 gate = gate_of(inputs, t)
                 odds = mixed(inputs, gate, weights)
                 p = 1 / (1 + np.exp(-odds.astype(np.float64)))
                 error, curve = weight * (bit - p), weight * p * (1 - p)
                 for k, x in enumerate(inputs):
                     pull = np.bincount(gate, error * x, GATES)
-                    bend = np.bincount(gate, curve * x * x, GATES)
-                    weights[k] += (0.15 * pull / (bend + 1.0)).astype(np.float32)
+                    square = np.bincount(gate, weight * x * x, GATES)
+                    bend = np.bincount(gate, curve * x * x, GATES) + 0.01 * square + 1.0
+                    weights[k] = np.clip(weights[k] + 0.15 * pull / bend, -0.5, 2.0)
                 seen += np.bincount(gate, weight, GATES)
                 place = gate * BUCKETS + bucket_of(odds)
                 sums[0] += np.bincount(place, weight * (1 - bit), GATES * BUCKETS)
@@ -301,7 +318,7 @@ def unit_scores(marks: list[int], units: list[bytes], log_odds: np.ndarray, weig
         bits = Bits(marks[a:b], units[a:b])
         total = np.zeros(len(bits.unit))
         for t in range(8):
-            inputs = [log_odds[s] for s in bits.slots[t]]
+            inputs = [log_odds[s].astype(np.float32) for s in bits.slots[t]]
             gate = gate_of(inputs, t)
             p = refined(mixed(inputs, gate, weights), gate, refine)
             total += np.log10(np.where(bits.bit[t] == 1, p, 1 - p))
@@ -315,8 +332,8 @@ def score_rows(batches: Iterator[pa.RecordBatch], model, hot, name: str) -> Iter
     held = worker_cache("lm scores")
     if held.get("name") != name:
         held.clear()
-        counts, weights, refine = model.value
-        held |= {"name": name, "units": {}, "markers": {}, "odds": LOGS[counts[1]] - LOGS[counts[0]], "mix": (weights, refine)}
+        held |= {"name": name, "units": {}, "markers": {}}
+    log_odds, *mix = model.value
     hashes, log_counts = hot.value
     scores, known = held["units"], held["markers"]
     log_of_end = float(log_counts[-1])  # the end token's entry is the last
@@ -332,7 +349,7 @@ def score_rows(batches: Iterator[pa.RecordBatch], model, hot, name: str) -> Iter
             new = list(set().union(*rows).difference(scores))
             pieces = [cut_long(m, u) for m, u in new]
             flat = [p for ps in pieces for p in ps]
-            values = unit_scores([m for m, _ in flat], [u for _, u in flat], held["odds"], *held["mix"])
+            values = unit_scores([m for m, _ in flat], [u for _, u in flat], log_odds, *mix)
             ends = np.cumsum([len(ps) for ps in pieces]) if pieces else np.zeros(0, int)
             values = np.diff(np.concatenate([[0.0], np.cumsum(values)[ends - 1]])) if len(ends) < len(flat) else values
             tokens = [token_of(u) for _, u in new]
@@ -385,17 +402,22 @@ def score(df: DataFrame, modulus: int = 7, held_out: int = 2, hot_tokens: int =
     # the same order whenever it is read, so that the online pass gives the same weights
     whole = units.repartition(max(1, math.ceil(n_units / units_per_task)), F.xxhash64("mark", "unit"))
     whole = whole.sortWithinPartitions(F.xxhash64("unit"), "mark", "unit")
+    least = [1] * len(ORDERS)
+    for k, teachers in enumerate(TEACHERS):
+        if teachers and n_units > teachers:
+            least[k] = units.agg(F.percentile_approx("n", 1 - teachers / n_units, 10000)).first()[0]
     blocks = (
-        whole.mapInArrow(context_counts, "block int, hit binary, counts binary")
+        whole.mapInArrow(lambda it: context_counts(it, least), "block int, hit binary, counts binary")
         .groupBy("block")
         .applyInArrow(sum_block, "block int, counts binary")
     )
     sc = spark.sparkContext
-    counts = counts_table(blocks.collect())
+    counts = counts_table(shelf.put(blocks, "blocks").toLocalIterator())  # of a fixed size
     shared = sc.broadcast(counts)
-    mixing = whole.mapInArrow(lambda it: learn_mixing(it, shared), "weights binary, seen binary, sums binary").collect()
+    mixing = whole.mapInArrow(lambda it: learn_mixing(it, shared, least), "weights binary, seen binary, sums binary").collect()
     shared.unpersist()
-    model = sc.broadcast((counts, *joined_mixing(mixing)))
+    model = sc.broadcast((log_odds_of(counts), *joined_mixing(mixing)))
+    del counts
 
     top = tokens.orderBy(F.desc("n"), "token").limit(hot_tokens).toPandas()
     digests = np.array([xxhash.xxh64_intdigest(bytes(t)) for t in top["token"]], np.uint64)
@@ -411,7 +433,7 @@ def score(df: DataFrame, modulus: int = 7, held_out: int = 2, hot_tokens: int =
         "bytes long, rare array<binary>",
     )
     scored = shelf.put(scored.withColumn("row", F.monotonically_increasing_id()), "scored")
-    shelf.drop("units")
+    shelf.drop("units", "blocks")
     rest = scored.select("row", F.explode("rare").alias("token")).groupBy("row", "token").agg(F.count("*").alias("times"))
     rest = (
         rest.join(tokens, "token")

@@ -145,3 +145,49 @@ def scan(df: DataFrame, example_owners: int = 3) -> DataFrame:
         (every - live).alias("n_example"),
         text("filter(all, s -> s.live)").alias("live_spans"),
     )
+
+
+def redact(df: DataFrame, example_owners: int = 3, instead: str = "[SECRET]") -> DataFrame:
+    """The rows, with live-looking values overwritten and n_chars counted anew.
+
+    Values go wherever their span is; the name before an assigned value stays."""
+    shelf = Shelf(df.sparkSession, "redact")
+    columns = [c for c in ("doc_id", "text", "lang", "source", "n_chars") if c in df.columns]
+    found = shelf.put(candidates(keyed(df)), "candidates")
+    # where the value lies: at the end of the span, before the @ of a url
+    value_end = F.col("end") - F.when(F.col("kind") == "url", 1).otherwise(0)
+    value_start = value_end - F.length("value")
+    live = with_ownership(found.withColumns({"value_start": value_start, "value_end": value_end}), example_owners).filter("live")
+    # spans in order; each adds what lies between it and the furthest end so far
+    earlier = Window.partitionBy("r1", "r2").orderBy("value_start", "value_end").rowsBetween(Window.unboundedPreceding, -1)
+    piece = F.struct(
+        F.col("value_start").alias("a"),
+        F.col("value_end").alias("b"),
+        F.coalesce(F.max("value_end").over(earlier), F.lit(0)).alias("done"),
+    )
+    per_doc = (
+        live.select("r1", "r2", piece.alias("piece"))
+        .groupBy("r1", "r2")
+        .agg(F.sort_array(F.collect_list("piece")).alias("pieces"), F.max("piece.b").alias("last"))
+    )
+    rows = keyed(df, *columns).join(per_doc, ["r1", "r2"], "left")
+    hidden = F.expr(
+        f"""concat(
+            array_join(transform(filter(pieces, p -> p.b > p.done), p ->
+                concat(substring(text, cast(p.done AS int) + 1, greatest(cast(p.a - p.done AS int), 0)),
+                       if(p.a >= p.done, '{instead}', ''))), ''),
+            substring(text, cast(last AS int) + 1))"""
+    )
+    texts = rows.withColumn(
+        "new_text", F.when(F.col("pieces").isNull(), F.col("kept_text")).otherwise(hidden)
+    )
+    return texts.select(
+        *(
+            F.col("new_text").alias("text")
+            if c == "text"
+            else F.coalesce(F.when(F.col("pieces").isNull(), F.col("kept_n_chars")), F.length("new_text").cast("long")).alias("n_chars")
+            if c == "n_chars"
+            else F.col(f"kept_{c}").alias(c)
+            for c in columns
+        )
+    )

@@ -216,16 +216,31 @@ def link_fingerprints(prints: DataFrame, distance: int, shelf: Shelf) -> DataFra
     return joined.mapInArrow(lambda it: link_leaves(it, distance), "a long, b long")
 
 
-def near_duplicates(
-    df: DataFrame, shingle: int = 3, distance: int = 3, carry: tuple[str, ...] = ()
-) -> DataFrame:
-    """One row per input row: doc_id, fingerprint, component_id and the columns in `carry`."""
+def near_duplicates(df: DataFrame, shingle: int = 3, distance: int = 3) -> DataFrame:
+    """One row per input row: doc_id, fingerprint, component_id."""
     shelf = Shelf(df.sparkSession, "simhash")
-    docs = pick(df, *dict.fromkeys(("doc_id", "text", *carry))).select(
-        "doc_id", F.col("text"), *(F.col(c).alias(f"carried_{c}") for c in carry)
+    return _grouped(_fingerprinted(pick(df, "doc_id", "text"), shingle, shelf), distance, shelf).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def keep_one(docs: DataFrame, shingle: int = 3, distance: int = 3) -> DataFrame:
+    """The rows, all columns, of the smallest id per component; one of them if the id repeats."""
+    shelf = Shelf(docs.sparkSession, "simhash")
+    numbered = shelf.put(docs.withColumn("_row", F.monotonically_increasing_id()), "docs")
+    rows = _fingerprinted(numbered.select("doc_id", "text", "_row"), shingle, shelf)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")).getField("_row")
+    kept = shelf.put(_grouped(rows, distance, shelf).groupBy("component").agg(first.alias("_row")).select("_row"), "kept")
+    return numbered.join(kept, "_row", "left_semi").drop("_row")
+
+
+def _fingerprinted(docs: DataFrame, shingle: int, shelf: Shelf) -> DataFrame:
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in docs.drop("text").schema)
-    rows = shelf.put(docs.mapInArrow(lambda it: fingerprint_rows(it, shingle), f"{kinds}, fp long"), "rows")
+    return shelf.put(docs.mapInArrow(lambda it: fingerprint_rows(it, shingle), f"{kinds}, fp long"), "rows")
+
+
+def _grouped(rows: DataFrame, distance: int, shelf: Shelf) -> DataFrame:
+    """Adds component and component_id."""
     prints = shelf.put(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "prints")
     links = shelf.put(link_fingerprints(prints.select("fp"), distance, shelf), "found")
     names = components(links, shelf)
@@ -233,10 +248,5 @@ def near_duplicates(
         "fp", "least", F.coalesce("component", "fp").alias("component")
     )
     least = grouped.groupBy("component").agg(F.min("least").alias("component_id"))
-    ids = grouped.join(least, "component").select("fp", "component_id")
-    return rows.join(ids, "fp").select(
-        "doc_id",
-        F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
-        "component_id",
-        *(F.col(f"carried_{c}").alias(c) for c in carry if c != "doc_id"),
-    )
+    ids = grouped.join(least, "component").select("fp", "component", "component_id")
+    return rows.join(ids, "fp")

@@ -280,3 +280,15 @@ def classify(documents: DataFrame, labels: DataFrame, threshold: float = 0.7, **
     kinds = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, held_out boolean, score double"
     scored = rows.mapInArrow(lambda it: score_rows(it, model), kinds)
     return scored.withColumn("predicted", F.when(F.col("score") >= threshold, 1).otherwise(0))
+
+
+def keep_clean(documents: DataFrame, labels: DataFrame, threshold: float = 0.7, **options) -> DataFrame:
+    """The rows of `documents`, all columns, whose score stays below the threshold."""
+    model = train(documents, labels, **options)
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.schema)
+    return documents.mapInArrow(lambda it: clean_rows(it, model, threshold), kinds)
+
+
+def clean_rows(batches: Iterator[pa.RecordBatch], model: Model, threshold: float) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield batch.filter(pa.array([model.score(t) < threshold for t in batch.column("text").to_pylist()], pa.bool_()))
