@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waybill.llm import exact_dedup, knn, line_dedup, lm_scoring, packing, secrets, sharding, simhash, toxicity
+from waybill.llm import exact_dedup, knn, line_dedup, lm_scoring, packing, secrets, segmentation, sharding, simhash, toxicity
 
 SHARDS = 16
 
@@ -24,6 +24,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_gumbel_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return segmentation.encode(table(spark, sf_dir, "documents"), k=2, seed=0)
+
+
 @query
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(table(spark, sf_dir, "documents"), threshold=10, least_length=1).select(
