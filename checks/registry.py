@@ -1,8 +1,8 @@
 """Every registered query, next to the SQL it must agree with.
 
 A query builds on the stand-in trips (``standins``) and calls the library operator it is
-named after. All of them read whole tables. Money is summed in exact hundredths
-(``decimals=2``), so both engines get the same bits in any order.
+named after. All of them read whole tables. Amounts are summed as decimals, unrounded, so both
+engines get the same bits in any order.
 """
 
 from __future__ import annotations
@@ -760,7 +760,7 @@ MART_COLUMNS = (
 
 def _revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     fact = trips.fact(spark, sf_dir, *MART_COLUMNS)
-    return marts.agg_revenue_monthly(fact, trips.dimensions(spark, sf_dir), decimals=2)
+    return marts.agg_revenue_monthly(fact, trips.dimensions(spark, sf_dir))
 
 
 @query(
@@ -863,7 +863,7 @@ def star_join_inner(spark, sf_dir):
     tables = {t: trips.silver(spark, sf_dir, t, False, False) for t in trips.PERIODS}
     dims = trips.dimensions(spark, sf_dir, dim_date(tables))
     fact = trips.fact(spark, sf_dir, "service_type_key", "pickup_date_key", "total_amount")
-    return marts.star_rollup(fact, dims, (marts.SERVICE_TYPE, QUARTER), (marts.TOTAL,), decimals=2)
+    return marts.star_rollup(fact, dims, (marts.SERVICE_TYPE, QUARTER), (marts.TOTAL,))
 
 
 CUBE_COLUMNS = MART_COLUMNS + ("pickup_time_key", "pickup_zone_key", "payment_type_key", "passenger_count")
@@ -874,7 +874,7 @@ CUBE_LABELS = "service_type, year, month, hour, pickup_borough, payment_type_nam
 def star_join_mixed(spark, sf_dir):
     fact = trips.fact(spark, sf_dir, *CUBE_COLUMNS)
     return marts.star_rollup(
-        fact, trips.dimensions(spark, sf_dir), marts.CUBE_AXES, marts.CUBE_MEASURES, decimals=2
+        fact, trips.dimensions(spark, sf_dir), marts.CUBE_AXES, marts.CUBE_MEASURES
     )
 
 
@@ -965,7 +965,7 @@ def revenue_monthly(spark, sf_dir):
 def trips_by_hour(spark, sf_dir):
     columns = ("service_type_key", "pickup_date_key", "pickup_time_key", "passenger_count", "total_amount")
     fact = trips.fact(spark, sf_dir, *columns)
-    return marts.agg_trips_by_hour(fact, trips.dimensions(spark, sf_dir), decimals=2)
+    return marts.agg_trips_by_hour(fact, trips.dimensions(spark, sf_dir))
 
 
 ZONE_MART = f"""SELECT service_type, pickup_borough, pickup_zone, count(*) AS trips,
@@ -978,7 +978,7 @@ ZONE_MART = f"""SELECT service_type, pickup_borough, pickup_zone, count(*) AS tr
 def _zone_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ("service_type_key", "pickup_zone_key", "total_amount", "trip_distance", "is_airport_trip")
     fact = trips.fact(spark, sf_dir, *columns)
-    return marts.agg_trips_by_zone(fact, trips.dimensions(spark, sf_dir), decimals=2)
+    return marts.agg_trips_by_zone(fact, trips.dimensions(spark, sf_dir))
 
 
 @query("trips_by_zone", over_sources(ZONE_MART))
@@ -995,7 +995,7 @@ def trips_by_zone(spark, sf_dir):
 )
 def cube_trips(spark, sf_dir):
     fact = trips.fact(spark, sf_dir, *CUBE_COLUMNS)
-    return marts.cube_trips(fact, trips.dimensions(spark, sf_dir), decimals=2)
+    return marts.cube_trips(fact, trips.dimensions(spark, sf_dir))
 
 
 # --- questions --------------------------------------------------------------------------------
@@ -1014,21 +1014,17 @@ def q_monthly_average(spark, sf_dir):
     return questions.monthly_average(_revenue(spark, sf_dir))
 
 
-AVERAGE_OF_AVERAGES = """CAST(sum(CAST(round_even(avg_total_amount * 1e6, 0) AS BIGINT)) AS DOUBLE) / 1e6
-                        / count(avg_total_amount)"""
-
-
 @query(
     "q_average_of_months",
     over_sources(
         f"""SELECT {half_up(exact_avg('sum_total_amount'), 2)} AS media_total_recebido_por_mes,
-                  {half_up(AVERAGE_OF_AVERAGES, 2)} AS media_total_amount_por_corrida
+                  {half_up(exact_avg('avg_total_amount'), 2)} AS media_total_amount_por_corrida
            FROM mart WHERE service_type = 'yellow'""",
         f"mart AS ({REVENUE_MONTHLY})",
     ),
 )
 def q_average_of_months(spark, sf_dir):
-    return questions.average_of_months(_revenue(spark, sf_dir), decimals=2)
+    return questions.average_of_months(_revenue(spark, sf_dir))
 
 
 @query(
@@ -1058,7 +1054,7 @@ def _yellow(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def q_silver_monthly(spark, sf_dir):
-    return questions.silver_monthly(_yellow(spark, sf_dir), decimals=2)
+    return questions.silver_monthly(_yellow(spark, sf_dir))
 
 
 @query(
@@ -1069,7 +1065,7 @@ def q_silver_monthly(spark, sf_dir):
     ),
 )
 def q_silver_overall(spark, sf_dir):
-    return questions.silver_overall(_yellow(spark, sf_dir), decimals=2)
+    return questions.silver_overall(_yellow(spark, sf_dir))
 
 
 @query(

@@ -155,12 +155,11 @@ def over_sources(select: str, more: str = "") -> str:
     return f"WITH {SOURCES.strip()}{', ' + more if more else ''}\n{select}"
 
 
-def cents(column: str) -> str:
-    return f"CAST(round_even({column} * 1e2, 0) AS BIGINT)"
-
-
 def exact_sum(column: str) -> str:
-    return f"CAST(sum({cents(column)}) AS DOUBLE) / 1e2"
+    """A sum of doubles by their decimal digits, whatever the order. Text stands between double
+    and decimal because this engine's direct casts scale by a power of ten first."""
+    exact = f"sum(CAST(CAST({column} AS VARCHAR) AS DECIMAL(28, 10)))"
+    return f"CAST(CAST({exact} AS VARCHAR) AS DOUBLE)"
 
 
 def exact_avg(column: str) -> str:

@@ -192,15 +192,14 @@ def without_calendar(dims):
     return type(dims)(**{**vars(dims), "date": None})
 
 
-@pytest.mark.parametrize("decimals", [None, 2])
-def test_revenue(fact, dims, decimals):
-    got = {r[:3]: r[3:] for r in rows(marts.agg_revenue_monthly(fact, dims, decimals))}
+def test_revenue(fact, dims):
+    got = {r[:3]: r[3:] for r in rows(marts.agg_revenue_monthly(fact, dims))}
     assert got[("yellow", 2023, 5)] == (2, 8.5, 17.0, 2.25, 6.0, 1.0)
     assert got[("yellow", 2023, 4)] == (1, None, None, None, None, 1.0)
     assert got[("fhv", 2023, 5)] == (1, None, None, None, 1.0, None)
     assert got[("fhvhv", 2023, 6)] == (1, 0.0, 0.0, 1.0, 60.0, None)
     assert len(got) == 6
-    derived = marts.agg_revenue_monthly(fact, without_calendar(dims), decimals)
+    derived = marts.agg_revenue_monthly(fact, without_calendar(dims))
     assert {r[:3]: r[3:] for r in rows(derived)} == got
 
 
@@ -260,13 +259,12 @@ def _brute_force_cube(fact, dims):
     }
 
 
-@pytest.mark.parametrize("decimals", [None, 2])
-def test_cube_against_brute_force(fact, dims, decimals):
+def test_cube_against_brute_force(fact, dims):
     # a payment key the dimension lacks: a NULL label that is not a roll-up
     odd = fact.withColumn(
         "payment_type_key", F.expr("CASE WHEN vendor_id = 9 THEN 77 ELSE payment_type_key END")
     )
-    cube = marts.cube_trips(odd, dims, decimals).collect()
+    cube = marts.cube_trips(odd, dims).collect()
     expected = _brute_force_cube(odd, dims)
     got = {tuple(r[:7]): tuple(r[7:]) for r in cube}
     assert len(cube) == len(got) and got.keys() == expected.keys()
@@ -284,7 +282,7 @@ def test_questions(fact, dims):
         (2023, 5, 2, 8.5, 17.0),
     ]
     assert rows(questions.average_of_months(revenue)) == [(17.0, 8.5)]
-    assert rows(questions.average_of_months(revenue, "fhvhv", decimals=2)) == [(8.63, 8.63)]
+    assert rows(questions.average_of_months(revenue, "fhvhv")) == [(8.63, 8.63)]
     expected = [(8, "Manha", 2.0, 1), (12, "Tarde", 4.0, 1), (18, "Noite", None, 0), (23, "Noite", None, 0)]
     for d in (dims, without_calendar(dims)):
         assert [tuple(r) for r in questions.passengers_by_hour(fact, d).collect()] == expected
@@ -301,7 +299,7 @@ def test_silver_questions(silver):
         (2023, 4, 1, None, None),
         (2023, 5, 2, 8.5, 17.0),
     ]
-    assert rows(questions.silver_overall(yellow, decimals=2)) == [(8.5,)]
+    assert rows(questions.silver_overall(yellow)) == [(8.5,)]
     assert [tuple(r) for r in questions.silver_by_hour(yellow).collect()] == [(8, 1, 2.0), (23, 1, None)]
 
 

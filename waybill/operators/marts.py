@@ -106,28 +106,26 @@ def star_rollup(
     dims: StarDimensions,
     axes: Sequence[Axis],
     measures: Sequence[Measure] = (),
-    decimals: int | None = None,
 ) -> DataFrame:
     """Trips and measures by the labels of the axes."""
-    measures = [m.with_decimals(decimals) for m in measures]
     groups, labels, merge = star_groups(fact, dims, axes, measures)
     merged = groups.groupBy(*labels).agg(*merge)
     return merged.selectExpr(*labels, "trips", *[c for m in measures for c in m.finished()])
 
 
-def agg_revenue_monthly(fact: DataFrame, dims: StarDimensions, decimals: int | None = None) -> DataFrame:
+def agg_revenue_monthly(fact: DataFrame, dims: StarDimensions) -> DataFrame:
     axes = (SERVICE_TYPE, MONTH)
-    return star_rollup(fact, dims, axes, (TOTAL, DISTANCE, DURATION, TIP), decimals)
+    return star_rollup(fact, dims, axes, (TOTAL, DISTANCE, DURATION, TIP))
 
 
-def agg_trips_by_hour(fact: DataFrame, dims: StarDimensions, decimals: int | None = None) -> DataFrame:
+def agg_trips_by_hour(fact: DataFrame, dims: StarDimensions) -> DataFrame:
     axes = (SERVICE_TYPE, MONTH, HOUR_AND_PERIOD)
-    return star_rollup(fact, dims, axes, (PASSENGERS, TOTAL_AVERAGE), decimals)
+    return star_rollup(fact, dims, axes, (PASSENGERS, TOTAL_AVERAGE))
 
 
-def agg_trips_by_zone(fact: DataFrame, dims: StarDimensions, decimals: int | None = None) -> DataFrame:
+def agg_trips_by_zone(fact: DataFrame, dims: StarDimensions) -> DataFrame:
     axes = (SERVICE_TYPE, PICKUP_ZONE)
-    return star_rollup(fact, dims, axes, (TOTAL_AVERAGE, DISTANCE, AIRPORT), decimals)
+    return star_rollup(fact, dims, axes, (TOTAL_AVERAGE, DISTANCE, AIRPORT))
 
 
 CUBE_MEASURES = (TOTAL, PASSENGERS, DISTANCE, DURATION, TIP)
@@ -136,7 +134,7 @@ CUBE_MEASURES = (TOTAL, PASSENGERS, DISTANCE, DURATION, TIP)
 CUBE_AXES = (SERVICE_TYPE, MONTH, HOUR, PICKUP_BOROUGH, PAYMENT)
 
 
-def cube_trips(fact: DataFrame, dims: StarDimensions, decimals: int | None = None) -> DataFrame:
+def cube_trips(fact: DataFrame, dims: StarDimensions) -> DataFrame:
     """All 2^6 subtotals. ``grouping_id`` tells a rolled-up dimension from a NULL label.
 
     The cube runs over the finest groups instead of over trips, so the 64-fold expansion
@@ -144,13 +142,12 @@ def cube_trips(fact: DataFrame, dims: StarDimensions, decimals: int | None = Non
     adaptive execution to merge them into one partition, just before they multiply; a
     fixed number of partitions keeps the expansion spread out. It takes the place of the
     shuffle the aggregation needs anyway."""
-    measures = [m.with_decimals(decimals) for m in CUBE_MEASURES]
-    groups, labels, merge = star_groups(fact, dims, CUBE_AXES, measures)
+    groups, labels, merge = star_groups(fact, dims, CUBE_AXES, CUBE_MEASURES)
     tasks = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     finest = groups.repartition(tasks, *labels).groupBy(*labels).agg(*merge)
     cubed = finest.cube(*labels).agg(F.grouping_id().alias("grouping_id"), *merge)
     return cubed.selectExpr(
-        *labels, "grouping_id", "trips", *[c for m in measures for c in m.finished()]
+        *labels, "grouping_id", "trips", *[c for m in CUBE_MEASURES for c in m.finished()]
     )
 
 

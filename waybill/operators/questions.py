@@ -27,11 +27,11 @@ def monthly_average(revenue_monthly: DataFrame, service_type: str = "yellow") ->
 
 
 def average_of_months(
-    revenue_monthly: DataFrame, service_type: str = "yellow", decimals: int | None = None
+    revenue_monthly: DataFrame, service_type: str = "yellow"
 ) -> DataFrame:
     """Average of the monthly totals, and the unweighted average of the monthly averages."""
-    received = Measure("sum_total_amount", decimals=decimals)
-    per_trip = Measure("avg_total_amount", decimals=None if decimals is None else 6)
+    received = Measure("sum_total_amount")
+    per_trip = Measure("avg_total_amount")
     return revenue_monthly.filter(F.col("service_type") == service_type).selectExpr(
         f"ROUND({received.average_in_one()}, 2) AS media_total_recebido_por_mes",
         f"ROUND({per_trip.average_in_one()}, 2) AS media_total_amount_por_corrida",
@@ -56,9 +56,9 @@ def passengers_by_hour(fact: DataFrame, dims: StarDimensions, month: int = 5) ->
     )
 
 
-def silver_monthly(silver: DataFrame, decimals: int | None = None) -> DataFrame:
+def silver_monthly(silver: DataFrame) -> DataFrame:
     """Straight from a silver table: trips, average and total per month."""
-    amount = Measure("total_amount", decimals=decimals)
+    amount = Measure("total_amount")
     return (
         silver.groupBy(F.col("pickup_year").alias("ano"), F.col("pickup_month").alias("mes"))
         .agg(
@@ -70,8 +70,8 @@ def silver_monthly(silver: DataFrame, decimals: int | None = None) -> DataFrame:
     )
 
 
-def silver_overall(silver: DataFrame, decimals: int | None = None) -> DataFrame:
-    average = Measure("total_amount", decimals=decimals).average_in_one()
+def silver_overall(silver: DataFrame) -> DataFrame:
+    average = Measure("total_amount").average_in_one()
     return silver.selectExpr(f"ROUND({average}, 2) AS media_total_amount_periodo")
 
 
