@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,7 +29,7 @@ from waybill.functions.dates import window_end
 from waybill.functions.names import detect_dropoff_col, detect_pickup_col
 from waybill.operators import bronze, dashboard, marts, quality, questions, schema, silver
 from waybill.operators.dimensions import calendar, dim_date, dim_row_counts
-from waybill.operators.fact import conform
+from waybill.operators.fact import FACT_COLUMNS, conform
 from waybill.operators.lookup import Dimension
 from waybill.operators.sinks import preview
 from waybill.operators.zones import enrich_with_zones, zone_lookup
@@ -278,7 +278,7 @@ def all_code_labels(spark, sf_dir):
     return joined.selectExpr("dim", "key", "label", "COALESCE(trips, 0) AS trips")
 
 
-FACT_TEXT_COLUMNS = ("vendor_id", "passenger_count", "total_amount", "pickup_datetime", "dropoff_datetime")
+FACT_VALUES = tuple(c for c in FACT_COLUMNS if c != "trip_sk")
 
 
 def value_counts_by_column(df: DataFrame, *columns: str) -> DataFrame:
@@ -291,11 +291,11 @@ def value_counts_by_column(df: DataFrame, *columns: str) -> DataFrame:
 @query(
     "scan_column_catalog",
     over_sources(
-        "\nUNION ALL ".join(f"SELECT '{c}' AS col, count({c}) AS filled FROM fact" for c in FACT_TEXT_COLUMNS)
+        "\nUNION ALL ".join(f"SELECT '{c}' AS col, count({c}) AS filled FROM fact" for c in FACT_VALUES)
     ),
 )
 def scan_column_catalog(spark, sf_dir):
-    fact = trips.fact(spark, sf_dir, *FACT_TEXT_COLUMNS)
+    fact = trips.fact(spark, sf_dir)
     filled = value_counts_by_column(fact, *fact.columns)
     return quality.column_names(fact).join(filled, "col")
 
@@ -443,7 +443,7 @@ def snake_case_columns(spark, sf_dir):
 def detect_column(spark, sf_dir):
     parts = []
     for taxi_type in trips.PERIODS:
-        named = schema.snake_case_columns(trips.raw(spark, sf_dir, taxi_type, located=False))
+        named = schema.snake_case_columns(trips.raw(spark, sf_dir, taxi_type))
         pickup, dropoff = detect_pickup_col(named.columns), detect_dropoff_col(named.columns)
         parts.append(
             named.selectExpr(
@@ -521,6 +521,7 @@ def derive_partitions(spark, sf_dir):
     return count_by(silver.derive_partitions(orders), *silver.PARTITION_COLUMNS)
 
 
+# fixed values: published codes and their labels
 VENDOR_SQL = "CASE vendor_id WHEN 1 THEN 'Creative Mobile Technologies' WHEN 2 THEN 'VeriFone Inc.' END"
 RATE_SQL = """CASE ratecode_id WHEN 1 THEN 'Standard' WHEN 2 THEN 'JFK' WHEN 3 THEN 'Newark'
               WHEN 4 THEN 'Nassau/Westchester' WHEN 5 THEN 'Negociada' WHEN 6 THEN 'Group ride' END"""
@@ -541,7 +542,7 @@ FLAG_SQL = "CASE upper(trim({0})) WHEN 'Y' THEN true WHEN 'N' THEN false END"
     ),
 )
 def code_labels(spark, sf_dir):
-    named = schema.snake_case_columns(trips.raw(spark, sf_dir, "yellow", located=False))
+    named = schema.snake_case_columns(trips.raw(spark, sf_dir, "yellow"))
     labelled = silver.add_coded_labels(named, "yellow")
     pairs = [c for label in RECORD_TYPES["yellow"].labels for c in (label.source, label.target)]
     return count_by(labelled, *pairs)
@@ -555,7 +556,7 @@ def code_labels(spark, sf_dir):
     ),
 )
 def code_labels_license(spark, sf_dir):
-    named = schema.snake_case_columns(trips.raw(spark, sf_dir, "fhvhv", located=False))
+    named = schema.snake_case_columns(trips.raw(spark, sf_dir, "fhvhv"))
     labelled = silver.add_coded_labels(named, "fhvhv")
     return count_by(labelled, "hvfhs_license_num", "hvfhs_license_name")
 
@@ -572,7 +573,7 @@ def code_labels_license(spark, sf_dir):
 def yn_to_bool(spark, sf_dir):
     parts = []
     for taxi_type in ("yellow", "green", "fhvhv"):
-        named = schema.snake_case_columns(trips.raw(spark, sf_dir, taxi_type, located=False))
+        named = schema.snake_case_columns(trips.raw(spark, sf_dir, taxi_type))
         (flag,) = RECORD_TYPES[taxi_type].flags
         labelled = silver.add_coded_labels(named, taxi_type)
         parts.append(labelled.selectExpr(f"'{taxi_type}' AS service_type", f"{flag} AS flag"))
@@ -663,7 +664,7 @@ def union_all_types(spark, sf_dir):
     over_sources("SELECT pickup_datetime, total_amount FROM trip WHERE service_type = 'fhvhv'"),
 )
 def component_total(spark, sf_dir):
-    rides = trips.silver(spark, sf_dir, "fhvhv", with_zones=False, located=False)
+    rides = trips.silver(spark, sf_dir, "fhvhv", with_zones=False)
     return conform(rides, RECORD_TYPES["fhvhv"]).select("pickup_datetime", "total_amount")
 
 
@@ -696,17 +697,19 @@ _register_fact_counts("metric_count", "service_type_key", "is_airport_trip")
 @query(
     "surrogate_key",
     over_sources(
-        """SELECT md5(service_type || '|' || coalesce(CAST(vendor_id AS VARCHAR), '')
+        """SELECT trip_sk, service_type_key, 1::BIGINT AS trips FROM (SELECT md5(service_type || '|' || coalesce(CAST(vendor_id AS VARCHAR), '')
                    || '|' || coalesce(CAST(CAST(pu_location_id AS INTEGER) AS VARCHAR), '')
                    || '|' || coalesce(CAST(CAST(do_location_id AS INTEGER) AS VARCHAR), '')
                    || '|' || coalesce(CAST(epoch_us(pickup_datetime) AS VARCHAR), '')
-                   || '|' || coalesce(CAST(epoch_us(dropoff_datetime) AS VARCHAR), '')) AS trip_sk,
+                   || '|' || coalesce(CAST(epoch_us(dropoff_datetime) AS VARCHAR), '')) AS hashed,
+                  hashed || '-' || CAST(row_number() OVER (PARTITION BY hashed) AS VARCHAR) AS trip_sk,
                   service_type_key
-           FROM fact"""
+           FROM fact)"""
     ),
 )
 def surrogate_key(spark, sf_dir):
-    return trips.fact(spark, sf_dir, "trip_sk", "service_type_key", stable_keys=True)
+    keyed = trips.fact(spark, sf_dir, "trip_sk", "service_type_key", stable_keys=True)
+    return keyed.groupBy("trip_sk", "service_type_key").agg(F.count(F.lit(1)).alias("trips"))
 
 
 @query(
@@ -731,7 +734,7 @@ def sequential_key(spark, sf_dir):
     ),
 )
 def valid_dates(spark, sf_dir):
-    lines = schema.snake_case_columns(trips.raw(spark, sf_dir, "yellow", located=False))
+    lines = schema.snake_case_columns(trips.raw(spark, sf_dir, "yellow"))
     kept = silver.filter_valid_dates(lines, "1995-01-01", "2001-07-01")
     return kept.select("vendor_id", "tpep_pickup_datetime", "tpep_dropoff_datetime", "total_amount")
 
@@ -816,7 +819,7 @@ def filter_options(spark, sf_dir):
     over_sources(f"SELECT '{fv.CONTRACT_OK}' AS consumption_contract, count(*) AS trips FROM fact"),
 )
 def column_contract(spark, sf_dir):
-    fact = trips.fact(spark, sf_dir, *fv.CONTRACT_COLUMNS)
+    fact = trips.fact(spark, sf_dir)
     verdict = quality.column_contract(fact).selectExpr("*", "CAST(NULL AS BIGINT) AS trips")
     counted = fact.selectExpr("CAST(NULL AS STRING) AS consumption_contract", "count(1) AS trips")
     return verdict.unionByName(counted).selectExpr(
@@ -824,6 +827,34 @@ def column_contract(spark, sf_dir):
     )
 
 
+LACKED = {
+    "yellow": ("hvfhs_license_num", "pickup_datetime", "dropoff_datetime"),
+    "green": ("hvfhs_license_num", "pickup_datetime", "dropoff_datetime"),
+    "fhv": ("vendor_id", "payment_type", "passenger_count", "total_amount", "hvfhs_license_num", "dropoff_datetime"),
+    "fhvhv": ("vendor_id", "payment_type", "passenger_count", "total_amount"),
+}
+ASKED_OF_SILVER = tuple(sorted({c for lacked in LACKED.values() for c in lacked}))
+
+
+@query(
+    "missing_columns",
+    "\nUNION ALL ".join(
+        f"SELECT '{t}' AS taxi_type, '{c}' AS col, (SELECT count(*) FROM {table}) > 0 AS has_rows"
+        for t, table in (("yellow", "lineitem"), ("green", "lineitem"), ("fhv", "orders"), ("fhvhv", "events"))
+        for c in LACKED[t]
+    ),
+)
+def missing_columns(spark, sf_dir):
+    """What each silver table lacks of the columns somebody might ask all of them for."""
+    found = [
+        quality.missing_columns(silver_table, ASKED_OF_SILVER).crossJoin(
+            silver_table.selectExpr("count(1) > 0 AS has_rows")
+        ).selectExpr(f"'{t}' AS taxi_type", "col", "has_rows")
+        for t, silver_table in ((t, trips.silver(spark, sf_dir, t)) for t in trips.PERIODS)
+    ]
+    return schema.balanced_union(found)
+
+
 # --- joins -----------------------------------------------------------------------------
 
 
@@ -920,10 +951,20 @@ def dedup_full_row(spark, sf_dir):
     return bronze.deduplicate(_redelivered(spark, sf_dir))
 
 
-@query("dedup_keys", f"SELECT DISTINCT l_orderkey, l_linenumber FROM {REDELIVERED}")
+@query(
+    "dedup_keys",
+    f"SELECT DISTINCT l_orderkey, l_linenumber, CAST(1 AS BIGINT) AS kept, CAST(1 AS BIGINT) AS delivered FROM {REDELIVERED}",
+)
 def dedup_keys(spark, sf_dir):
-    """Which row of a key survives is arbitrary, so only the keys are returned."""
-    return bronze.deduplicate(_redelivered(spark, sf_dir), LINE_KEY).select(*LINE_KEY)
+    """Which row of a key survives is arbitrary. Returned per key: how many rows survive, and
+    how many of these the source has exactly like that, in all columns."""
+    source = _redelivered(spark, sf_dir)
+    kept = bronze.deduplicate(source, LINE_KEY)
+    as_delivered = F.expr(" AND ".join(f"kept.{c} <=> source.{c}" for c in source.columns))
+    found = kept.alias("kept").join(source.distinct().alias("source"), as_delivered, "left")
+    return found.groupBy("kept.l_orderkey", "kept.l_linenumber").agg(
+        F.count(F.lit(1)).alias("kept"), F.count("source.l_orderkey").alias("delivered")
+    )
 
 
 @query(
@@ -1041,7 +1082,7 @@ def q_passengers_by_hour(spark, sf_dir):
 
 
 def _yellow(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trips.silver(spark, sf_dir, "yellow", with_zones=False, located=False)
+    return trips.silver(spark, sf_dir, "yellow", with_zones=False)
 
 
 @query(
@@ -1179,6 +1220,43 @@ def metric_count_of_mart(spark, sf_dir):
     return dashboard.metric_count(_revenue(spark, sf_dir))
 
 
+@query(
+    "metric_count_of_hours",
+    over_sources(
+        f"SELECT period_of_day, count(*) AS count FROM (SELECT service_type, year, month, hour, period_of_day FROM starred GROUP BY ALL) GROUP BY 1"
+    ),
+)
+def metric_count_of_hours(spark, sf_dir):
+    return dashboard.metric_count(trips_by_hour(spark, sf_dir), "period_of_day")
+
+
+@query("metric_count_of_zones", over_sources("SELECT borough, count(*) AS count FROM dim_zone GROUP BY 1"))
+def metric_count_of_zones(spark, sf_dir):
+    return dashboard.metric_count(trips.dimensions(spark, sf_dir).zone.frame, "borough")
+
+
+@query(
+    "filter_zones",
+    over_sources("SELECT * FROM z WHERE zone IN ('CHINA', 'BRAZIL', 'KENYA')", f"z AS ({ZONE_SHARE_SQL})"),
+)
+def filter_zones(spark, sf_dir):
+    return dashboard.select_values(_zone_share(spark, sf_dir), "zone", ["CHINA", "BRAZIL", "KENYA"])
+
+
+@query(
+    "filters_combined",
+    over_sources(
+        """SELECT zone, count(*) FILTER (borough IN ('ASIA', 'AFRICA')) AS zone_associativity FROM z
+           WHERE trip_count > 0 GROUP BY 1""",
+        f"z AS ({ZONE_SHARE_SQL})",
+    ),
+)
+def filters_combined(spark, sf_dir):
+    """The zone filter's choices, with how many rows of each the borough filter lets through."""
+    shares = _zone_share(spark, sf_dir)
+    return dashboard.filter_options(shares, "zone", F.col("borough").isin("ASIA", "AFRICA"))
+
+
 # --- dimensions, set operations, order ----------------------------------------------------------
 
 
@@ -1345,13 +1423,21 @@ def sort_array(spark, sf_dir):
 
 @query(
     "order_by",
-    over_sources("SELECT service_type, pickup_borough, pickup_zone, trips, airport_trips FROM mart", f"mart AS ({ZONE_MART})"),
+    over_sources(
+        """SELECT service_type, pickup_borough, pickup_zone, trips, airport_trips,
+                  CAST(row_number() OVER (ORDER BY service_type, trips DESC, pickup_zone) AS INTEGER) AS position
+           FROM mart""",
+        f"mart AS ({ZONE_MART})",
+    ),
 )
 def order_by(spark, sf_dir):
     mart = _zone_mart(spark, sf_dir).select(
         "service_type", "pickup_borough", "pickup_zone", "trips", "airport_trips"
     )
-    return mart.orderBy("service_type", F.desc("trips"), "pickup_zone")
+    ordered = mart.orderBy("service_type", F.desc("trips"), "pickup_zone")
+    # numbers grow with the rows of a partition and with partitions, so they show the order
+    numbered = ordered.withColumn("place", F.monotonically_increasing_id())
+    return numbered.withColumn("position", F.row_number().over(Window.orderBy("place"))).drop("place")
 
 
 @query(

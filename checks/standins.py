@@ -12,8 +12,9 @@ get the published names and types, and from there on the real operators run unch
 An hour of day is derived from the customer key, because order dates are midnights.
 Lines, orders, customers and suppliers are all large, so joining them is left to Catalyst:
 below its broadcast threshold a side is broadcast, above it the join shuffles on its key
-and adaptive execution splits hot partitions. Customers and suppliers only contribute the
-locations; a query that needs none (``located=False``) does not read them.
+and adaptive execution splits hot partitions. Every query
+joins them, whether or not it looks at the locations they contribute: that their keys are unique
+is nobody's promise.
 
 The functions are cached per session: what is kept are lazy plans, never rows, so that
 sixty queries do not list the same files and analyze the same projections sixty times.
@@ -27,13 +28,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waybill.functions.dates import valid_window
+from waybill.operators.bronze import build_bronze
 from waybill.operators.dimensions import StarDimensions, star_dimensions
 from waybill.operators.fact import FACT_COLUMNS, build_fact, union_all_types
 from waybill.operators.lookup import Dimension
 from waybill.operators.silver import standardize_silver
 from waybill.operators.zones import zone_lookup
 
-# One ingested period per stand-in: orders run 1995-01..2001-08, events through 2024-01.
+# One ingested period per stand-in, as literals: a validity window is a setting of the flow, and
+# the SQL has the same ones. Rows outside are left out on both sides.
 PERIODS = {
     "yellow": ("1995-01-01", "2001-06-01"),
     "green": ("1995-01-01", "2001-06-01"),
@@ -65,21 +68,19 @@ def zones_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _with_nation(
-    spark: SparkSession, sf_dir: str, df: DataFrame, on: str, party: str, key: str, located: bool
+    spark: SparkSession, sf_dir: str, df: DataFrame, on: str, party: str, key: str
 ) -> DataFrame:
-    """Add the nation of a customer or supplier; NULL if there is none, or none is wanted."""
+    """Add the nation of a customer or supplier; NULL if there is none."""
     nation = f"{key[0]}_nationkey"
-    if not located:
-        return df.withColumn(nation, F.lit(None).cast("int"))
     parties = table(spark, sf_dir, party).select(key, nation)
     return df.join(parties, F.col(on) == F.col(key), "left")
 
 
 @cache
-def _ordered(spark: SparkSession, sf_dir: str, located: bool) -> DataFrame:
+def _ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders with the customer's nation and a time of day."""
     orders = table(spark, sf_dir, "orders")
-    placed = _with_nation(spark, sf_dir, orders, "o_custkey", "customer", "c_custkey", located)
+    placed = _with_nation(spark, sf_dir, orders, "o_custkey", "customer", "c_custkey")
     return placed.select(
         "o_orderkey",
         "o_orderstatus",
@@ -91,13 +92,13 @@ def _ordered(spark: SparkSession, sf_dir: str, located: bool) -> DataFrame:
 
 @cache
 def lines_raw(
-    spark: SparkSession, sf_dir: str, prefix: str, returned: bool, located: bool
+    spark: SparkSession, sf_dir: str, prefix: str, returned: bool
 ) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem")
     chosen = lines.filter(
         F.col("l_returnflag") == "R" if returned else F.col("l_returnflag") != "R"
     )
-    ordered = _ordered(spark, sf_dir, located)
+    ordered = _ordered(spark, sf_dir)
     joined = _with_nation(
         spark,
         sf_dir,
@@ -105,7 +106,6 @@ def lines_raw(
         "l_suppkey",
         "supplier",
         "s_suppkey",
-        located,
     )
     price = F.col("l_extendedprice")
     tip, tolls = price * F.col("l_discount"), price * F.col("l_tax")
@@ -129,8 +129,8 @@ def lines_raw(
 
 
 @cache
-def orders_raw(spark: SparkSession, sf_dir: str, located: bool) -> DataFrame:
-    return _ordered(spark, sf_dir, located).select(
+def orders_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _ordered(spark, sf_dir).select(
         F.concat(F.lit("B"), "o_orderstatus").alias("dispatching_base_num"),
         F.col("ordered_at").alias("pickup_datetime"),
         F.lit(None).cast("timestamp_ntz").alias("dropOff_datetime"),
@@ -142,9 +142,9 @@ def orders_raw(spark: SparkSession, sf_dir: str, located: bool) -> DataFrame:
 
 
 @cache
-def events_raw(spark: SparkSession, sf_dir: str, located: bool) -> DataFrame:
+def events_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
-    joined = _with_nation(spark, sf_dir, events, "user_id", "customer", "c_custkey", located)
+    joined = _with_nation(spark, sf_dir, events, "user_id", "customer", "c_custkey")
     kind, value = F.col("event_type"), F.col("value")
     licence = (
         F.when(kind == "click", "HV0002")
@@ -175,12 +175,12 @@ def events_raw(spark: SparkSession, sf_dir: str, located: bool) -> DataFrame:
     )
 
 
-def raw(spark: SparkSession, sf_dir: str, taxi_type: str, located: bool = True) -> DataFrame:
+def raw(spark: SparkSession, sf_dir: str, taxi_type: str) -> DataFrame:
     if taxi_type == "yellow":
-        return lines_raw(spark, sf_dir, "tpep", False, located)
+        return lines_raw(spark, sf_dir, "tpep", False)
     if taxi_type == "green":
-        return lines_raw(spark, sf_dir, "lpep", True, located)
-    return (orders_raw if taxi_type == "fhv" else events_raw)(spark, sf_dir, located)
+        return lines_raw(spark, sf_dir, "lpep", True)
+    return (orders_raw if taxi_type == "fhv" else events_raw)(spark, sf_dir)
 
 
 @cache
@@ -194,11 +194,10 @@ def silver(
     sf_dir: str,
     taxi_type: str,
     with_zones: bool = True,
-    located: bool = True,
 ) -> DataFrame:
     start, end = valid_window(*PERIODS[taxi_type])
     return standardize_silver(
-        raw(spark, sf_dir, taxi_type, located),
+        build_bronze(raw(spark, sf_dir, taxi_type), dedup=False).drop("dt_ingestion"),
         zone_df=zones(spark, sf_dir) if with_zones else None,
         taxi_type=taxi_type,
         valid_start=start,
@@ -208,9 +207,9 @@ def silver(
 
 @cache
 def unified(
-    spark: SparkSession, sf_dir: str, with_zones: bool = True, located: bool = True
+    spark: SparkSession, sf_dir: str, with_zones: bool = True
 ) -> DataFrame:
-    return union_all_types({t: silver(spark, sf_dir, t, with_zones, located) for t in PERIODS})
+    return union_all_types({t: silver(spark, sf_dir, t, with_zones) for t in PERIODS})
 
 
 @cache
@@ -218,9 +217,6 @@ def dimensions(spark: SparkSession, sf_dir: str, date: Dimension | None = None)
     return star_dimensions(spark, zones(spark, sf_dir), date)
 
 
-_NEEDS_LOCATIONS = {"trip_sk", "pickup_zone_key", "dropoff_zone_key", "is_airport_trip"}
-
-
 def fact(
     spark: SparkSession, sf_dir: str, *columns: str, stable_keys: bool = False
 ) -> DataFrame:
@@ -231,6 +227,5 @@ def fact(
         spark,
         sf_dir,
         with_zones="is_airport_trip" in wanted,
-        located=bool(_NEEDS_LOCATIONS & set(wanted)),
     )
     return build_fact(rows, dimensions(spark, sf_dir), wanted, stable_keys)

@@ -14,7 +14,7 @@ from waybill.sources.calendars import date_bounds, days_of, months
 from waybill.sources.files import landed_months, monthly_paths, optional_table, read_monthly, read_zone_csv
 from waybill.sources.inline import inline_values
 
-CSV = 'LocationID,Borough,Zone,service_zone\n132,Queens,JFK Airport,Airports\n100,Manhattan,"Garment, District",Yellow Zone\nx,?,?,?\n'
+CSV = 'LocationID,Borough,Zone,service_zone\n61,Northside,North Field,Airports\n57,Midtown,"Mill, Lane",Yellow Zone\nx,?,?,?\n'
 
 
 @pytest.fixture(scope="module")
@@ -35,9 +35,9 @@ def landing(spark, tmp_path_factory):
             " tip_amount double, tolls_amount double, total_amount double, {fee} {n}"
         )
         trip = lambda day, vendor=1: (
-            vendor, when(f"{day} 10:00:00"), when(f"{day} 10:20:00"), 1, 2.5, 1, "N", 132, 100, 1, 9.0, 1.0, 0.0, 10.0, 0,
+            vendor, when(f"{day} 10:00:00"), when(f"{day} 10:20:00"), 1, 2.5, 1, "N", 61, 57, 1, 9.0, 1.0, 0.0, 10.0, 0,
         )
-        put(taxi_type, "2023-01", common.format(n="bigint", fee="airport_fee"), trip("2023-01-05"), trip("2023-01-05"), trip("2098-01-01"))
+        put(taxi_type, "2023-01", common.format(n="bigint", fee="airport_fee"), trip("2023-01-05"), trip("2023-01-05"), trip("2140-01-01"))
         later = tuple(float(v) if i in (3, 5, 14) else v for i, v in enumerate(trip("2023-02-05", 2)))
         put(taxi_type, "2023-02", common.format(n="double", fee="Airport_fee"), later)
     for month in ("2023-01", "2023-02"):
@@ -46,7 +46,7 @@ def landing(spark, tmp_path_factory):
             month,
             "dispatching_base_num string, pickup_datetime timestamp_ntz, dropOff_datetime timestamp_ntz,"
             " PUlocationID double, DOlocationID double, SR_Flag int, Affiliated_base_number string",
-            ("B1", when(f"{month}-10 08:00:00"), when(f"{month}-10 08:30:00"), None, 100.0, None, "B1"),
+            ("B1", when(f"{month}-10 08:00:00"), when(f"{month}-10 08:30:00"), None, 57.0, None, "B1"),
         )
         put(
             "fhvhv",
@@ -55,7 +55,7 @@ def landing(spark, tmp_path_factory):
             " PULocationID bigint, DOLocationID bigint, trip_miles double, base_passenger_fare double,"
             " tolls double, bcf double, sales_tax double, congestion_surcharge double, airport_fee double,"
             " tips double, shared_request_flag string",
-            ("HV0003", when(f"{month}-10 09:00:00"), when(f"{month}-10 09:30:00"), 100, 132, 4.0, 20.0, 0.0, 0.5, 1.5, 2.75, None, 3.0, "N"),
+            ("HV0003", when(f"{month}-10 09:00:00"), when(f"{month}-10 09:30:00"), 57, 61, 4.0, 20.0, 0.0, 0.5, 1.5, 2.75, None, 3.0, "N"),
         )
     (root / "zones.csv").write_text(CSV)
     return str(root)
@@ -82,7 +82,7 @@ def test_drifting_months_are_one_frame(spark, landing, plan_of):
 def test_zone_csv(spark, landing):
     zones = read_zone_csv(spark, f"{landing}/zones.csv")
     assert zones.dtypes == [(c, "int" if c == "location_id" else "string") for c in fv.ZONE_COMMENTS]
-    assert rows(zones, "location_id", "zone") == [(100, "Garment, District"), (132, "JFK Airport"), (None, "?")]
+    assert rows(zones, "location_id", "zone") == [(57, "Mill, Lane"), (61, "North Field"), (None, "?")]
 
 
 def test_landed_months(spark, tmp_path):
@@ -143,6 +143,10 @@ def test_sinks(spark):
     apply_comments(spark, "sinks.t", {"other": "a 'quoted' text", "absent": "x"})
     assert spark.catalog.listColumns("sinks.t")[0].description == "a 'quoted' text"
     assert optional_table(spark, "sinks.t").count() == 2
+    broken = df.selectExpr("CAST(raise_error('no') AS STRING) AS other")
+    with pytest.raises(Exception, match="no"):
+        write_table(broken, "sinks.t")
+    assert rows(spark.table("sinks.t")) == [("1",), ("2",)]  # the old rows, readable as before
     assert optional_table(spark, "sinks.nothing") is None
     assert preview(spark.range(50)).count() == 20
 
@@ -157,15 +161,16 @@ def test_whole_flow(spark, landing):
         silver="flow_silver",
         gold="flow_gold",
     )
-    with pytest.raises(Exception, match="yellow_tripdata_2023-03"):
+    with pytest.raises(FileNotFoundError, match="yellow: 2023-03"):
         run(spark, Medallion(**{**vars(plan), "date_stop": "2023-03-01"}))
+    assert not spark.catalog.tableExists("flow_bronze.yellow_trips")  # nothing was touched
     # the unknown id in the CSV is a NULL key, which is no key at all
     run(spark, plan)
     assert spark.table("flow_bronze.yellow_trips").count() == 3  # one exact copy removed
     silver = spark.table("flow_silver.yellow_trips")
     assert rows(silver, "vendor_id", "pickup_year", "pickup_month", "pickup_borough") == [
-        (1, 2023, 1, "Queens"),
-        (2, 2023, 2, "Queens"),
+        (1, 2023, 1, "Northside"),
+        (2, 2023, 2, "Northside"),
     ]
     partitions = {c.name for c in spark.catalog.listColumns("flow_silver.yellow_trips") if c.isPartition}
     assert partitions == {"pickup_year", "pickup_month"}
@@ -174,7 +179,7 @@ def test_whole_flow(spark, landing):
 
     fact = spark.table("flow_gold.fact_trips")
     assert dict(rows(fact.groupBy("service_type_key").count())) == {1: 2, 2: 2, 3: 2, 4: 2}
-    assert rows(fact.filter("service_type_key = 3"), "pickup_zone_key", "dropoff_zone_key") == [(-1, 100)] * 2
+    assert rows(fact.filter("service_type_key = 3"), "pickup_zone_key", "dropoff_zone_key") == [(-1, 57)] * 2
     assert spark.catalog.getTable("flow_gold.fact_trips").description == fv.TABLE_COMMENTS["fact_trips"]
     revenue = spark.table("flow_gold.agg_revenue_monthly")
     assert rows(revenue.filter("service_type = 'fhvhv'"), "month", "trips", "sum_total_amount") == [

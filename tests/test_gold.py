@@ -32,18 +32,18 @@ def metered(prefix):
 def silver(spark):
     yellow = [
         # 125 seconds are two whole minutes
-        (1, 2.0, 1.0, at("2023-05-01 08:00:00"), at("2023-05-01 08:02:05"), 132, 100, 2.0, 3.5, 10.0, 2.0, 0.0, 12.0, True),
+        (1, 2.0, 1.0, at("2023-05-01 08:00:00"), at("2023-05-01 08:02:05"), 61, 57, 2.0, 3.5, 10.0, 2.0, 0.0, 12.0, True),
         # unknown zone, vendor and codes; 2.5 is cut to rate code 2
-        (9, 2.5, 0.0, at("2023-05-02 23:59:59"), at("2023-05-03 00:10:00"), 999, 100, None, 1.0, 5.0, 0.0, 0.0, 5.0, False),
+        (9, 2.5, 0.0, at("2023-05-02 23:59:59"), at("2023-05-03 00:10:00"), 999, 57, None, 1.0, 5.0, 0.0, 0.0, 5.0, False),
         (2, 99.0, None, at("2023-04-30 06:00:00"), None, None, None, 1.0, None, 7.0, 1.0, 0.0, None, False),
     ]
     green = [
-        (2, 1.0, 2.0, at("2023-05-01 12:00:00"), at("2023-05-01 13:00:00"), 100, 132, 4.0, 8.0, 20.0, 0.0, 6.0, 26.0, True)
+        (2, 1.0, 2.0, at("2023-05-01 12:00:00"), at("2023-05-01 13:00:00"), 57, 61, 4.0, 8.0, 20.0, 0.0, 6.0, 26.0, True)
     ]
-    fhv = [("B1", at("2023-05-01 18:30:00"), at("2023-05-01 18:31:59"), 100, None)]
+    fhv = [("B1", at("2023-05-01 18:30:00"), at("2023-05-01 18:31:59"), 57, None)]
     fhvhv = [
-        ("HV0003", at("2023-05-01 08:15:00"), at("2023-05-01 08:00:00"), 100, 100, 2.0, 10.0, None, 0.5, 1.0, 2.75, None, 3.0),
-        ("HV9999", at("2023-06-30 00:00:00"), at("2023-06-30 01:00:00"), 132, 100, 1.0, None, None, None, None, None, None, None),
+        ("HV0003", at("2023-05-01 08:15:00"), at("2023-05-01 08:00:00"), 57, 57, 2.0, 10.0, None, 0.5, 1.0, 2.75, None, 3.0),
+        ("HV9999", at("2023-06-30 00:00:00"), at("2023-06-30 01:00:00"), 61, 57, 1.0, None, None, None, None, None, None, None),
     ]
     return {
         "yellow": spark.createDataFrame(yellow, metered("tpep")),
@@ -66,7 +66,7 @@ def silver(spark):
 @pytest.fixture(scope="module")
 def dims(spark, silver):
     zones = spark.createDataFrame(
-        [(132, "Queens", "JFK Airport", "Airports"), (100, "Manhattan", "Garment District", "Yellow Zone")],
+        [(61, "Northside", "North Field", "Airports"), (57, "Midtown", "Mill Lane", "Yellow Zone")],
         ["LocationID", "Borough", "Zone", "service_zone"],
     )
     return star_dimensions(spark, zones, dim_date(silver))
@@ -100,13 +100,13 @@ def test_fact_keys(fact):
     )
     assert got == sorted(
         [
-            (1, 132, 100, 1, 2, 1, 0),
-            (1, -1, 100, 0, 2, 0, 0),
+            (1, 61, 57, 1, 2, 1, 0),
+            (1, -1, 57, 0, 2, 0, 0),
             (1, -1, -1, 2, 0, 0, 0),
-            (2, 100, 132, 2, 1, 2, 0),
-            (3, 100, -1, 0, 0, 0, 0),
-            (4, 100, 100, 0, 0, 0, 2),
-            (4, 132, 100, 0, 0, 0, 0),
+            (2, 57, 61, 2, 1, 2, 0),
+            (3, 57, -1, 0, 0, 0, 0),
+            (4, 57, 57, 0, 0, 0, 2),
+            (4, 61, 57, 0, 0, 0, 0),
         ],
         key=lambda r: tuple(str(v) for v in r),
     )
@@ -213,9 +213,9 @@ def test_by_hour_and_zone(fact, dims):
     by_hour = rows(marts.agg_trips_by_hour(fact, dims))
     assert ("yellow", 2023, 5, 8, "Manha", 1, 2.0, 12.0) in by_hour and len(by_hour) == 7
     by_zone = rows(marts.agg_trips_by_zone(fact, dims))
-    assert ("yellow", "Queens", "JFK Airport", 1, 12.0, 3.5, 1) in by_zone
+    assert ("yellow", "Northside", "North Field", 1, 12.0, 3.5, 1) in by_zone
     assert ("yellow", "Unknown", "Unknown", 2, 5.0, 1.0, 0) in by_zone
-    assert ("fhv", "Manhattan", "Garment District", 1, None, None, None) in by_zone
+    assert ("fhv", "Midtown", "Mill Lane", 1, None, None, None) in by_zone
 
 
 def _brute_force_cube(fact, dims):
@@ -311,8 +311,8 @@ def test_dashboard(fact, dims):
     ]
     zones = dashboard.zone_share(fact, dims)
     assert sorted((z, n, float(p)) for z, _, n, p in zones.collect()) == [
-        ("Garment District", 3, 42.86),
-        ("JFK Airport", 2, 28.57),
+        ("Mill Lane", 3, 42.86),
+        ("North Field", 2, 28.57),
         ("Unknown", 2, 28.57),
     ]
     hourly = dashboard.hourly_by_type(fact, dims)

@@ -14,7 +14,7 @@ def test_silver_accepts_a_stream(spark, tmp_path):
         ).coalesce(1).write.mode("append").parquet(landing)
     zones = zone_lookup(
         spark.createDataFrame(
-            [(1, "Queens", "JFK Airport", "Airports"), (2, "Bronx", "Norwood", "Boro Zone")],
+            [(1, "Northside", "North Field", "Airports"), (2, "Southside", "Oak End", "Boro Zone")],
             ["LocationID", "Borough", "Zone", "service_zone"],
         )
     )

@@ -36,7 +36,7 @@ def parse(arguments: list[str] | None = None) -> tuple[medallion.Medallion, tupl
         parser.add_argument(f"--{layer}", default=getattr(default, layer), help="schema name")
     parser.add_argument("--no-dedup", dest="dedup", action="store_false")
     parser.add_argument("--dedup-keys", type=names, default=None)
-    parser.add_argument("--rebalance", action="store_true", help="even out silver file sizes")
+    parser.add_argument("--rebalance", action=argparse.BooleanOptionalAction, default=None, help="even out silver file sizes")
     parser.add_argument("--stages", type=names, default=tuple(STAGES))
     options = vars(parser.parse_args(arguments))
     stages = options.pop("stages")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from waybill import fixed_values as fv
+from waybill.functions.literals import literal
 
 
 def _month_number(day: str) -> int:
@@ -45,14 +46,14 @@ def date_key(when: str) -> str:
 
 
 def duration_minutes(start: str, stop: str) -> str:
-    """Whole minutes between two times, truncated toward zero."""
-    return f"CAST((unix_timestamp({stop}) - unix_timestamp({start})) / 60 AS INT)"
+    """Whole minutes between two times, truncated toward zero; NULL beyond an int."""
+    return f"try_cast((unix_timestamp({stop}) - unix_timestamp({start})) / 60 AS INT)"
 
 
 def period_of_day(hour: str) -> str:
     *earlier, (_, last) = fv.DAY_PERIODS
-    tests = " ".join(f"WHEN {hour} <= {high} THEN '{label}'" for high, label in earlier)
-    return f"CASE {tests} ELSE '{last}' END"
+    tests = " ".join(f"WHEN {hour} <= {high} THEN {literal(label)}" for high, label in earlier)
+    return f"CASE {tests} ELSE {literal(last)} END"
 
 
 def _steps(low: str, high: str, step: str) -> str:

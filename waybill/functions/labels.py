@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+from waybill.functions.literals import literal
+
 
 def code_label(column: str, names: Mapping) -> str:
     """The label of a code; NULL for an unknown or missing code.
@@ -13,10 +15,10 @@ def code_label(column: str, names: Mapping) -> str:
     if not names:
         return "CAST(NULL AS STRING)"
     if isinstance(next(iter(names)), str):
-        value, keys = f"CAST(`{column}` AS STRING)", [f"'{key}'" for key in names]
+        value, keys = f"CAST(`{column}` AS STRING)", [literal(key) for key in names]
     else:
         value, keys = f"try_cast(`{column}` AS DOUBLE)", [f"{key}D" for key in names]
-    known = " ".join(f"WHEN {key} THEN '{name}'" for key, name in zip(keys, names.values()))
+    known = " ".join(f"WHEN {key} THEN {literal(name)}" for key, name in zip(keys, names.values()))
     return f"CASE {value} {known} END"
 
 

@@ -25,11 +25,13 @@ def deduplicate(df: DataFrame, subset: Sequence[str] | None = None, strict: bool
 
     Full rows go through a hash aggregate on all columns; copies collapse inside each map
     task before the shuffle, so a group holding a large part of all rows leaves at most one
-    row per task. Which row of a key survives is arbitrary. Keys the data lacks are
-    ignored with a warning, or refused with ``strict``.
+    row per task. By key, a rank filter keeps one whole record and drops the others before the
+    shuffle; an aggregate would carry every column with a flag of its own through two sorts.
+    Which row of a key survives is arbitrary. Keys the data lacks are ignored with a warning,
+    or refused with ``strict``.
     """
     keys = _usable_keys(df, subset, strict)
-    return df.dropDuplicates(keys or df.columns)
+    return deduplicate_first(df, keys, [F.col(f"`{k}`") for k in keys]) if keys else df.dropDuplicates()
 
 
 def deduplicate_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column]) -> DataFrame:

@@ -28,19 +28,11 @@ def airport_share(fact: DataFrame, dims: StarDimensions) -> DataFrame:
 
 
 def hourly_by_type(fact: DataFrame, dims: StarDimensions) -> DataFrame:
-    """Trips per service type and pickup hour. The hour is a key of the fact already."""
-    per_key = fact.groupBy("service_type_key", "pickup_time_key").agg(
-        F.count(F.lit(1)).alias("trip_count")
-    )
-    types = dims.service_type.frame.select("service_type_key", "description")
-    return (
-        per_key.join(types, "service_type_key")
-        .select(
-            F.col("description").alias("service_type"),
-            F.col("pickup_time_key").alias("pickup_hour"),
-            "trip_count",
-        )
-        .orderBy("service_type", F.desc("trip_count"))
+    """Trips per service type and pickup hour, merged by what the types are called."""
+    hour = Axis("pickup_time_key", "time", {"hour": "pickup_hour"})
+    trips = star_rollup(fact, dims, (SERVICE_DESCRIPTION, hour))
+    return trips.selectExpr("description AS service_type", "pickup_hour", "trips AS trip_count").orderBy(
+        "service_type", F.desc("trip_count")
     )
 
 

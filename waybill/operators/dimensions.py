@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass, fields
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from waybill import fixed_values as fv
 from waybill.functions.dates import date_key, period_of_day
@@ -47,14 +49,16 @@ def dim_zone(spark: SparkSession, zones: DataFrame | Dimension) -> Dimension:
     known = zones if isinstance(zones, Dimension) else zone_lookup(zones)
     unknown = inline_values(spark, ZONE_COLUMNS, [fv.UNKNOWN_ZONE_ROW])
     rows = known.frame.selectExpr("location_id AS zone_key", *ZONE_COLUMNS[1:])
-    size = None if known.rows is None else known.rows + 1
-    return Dimension(unknown.unionByName(rows), "zone_key", size)
+    if known.rows is None or known.size is None:
+        return Dimension(unknown.unionByName(rows), "zone_key")
+    # the id is there twice, and the unknown member is short
+    return Dimension(unknown.unionByName(rows), "zone_key", known.rows + 1, known.size + 8 * known.rows + 100)
 
 
 def dim_time(spark: SparkSession) -> Dimension:
     period = f"{period_of_day('hour')} AS period_of_day"
     frame = hours(spark).selectExpr("hour AS time_key", "hour", period)
-    return Dimension(frame, "time_key", 24)
+    return Dimension(frame, "time_key", 24, 24 * 64)
 
 
 def calendar(bounds: DataFrame) -> DataFrame:
@@ -80,6 +84,16 @@ def dim_date(silver: Mapping[str, DataFrame]) -> Dimension:
     return Dimension(calendar(date_bounds(inputs)), "date_key")
 
 
+def dim_date_of_months(silver: Mapping[str, DataFrame]) -> Dimension:
+    """The same calendar from tables stored by month. The months come off the partition names;
+    only the first and the last one are read for their dates. The driver gets one row."""
+    month = "pickup_year * 100 + pickup_month"
+    stacked = reduce(DataFrame.unionByName, [df.selectExpr(f"{month} AS m").distinct() for df in silver.values()])
+    ends = stacked.selectExpr("min(m) AS low", "max(m) AS high").first()
+    outer = F.expr(month).isin(*{m for m in ends if m is not None})
+    return dim_date({name: df.filter(outer) for name, df in silver.items()})
+
+
 @dataclass(frozen=True)
 class StarDimensions:
     """``date`` may be left out: see ``marts.CALENDAR``."""

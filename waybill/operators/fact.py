@@ -26,11 +26,11 @@ def conform(df: DataFrame, record_type: RecordType) -> DataFrame:
             return f"'{record_type.name}'"
         if name == "total_amount" and record_type.total_of:
             return coalesced_sum(record_type.total_of)
-        column = record_type.conform.get(name, "NULL")
+        column = f"`{record_type.conform[name]}`" if name in record_type.conform else "NULL"
         return "NULL" if name == "is_airport_trip" and name not in df.columns else column
 
     return df.selectExpr(
-        *[f"try_cast({source(n)} AS {t}) AS {n}" for n, t in CONFORMED_SCHEMA.items()]
+        *[f"try_cast({source(n)} AS {t}) AS `{n}`" for n, t in CONFORMED_SCHEMA.items()]
     )
 
 
@@ -109,13 +109,14 @@ def build_fact(
     ``columns`` limits the output, and with it the lookups: Catalyst prunes unused columns
     but has to keep a left join it cannot prove harmless. Every dimension involved is
     literal or counted, so no lookup shuffles the facts. ``stable_keys`` replaces the
-    per-run sequence number by a hash of the natural key.
+    per-run sequence number by a hash of the natural key and, among trips that are equal in
+    it, a number; counting these is the one shuffle such keys cost.
     """
     wanted = [c for c in FACT_COLUMNS if columns is None or c in columns]
     service = dims.service_type
     rows = lookup(
         unified,
-        service.named(service.frame, "service_type"),
+        service.keyed_by("service_type"),
         "service_type",
         {"service_type_key": "service_type_key"},
         how="inner",
@@ -123,8 +124,7 @@ def build_fact(
     looked_up = {name: KEY_LOOKUPS[name] for name in wanted if name in KEY_LOOKUPS}
     for name, how in looked_up.items():
         dimension = getattr(dims, how.dimension)
-        side = dimension.named(dimension.frame, how.match)
-        rows = lookup(rows, side, how.value, {how.key: name})
+        rows = lookup(rows, dimension.keyed_by(how.match), how.value, {how.key: name})
 
     computed = {
         "trip_sk": stable_key() if stable_keys else sequential_key(),
@@ -133,4 +133,4 @@ def build_fact(
         "dropoff_date_key": date_key("dropoff_datetime"),
         "trip_duration_min": duration_minutes("pickup_datetime", "dropoff_datetime"),
     } | {name: unknown_member(name, how.unknown) for name, how in looked_up.items()}
-    return rows.selectExpr(*[f"{computed.get(c, c)} AS {c}" for c in wanted])
+    return rows.selectExpr(*[f"{computed.get(c, c)} AS `{c}`" for c in wanted])

@@ -3,58 +3,72 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from waybill.sources.inline import inline_values
 
 BROADCAST_ROWS = 100_000
 BROADCAST_BYTES = 32 * 1024 * 1024
-_TEXT_BYTES = 64
+_FIXED_BYTES = 8
 
 
 @dataclass(frozen=True)
 class Dimension:
-    """A frame with one row per ``key``. ``rows`` is its counted (or literal) size; None
-    means nobody counted, and then it is never broadcast by hint."""
+    """A frame with one row per ``key``. ``rows`` and ``size`` are its counted rows and bytes;
+    None means nobody counted, and then it is never broadcast by hint."""
 
     frame: DataFrame
     key: str
     rows: int | None = None
+    size: int | None = None
 
     @property
     def broadcastable(self) -> bool:
-        if self.rows is None:
+        if self.rows is None or self.size is None:
             return False
-        width = sum(
-            _TEXT_BYTES if f.dataType.simpleString() == "string" else 8 for f in self.frame.schema
-        )
-        return self.rows <= BROADCAST_ROWS and self.rows * width <= BROADCAST_BYTES
+        return self.rows <= BROADCAST_ROWS and self.size <= BROADCAST_BYTES
 
-    def named(self, frame: DataFrame, key: str) -> Dimension:
-        """Another projection of the same rows."""
-        return Dimension(frame, key, self.rows)
+    def keyed_by(self, key: str) -> Dimension:
+        """The same rows, looked up by another column."""
+        return replace(self, key=key)
+
+
+def row_bytes(schema: T.StructType) -> str | None:
+    """The bytes of a row as an expression; None if a column can hold any number of values."""
+    sizes = [str(_FIXED_BYTES * len(schema))]
+    for field in schema:
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            sizes.append(f"COALESCE(octet_length(`{field.name}`), 0)")
+        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
+            return None
+    return " + ".join(sizes)
 
 
 def literal_dimension(spark: SparkSession, columns: Sequence[str], rows: Sequence[tuple], key: str) -> Dimension:
-    return Dimension(inline_values(spark, columns, rows), key, len(rows))
+    size = sum(_FIXED_BYTES + len(str(value).encode()) for row in rows for value in row)
+    return Dimension(inline_values(spark, columns, rows), key, len(rows), size)
 
 
 def measured(frame: DataFrame, key: str) -> Dimension:
-    """Count a frame and make sure its key is unique.
-
-    One small job over one column, aggregated on the executors; the driver gets one row.
-    A repeated key would multiply the rows that look it up, so it is refused."""
-    per_key = frame.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    size = per_key.agg(
+    """Count a frame's rows and bytes and make sure its key is unique.
+
+    One job, aggregated on the executors; the driver gets one row. A repeated key would
+    multiply the rows that look it up, so it is refused."""
+    width = row_bytes(frame.schema)
+    bytes_of_rows = F.expr(f"sum(CAST({width} AS BIGINT))") if width else F.lit(None).cast("long")
+    per_key = frame.groupBy(key).agg(F.count(F.lit(1)).alias("n"), bytes_of_rows.alias("bytes"))
+    found = per_key.agg(
         F.sum("n").alias("rows"),
         F.max(F.when(F.col(key).isNotNull(), F.col("n"))).alias("most"),
+        F.sum("bytes").alias("bytes"),
     ).first()
-    if (size["most"] or 0) > 1:
+    if (found["most"] or 0) > 1:
         raise ValueError(f"dimension key {key} is not unique")
-    return Dimension(frame, key, size["rows"] or 0)
+    return Dimension(frame, key, found["rows"] or 0, (found["bytes"] or 0) if width else None)
 
 
 def lookup(

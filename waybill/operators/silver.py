@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waybill import fixed_values as fv
+from waybill.functions.literals import literal
 from waybill.functions.dates import as_timestamp
 from waybill.functions.labels import code_label, yes_no
 from waybill.functions.names import detect_dropoff_col, detect_pickup_col
@@ -39,8 +40,8 @@ def filter_valid_dates(df: DataFrame, valid_start: str, valid_end: str) -> DataF
         return df
     picked_up = as_timestamp(df, pickup)
     kept = df.filter(
-        f"{picked_up} IS NOT NULL AND {picked_up} >= CAST('{valid_start}' AS TIMESTAMP)"
-        f" AND {picked_up} < CAST('{valid_end}' AS TIMESTAMP)"
+        f"{picked_up} IS NOT NULL AND {picked_up} >= CAST({literal(valid_start)} AS TIMESTAMP)"
+        f" AND {picked_up} < CAST({literal(valid_end)} AS TIMESTAMP)"
     )
     dropoff = detect_dropoff_col(df.columns)
     if dropoff is None:

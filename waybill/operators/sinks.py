@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from waybill.functions.literals import literal
 
 
 def create_schema(spark: SparkSession, schema: str) -> None:
@@ -55,24 +59,64 @@ def write_table(
 ) -> None:
     """Replace a table and its schema; partitioned by those of ``partition_by`` that exist.
 
-    Tasks write the partitions they meet, with no shuffle: monthly input files mostly hold
-    one month each. ``rebalance`` shuffles into evenly sized files first. Adaptive
-    execution then splits a partition that holds a large part of the rows over many tasks,
-    where a plain ``repartition`` on the partition columns would give it to one.
+    The rows go to a new folder beside the old one, and only when all are written does the
+    catalog entry switch over: a write that fails leaves the table as it was. Renaming a
+    finished table instead would lose track of its partitions.
+
+    Tasks write the partitions they meet, with no shuffle; that suits inputs in which months lie
+    together. ``rebalance`` shuffles into evenly sized files first. Adaptive execution then
+    splits a partition that holds a large part of the rows over many tasks, where a plain
+    ``repartition`` on the partition columns would give it to one.
     """
+    spark = df.sparkSession
     layout = [c for c in partition_by if c in df.columns]
     if rebalance:
         df = df.hint("rebalance", *layout)
     described = with_comments(df, comments) if comments else df
-    writer = described.write.format("parquet").mode("overwrite")
+    schema, _, table = full_table.rpartition(".")
+    database = spark.catalog.getDatabase(schema or spark.catalog.currentDatabase())
+    folder = f"{database.locationUri.rstrip('/')}/{table}-{uuid.uuid4().hex}"
+    writer = described.write
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
     if layout:
         writer = writer.partitionBy(*layout)
-    writer.saveAsTable(full_table)
-    if table_comment:
-        text = table_comment.replace("'", "''")
-        df.sparkSession.sql(f"COMMENT ON TABLE {full_table} IS '{text}'")
+    writer.parquet(folder)
+    before = table_folder(spark, full_table)
+    spark.sql(f"DROP TABLE IF EXISTS {full_table}")
+    spark.sql(create_statement(full_table, described.schema, layout, folder, table_comment))
+    if layout:
+        spark.sql(f"ALTER TABLE {full_table} RECOVER PARTITIONS")
+    if before:
+        delete_folder(spark, before)
+
+
+def create_statement(
+    full_table: str, schema: T.StructType, layout: Sequence[str], folder: str, comment: str | None
+) -> str:
+    """DDL of a table over a folder, partition columns last."""
+    ordered = [f for f in schema if f.name not in layout] + [schema[name] for name in layout]
+    columns = ", ".join(
+        f"`{f.name}` {f.dataType.simpleString()}"
+        + (f" COMMENT {literal(f.metadata['comment'])}" if "comment" in f.metadata else "")
+        for f in ordered
+    )
+    parted = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in layout)})" if layout else ""
+    described = f" COMMENT {literal(comment)}" if comment else ""
+    return f"CREATE TABLE {full_table} ({columns}) USING parquet{parted} LOCATION {literal(folder)}{described}"
+
+
+def table_folder(spark: SparkSession, full_table: str) -> str | None:
+    """Where a table's files are; None without such a table."""
+    if not spark.catalog.tableExists(full_table):
+        return None
+    rows = spark.sql(f"DESCRIBE EXTENDED {full_table}").filter("col_name = 'Location'").collect()
+    return rows[0]["data_type"] if rows else None
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def preview(df: DataFrame, rows: int = 20) -> DataFrame:

@@ -17,7 +17,7 @@ from waybill.functions.dates import valid_window
 from waybill.functions.names import comments_for, silver_comments_for
 from waybill.operators import marts
 from waybill.operators.bronze import build_bronze
-from waybill.operators.dimensions import dim_date, star_dimensions, stored_dimensions
+from waybill.operators.dimensions import dim_date_of_months, dim_row_counts, star_dimensions, stored_dimensions
 from waybill.operators.fact import build_fact, union_all_types
 from waybill.operators.quality import column_contract, landing_completeness
 from waybill.operators.silver import PARTITION_COLUMNS, standardize_silver
@@ -47,9 +47,25 @@ class Medallion:
     bronze: str = "bronze"
     silver: str = "silver"
     gold: str = "gold"
-    dedup: bool = True
-    dedup_keys: Sequence[str] | None = None
-    rebalance: bool = False
+    #: For all record types, or per type; a type that is not named is not deduplicated.
+    dedup: bool | Mapping[str, bool] = True
+    #: For all record types, or per type: their key columns have names of their own.
+    dedup_keys: Sequence[str] | Mapping[str, Sequence[str]] | None = None
+    #: Validity window of silver; the ingested period by default.
+    valid_start: str | None = None
+    valid_end: str | None = None
+    #: Even file sizes in silver; by default wherever deduplication has mixed the months.
+    rebalance: bool | None = None
+
+    def dedup_of(self, taxi_type: str) -> bool:
+        return self.dedup.get(taxi_type, False) if isinstance(self.dedup, Mapping) else self.dedup
+
+    def dedup_keys_of(self, taxi_type: str) -> Sequence[str] | None:
+        keys = self.dedup_keys
+        return keys.get(taxi_type) if isinstance(keys, Mapping) else keys
+
+    def rebalance_of(self, taxi_type: str) -> bool:
+        return self.dedup_of(taxi_type) if self.rebalance is None else self.rebalance
 
 
 def landing_report(spark: SparkSession, plan: Medallion, taxi_type: str) -> DataFrame:
@@ -66,7 +82,7 @@ def landing_paths(plan: Medallion, taxi_type: str) -> list[str]:
 
 def bronze_frame(spark: SparkSession, plan: Medallion, taxi_type: str) -> DataFrame:
     files = read_monthly(spark, landing_paths(plan, taxi_type))
-    return build_bronze(files, plan.dedup, plan.dedup_keys)
+    return build_bronze(files, plan.dedup_of(taxi_type), plan.dedup_keys_of(taxi_type))
 
 
 def silver_frame(spark: SparkSession, plan: Medallion, taxi_type: str) -> DataFrame:
@@ -75,8 +91,8 @@ def silver_frame(spark: SparkSession, plan: Medallion, taxi_type: str) -> DataFr
         spark.read.table(f"{plan.bronze}.{taxi_type}_trips"),
         zone_df=optional_table(spark, f"{plan.silver}.{ZONE_TABLE}"),
         taxi_type=taxi_type,
-        valid_start=start,
-        valid_end=end,
+        valid_start=plan.valid_start or start,
+        valid_end=plan.valid_end or end,
     )
 
 
@@ -89,7 +105,7 @@ def write_bronze(spark: SparkSession, plan: Medallion) -> None:
     create_schema(spark, plan.bronze)
     for taxi_type in plan.taxi_types:
         frame = bronze_frame(spark, plan, taxi_type)
-        size = stored_bytes(spark, landing_paths(plan, taxi_type)) if plan.dedup else 0
+        size = stored_bytes(spark, landing_paths(plan, taxi_type)) if plan.dedup_of(taxi_type) else 0
         with shuffles_sized_for(spark, size):
             write_table(
                 frame, f"{plan.bronze}.{taxi_type}_trips", comments=comments_for(taxi_type)
@@ -112,7 +128,7 @@ def write_silver(spark: SparkSession, plan: Medallion) -> None:
             f"{plan.silver}.{taxi_type}_trips",
             partition_by=PARTITION_COLUMNS,
             comments=silver_comments_for(taxi_type),
-            rebalance=plan.rebalance,
+            rebalance=plan.rebalance_of(taxi_type),
         )
 
 
@@ -128,7 +144,7 @@ def write_gold(spark: SparkSession, plan: Medallion) -> None:
     create_schema(spark, plan.gold)
     silver = silver_tables(spark, plan)
     zones = spark.read.table(f"{plan.silver}.{ZONE_TABLE}")
-    for name, dimension in star_dimensions(spark, zones, dim_date(silver)).named().items():
+    for name, dimension in star_dimensions(spark, zones, dim_date_of_months(silver)).named().items():
         _write_gold_table(plan, name, dimension.frame)
     # The calendar spans exactly these trips, so the marts need no join with it.
     dims = replace(stored_dimensions(spark, plan.gold), date=None)
@@ -146,8 +162,31 @@ def write_gold(spark: SparkSession, plan: Medallion) -> None:
         _write_gold_table(plan, name, mart(fact, dims))
 
 
-def run(spark: SparkSession, plan: Medallion) -> None:
+def check_landing(spark: SparkSession, plan: Medallion) -> None:
+    """Refuses to begin while a month of the period is missing."""
+    gaps = {}
+    for taxi_type in plan.taxi_types:
+        missing = landing_report(spark, plan, taxi_type).filter("status = 'missing'")
+        found = sorted(r["year_month"] for r in missing.collect())  # one row per month
+        if found:
+            gaps[taxi_type] = found
+    if gaps:
+        listed = "; ".join(f"{name}: {', '.join(found)}" for name, found in gaps.items())
+        raise FileNotFoundError(f"months that have not landed: {listed}")
+
+
+def gold_report(spark: SparkSession, plan: Medallion) -> tuple[DataFrame, DataFrame]:
+    """Row counts of the stored dimensions, and trips per record type."""
+    dims = stored_dimensions(spark, plan.gold)
+    fact = spark.read.table(f"{plan.gold}.fact_trips")
+    return dim_row_counts(dims), marts.count_by_type(fact, dims)
+
+
+def run(spark: SparkSession, plan: Medallion) -> tuple[DataFrame, DataFrame]:
+    """The whole flow; returns ``gold_report``. Nothing is written while files are missing."""
+    check_landing(spark, plan)
     write_bronze(spark, plan)
     write_zones(spark, plan)
     write_silver(spark, plan)
     write_gold(spark, plan)
+    return gold_report(spark, plan)

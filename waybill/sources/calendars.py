@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 
 from waybill.functions.dates import days_between, months_between
+from waybill.functions.literals import literal
 
 
 def hours(spark: SparkSession) -> DataFrame:
@@ -16,7 +17,7 @@ def hours(spark: SparkSession) -> DataFrame:
 
 def months(spark: SparkSession, date_start: str, date_stop: str) -> DataFrame:
     """One row per month, ``year_month`` as YYYY-MM; none when the bounds are reversed."""
-    bounds = spark.range(1).selectExpr(f"DATE'{date_start}' AS low", f"DATE'{date_stop}' AS high")
+    bounds = spark.range(1).selectExpr(f"CAST({literal(date_start)} AS DATE) AS low", f"CAST({literal(date_stop)} AS DATE) AS high")
     return months_of(bounds)
 
 

@@ -62,12 +62,12 @@ def optional_table(spark: SparkSession, name: str) -> DataFrame | None:
 
 
 def landed_months(spark: SparkSession, root: str, taxi_type: str) -> DataFrame:
-    """Months with a non-empty file in the landing folder. The listing reads names and
-    lengths only; the ``content`` column is pruned away."""
-    pattern = rf"{taxi_type}_tripdata_(\d{{4}}-\d{{2}})\.parquet"
+    """Months with a non-empty file in the landing folder, or a folder of files by that name.
+    The listing reads names and lengths only; the ``content`` column is pruned away."""
+    pattern = rf"/{taxi_type}_tripdata_(\d{{4}}-\d{{2}})\.parquet(?:/[^/]*)?$"
     files = (
         spark.read.format("binaryFile")
-        .option("pathGlobFilter", f"{taxi_type}_tripdata_*.parquet")
+        .option("pathGlobFilter", "*.parquet")
         .option("recursiveFileLookup", "true")
         .load(root)
     )
