@@ -16,7 +16,10 @@ from pyspark.sql import DataFrame
 from checks.registry import ORACLE, QUERIES
 from waybill.session import local_session
 
-TABLES = "region nation customer supplier part orders lineitem events".split()
+TABLES = (
+    "region nation customer supplier part orders lineitem events "
+    "documents embeddings pages benchmark labels conversations"
+).split()
 
 
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
