@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waybill.llm import exact_dedup, knn, line_dedup, lm_scoring, packing, secrets, segmentation, sharding, simhash, toxicity
+from waybill.llm.oracle import ORACLE  # noqa: F401
 
 SHARDS = 16
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
 
 
 def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
