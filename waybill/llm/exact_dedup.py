@@ -36,13 +36,13 @@ def radix_groups(df: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
         docs.select(
             F.monotonically_increasing_id().alias("row"),
             "doc_id",
-            body.alias("body"),
+            "text",
             F.sha2(body, 256).alias("text_sha256"),
-            *(F.col(c).alias(f"carried_{c}") for c in carry),
+            *(F.col(c).alias(f"carried_{c}") for c in carry if c not in ("doc_id", "text")),
         ),
         "staged",
     )
-    playing = staged.select("row", "doc_id", F.lit(0).cast("long").alias("grp"), "body")
+    playing = staged.select("row", "doc_id", F.lit(0).cast("long").alias("grp"), body.alias("body"))
     width, rounds, done = FIRST_WIDTH, [], []
     while True:
         cut = F.substring("body", 1, width)
@@ -63,7 +63,7 @@ def radix_groups(df: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
         )
         name = f"round-{len(rounds)}"
         split = shelf.put(
-            keyed.join(groups, ["grp", "cut", "ended"]).select(
+            keyed.join(groups.hint("merge"), ["grp", "cut", "ended"]).select(
                 "row", "doc_id", F.col("keep.row").alias("grp"), "body", "ended", "group_size", "keep"
             ),
             name,
@@ -82,11 +82,12 @@ def radix_groups(df: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     for part in done[1:]:
         found = found.unionAll(part)
     alone = F.col("group_size").isNull()
-    return staged.drop("body").join(found, "row", "left").select(
+    # a shuffle at every size: what is joined to the texts grows with them
+    return staged.join(found.hint("merge"), "row", "left").select(
         "doc_id",
         F.when(alone, F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
         F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
         F.coalesce("kept", F.lit(True)).alias("kept"),
         "text_sha256",
-        *(F.col(f"carried_{c}").alias(c) for c in carry if c != "doc_id"),
+        *(F.col(c if c == "text" else f"carried_{c}").alias(c) for c in carry if c != "doc_id"),
     )

@@ -38,6 +38,7 @@ MORE = {
     "url": (r"://[^\s/:@]{1,64}:([^\s/:@]{4,64})@", 1, 4),
 }
 KINDS = {**BASE, **MORE}
+ANY_KIND = "|".join(f"(?:{pattern})" for pattern, _, _ in KINDS.values())
 ORDER = {kind: i for i, kind in enumerate(KINDS)}
 
 
@@ -57,11 +58,8 @@ def _hits(kind: str) -> Column:
 
 def candidates(docs: DataFrame) -> DataFrame:
     """r1, r2, owner, repository, kind, start, end, value for every span in `docs`."""
-    anything = F.lit(False)
-    for pattern, _, _ in KINDS.values():
-        anything = anything | F.col("text").rlike(pattern)
     per_kind = (
-        docs.filter(anything)
+        docs.filter(F.col("text").rlike(ANY_KIND))
         .select("r1", "r2", "owner", "repository", F.explode(F.array(*map(_hits, KINDS))).alias("k"))
         .select("r1", "r2", "owner", "repository", "k.kind", F.posexplode("k.hits").alias("nth", "hit"))
         .select("r1", "r2", "owner", "repository", "kind", "nth", "hit.match", "hit.value", "hit.gap")
@@ -95,11 +93,12 @@ def with_ownership(found: DataFrame, example_owners: int) -> DataFrame:
     return hashed.join(counts, ["v1", "v2"]).withColumn("live", F.col("n_owners") < example_owners)
 
 
-def keyed(df: DataFrame, *more: str) -> DataFrame:
+def keyed(df: DataFrame, *more: str, blank: bool = True) -> DataFrame:
+    """Rows with their hashes, owner and repository; null texts as empty ones if `blank`."""
     whole = ("doc_id", "text", "lang", "source")
     return pick(df, *dict.fromkeys((*whole, *more))).select(
         "doc_id",
-        text_or_empty().alias("text"),
+        (text_or_empty() if blank else F.col("text")).alias("text"),
         F.coalesce("source", F.lit("(none)")).alias("owner"),
         F.concat_ws("/", F.coalesce("source", F.lit("(none)")), F.coalesce("lang", F.lit("(none)"))).alias("repository"),
         F.xxhash64(*whole).alias("r1"),
@@ -170,7 +169,11 @@ def redact(df: DataFrame, example_owners: int = 3, instead: str = "[SECRET]") ->
         .groupBy("r1", "r2")
         .agg(F.sort_array(F.collect_list("piece")).alias("pieces"), F.max("piece.b").alias("last"))
     )
-    rows = keyed(df, *columns).join(per_doc, ["r1", "r2"], "left")
+    # only texts with a span are shuffled to their spans; the others pass as they are
+    everything = keyed(df, *(c for c in columns if c != "text"), blank=False)
+    has_span = F.coalesce(F.col("text").rlike(ANY_KIND), F.lit(False))
+    rows = everything.filter(has_span).join(per_doc, ["r1", "r2"], "left")
+    clean = everything.filter(~has_span).select(*(F.col("text" if c == "text" else f"kept_{c}").alias(c) for c in columns))
     hidden = F.expr(
         f"""concat(
             array_join(transform(filter(pieces, p -> p.b > p.done), p ->
@@ -179,9 +182,9 @@ def redact(df: DataFrame, example_owners: int = 3, instead: str = "[SECRET]") ->
             substring(text, cast(last AS int) + 1))"""
     )
     texts = rows.withColumn(
-        "new_text", F.when(F.col("pieces").isNull(), F.col("kept_text")).otherwise(hidden)
+        "new_text", F.when(F.col("pieces").isNull(), F.col("text")).otherwise(hidden)
     )
-    return texts.select(
+    redacted = texts.select(
         *(
             F.col("new_text").alias("text")
             if c == "text"
@@ -191,3 +194,4 @@ def redact(df: DataFrame, example_owners: int = 3, instead: str = "[SECRET]") ->
             for c in columns
         )
     )
+    return redacted.unionAll(clean)

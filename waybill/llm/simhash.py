@@ -231,7 +231,7 @@ def keep_one(docs: DataFrame, shingle: int = 3, distance: int = 3) -> DataFrame:
     rows = _fingerprinted(numbered.select("doc_id", "text", "_row"), shingle, shelf)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")).getField("_row")
     kept = shelf.put(_grouped(rows, distance, shelf).groupBy("component").agg(first.alias("_row")).select("_row"), "kept")
-    return numbered.join(kept, "_row", "left_semi").drop("_row")
+    return numbered.join(kept.hint("merge"), "_row", "left_semi").drop("_row")
 
 
 def _fingerprinted(docs: DataFrame, shingle: int, shelf: Shelf) -> DataFrame:
