@@ -208,21 +208,20 @@ def rows_of(batch: pa.RecordBatch) -> tuple[list[int], list[bytes], np.ndarray]:
 
 
 def sum_block(table: pa.Table) -> pa.Table:
-    """The sum of one block over the tasks, scaled to 16 bits."""
+    """The sum of one block over the tasks, in a byte each: see COUNTS."""
     total = np.zeros((2, SLOTS_PER_BLOCK), np.float64)
     for hit, counts in zip(table.column("hit").to_pylist(), table.column("counts").to_pylist()):
         where = np.frombuffer(hit, "<u2")
         total[:, where] += np.frombuffer(counts, "<f4").reshape(2, -1)
-    most = np.maximum(total.max(axis=0), 65535) / 65535
-    small = np.round(total / most).astype("<u2")
+    small = np.searchsorted(COUNTS, total * (1 + 1e-6), side="right").astype(np.uint8) - np.uint8(1)
     return pa.table({"block": pa.array([table.column("block")[0].as_py()], pa.int32()), "counts": pa.array([small.tobytes()])})
 
 
 def counts_table(blocks) -> np.ndarray:
-    out = np.zeros((2, math.ceil(SLOTS / SLOTS_PER_BLOCK) * SLOTS_PER_BLOCK), np.uint16)
+    out = np.zeros((2, math.ceil(SLOTS / SLOTS_PER_BLOCK) * SLOTS_PER_BLOCK), np.uint8)
     for row in blocks:
         at = row["block"] * SLOTS_PER_BLOCK
-        out[:, at : at + SLOTS_PER_BLOCK] = np.frombuffer(bytes(row["counts"]), "<u2").reshape(2, -1)
+        out[:, at : at + SLOTS_PER_BLOCK] = np.frombuffer(bytes(row["counts"]), np.uint8).reshape(2, -1)
     return out
 
 
@@ -235,7 +234,9 @@ def log_odds_of(counts: np.ndarray) -> np.ndarray:
     return out
 
 
-LOGS = np.log(np.arange(65536) + DELTA).astype(np.float32)
+#: The counts that a byte stands for: small ones exactly, larger ones within six per cent.
+COUNTS = np.concatenate([np.arange(64), np.round(64 * 1.06 ** np.arange(192))]).astype(np.float32)
+LOGS = np.log(COUNTS + DELTA).astype(np.float32)
 
 
 def gate_of(inputs: list[np.ndarray], t: int) -> np.ndarray:
@@ -279,10 +280,10 @@ def learn_mixing(batches: Iterator[pa.RecordBatch], counts, least: list[int]) ->
                 bit = bits.bit[t]
                 inputs = []
                 for slots, cutoff in zip(bits.slots[t], least):
-                    own = (weight >= cutoff).astype(np.int32)
-                    one = np.maximum(ones[slots] - own * bit, 0)
-                    zero = np.maximum(zeros[slots] - own * (1 - bit), 0)
-                    inputs.append(LOGS[one] - LOGS[zero])
+                    own = (weight >= cutoff).astype(np.float32)
+                    one = np.maximum(COUNTS[ones[slots]] - own * bit, 0)
+                    zero = np.maximum(COUNTS[zeros[slots]] - own * (1 - bit), 0)
+                    inputs.append(np.log((one + DELTA) / (zero + DELTA)))
                 gate = gate_of(inputs, t)
                 odds = mixed(inputs, gate, weights)
                 p = 1 / (1 + np.exp(-odds.astype(np.float64)))
@@ -353,7 +354,7 @@ def score_rows(batches: Iterator[pa.RecordBatch], model, hot, name: str) -> Iter
             ends = np.cumsum([len(ps) for ps in pieces]) if pieces else np.zeros(0, int)
             values = np.diff(np.concatenate([[0.0], np.cumsum(values)[ends - 1]])) if len(ends) < len(flat) else values
             tokens = [token_of(u) for _, u in new]
-            digests = np.array([xxhash.xxh64_intdigest(t) for t in tokens], np.uint64)
+            digests = np.array([xxhash.xxh64_intdigest(t, 42) for t in tokens], np.uint64)  # as Spark's xxhash64
             place = np.minimum(np.searchsorted(hashes, digests), len(hashes) - 1) if len(hashes) else np.zeros(len(new), int)
             for key, value, token, digest, at in zip(new, values.tolist(), tokens, digests, place.tolist()):
                 is_hot = len(hashes) and hashes[at] == digest
@@ -413,14 +414,17 @@ def score(df: DataFrame, modulus: int = 7, held_out: int = 2, hot_tokens: int =
     )
     sc = spark.sparkContext
     counts = counts_table(shelf.put(blocks, "blocks").toLocalIterator())  # of a fixed size
+    log_odds = log_odds_of(counts)
     shared = sc.broadcast(counts)
-    mixing = whole.mapInArrow(lambda it: learn_mixing(it, shared, least), "weights binary, seen binary, sums binary").collect()
-    shared.unpersist()
-    model = sc.broadcast((log_odds_of(counts), *joined_mixing(mixing)))
     del counts
+    mixing = whole.mapInArrow(lambda it: learn_mixing(it, shared, least), "weights binary, seen binary, sums binary").collect()
+    shared.destroy()
+    model = sc.broadcast((log_odds, *joined_mixing(mixing)))
+    del log_odds
 
-    top = tokens.orderBy(F.desc("n"), "token").limit(hot_tokens).toPandas()
-    digests = np.array([xxhash.xxh64_intdigest(bytes(t)) for t in top["token"]], np.uint64)
+    hashed = tokens.select("n", F.xxhash64("token").alias("digest"))
+    top = hashed.orderBy(F.desc("n"), "digest").limit(hot_tokens).toPandas()
+    digests = top["digest"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(digests)
     logs = np.log10(top["n"].to_numpy(np.float64) + 1)[order]
     hot = sc.broadcast((digests[order], np.append(logs, math.log10(n_texts + 1))))
