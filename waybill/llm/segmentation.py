@@ -44,6 +44,8 @@ SPACE = "▁"
 UNITS = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
 CHUNK = 1 << 21
 GRID = 1 << 24
+SLOT_BITS = 21
+SLOT_SHIFT = np.uint64(64 - SLOT_BITS)
 PRIME = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -78,6 +80,19 @@ class Pieces:
         self.hashes, self.ids = hashes[order], np.array(list(starts.values()), np.int64)[order]
         if (np.diff(self.hashes) == 0).any():
             raise ValueError("two beginnings of pieces share a hash")
+        slots = (self.hashes * PRIME) >> SLOT_SHIFT
+        self.table = np.full(1 << SLOT_BITS, -1, np.int32)
+        self.table[slots] = np.arange(len(slots))
+        taken, times = np.unique(slots, return_counts=True)
+        self.table[taken[times > 1]] = -2  # more than one: to be searched for
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """Places of hashes among those of the beginnings, -1 for others."""
+        place = self.table[(h * PRIME) >> SLOT_SHIFT]
+        shared = np.flatnonzero(place == -2)
+        if len(shared):
+            place[shared] = np.minimum(np.searchsorted(self.hashes, h[shared]), len(self.hashes) - 1)
+        return np.where(self.hashes[np.maximum(place, 0)] == h, place, -1)
 
     @staticmethod
     def _hash(text: str) -> int:
@@ -104,8 +119,8 @@ class Lattices:
             inside = at + n <= stop[at]
             at, h = at[inside], h[inside]
             h = h * PRIME + codes[at + n - 1] + np.uint64(1)
-            place = np.minimum(np.searchsorted(pieces.hashes, h), len(pieces.hashes) - 1)
-            known = pieces.hashes[place] == h
+            place = pieces.find(h)
+            known = place >= 0
             piece = np.where(known, pieces.ids[place], -1)
             if n == 1:  # every character can stand alone
                 piece_or_bytes = np.where(piece >= 0, piece, -1 - codes.astype(np.int64))
