@@ -44,7 +44,7 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder that all machines of the cluster see: spark.checkpoint.dir.
 
     Where it is unset, a local session gets a temporary folder (tests); a cluster is refused."""
-    known = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    known = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if known:
         return known.rstrip("/")
     cache = worker_cache("shared_folder")
