@@ -22,6 +22,7 @@ columns are left out."""
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,35 +34,80 @@ from pyspark.sql import functions as F
 
 from waybill.llm.common import SPACE_CHARS, Shelf, pick, text_chunks, worker_cache
 
-WORDS_KEPT = 250_000
+WORDS_KEPT = 500_000
+CORES_KEPT = 600_000
+ENDINGS = ".,;:!?"
 BROADCAST_ROWS = 200_000
 WINDOWS_PER_BLOCK = 256
 
 
-def token_bytes(path: str):
-    """A function from text to its ids as little-endian 32-bit numbers.
+class Cores(dict):
+    """Ids of what stands between white space and punctuation, as bytes; encoded when asked for
+    the first time. Emptied when it is full."""
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenize = self.tokenizer.model.tokenize
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        others = [b for b in range(256) if b not in plain]
+        # the letters that stand for bytes in the vocabulary: printable ones for themselves
+        self.letters = {b: b for b in plain} | {b: 256 + i for i, b in enumerate(others)}
+
+    def __missing__(self, core: str) -> bytes:
+        if core.isalpha() and (core.isascii() or max(core) < "\u0130"):
+            # composed lower-case letters are one piece before the merges
+            low = core.encode().decode("latin-1").translate(self.letters)
+            ids = [token.id for token in self.tokenize(low)]
+        else:
+            ids = self.tokenizer.encode(core, add_special_tokens=False).ids
+        if len(self) >= CORES_KEPT:
+            self.clear()
+        found = self[core] = array("I", ids).tobytes()
+        return found
+
+
+class Words(dict):
+    """Ids of words. A word is its core, in lower case as the tokenizer does it, and punctuation."""
+
+    def __init__(self, path: str):
+        self.cores = Cores(path)
+
+    def __missing__(self, word: str) -> bytes:
+        cores = self.cores
+        if "<|" in word:  # strings of special tokens
+            found = cores[word]
+        else:
+            low = word.lower() if word.isascii() or max(word) < "\u0130" else word
+            core = low.rstrip(ENDINGS)
+            parted = core[-1:].isalnum() and core[-1] < "\u0130"  # later letters may become several
+            found = cores[core] + cores[low[len(core) :]] if parted else cores[low]
+        if len(self) >= WORDS_KEPT:
+            self.clear()
+        self[word] = found
+        return found
+
 
-    The tokenizer drops white space and never joins what white space separates, so words are
-    encoded once per process and looked up from then on (up to WORDS_KEPT of them)."""
-    from tokenizers import Tokenizer
+def token_bytes(path: str):
+    """A function from texts to their ids as little-endian 32-bit numbers.
 
+    The tokenizer drops white space, never joins what white space separates, and splits letters
+    from punctuation. So words are looked up, and only unknown ones are encoded."""
     held = worker_cache("packing " + path)
     if not held:
-        held["tokenizer"], held["words"] = Tokenizer.from_file(path), {}
-    tokenizer = held["tokenizer"]
-    to_space = str.maketrans(dict.fromkeys(SPACE_CHARS, " "))
+        held["words"] = Words(path)
+    look_up = held["words"].__getitem__
 
     def encode(texts: list[str]) -> list[bytes]:
-        words = held["words"]
-        split = [text.translate(to_space).split(" ") for text in texts]
-        new = list(set().union(*split).difference(words))
-        if new:
-            if len(words) + len(new) > WORDS_KEPT:
-                words.clear()
-                new = list(set().union(*split))
-            for word, found in zip(new, tokenizer.encode_batch(new, add_special_tokens=False)):
-                words[word] = np.array(found.ids, "<u4").tobytes()
-        return [b"".join(map(words.__getitem__, parts)) for parts in split]
+        out = []
+        for text in texts:
+            if text.isascii() and "<|" not in text:
+                text = text.lower()  # fewer words to know; the tokenizer does the same
+            for space in SPACE_CHARS[1:]:
+                text = text.replace(space, " ")
+            out.append(b"".join(map(look_up, text.split(" "))))
+        return out
 
     return encode
 
