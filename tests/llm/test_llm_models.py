@@ -40,6 +40,23 @@ def test_top_k_with_ties_repeats_and_gaps(spark):
     assert Counter(tuple(r) for r in knn.top_k(df, 20, 5).collect()) == brute_top(rows, 20, 5)
 
 
+def test_top_k_of_a_query_repeated_more_than_k_times(spark, monkeypatch):
+    monkeypatch.setattr(knn, "BLOCK", 8)
+    corners = [(16, 63), (25, 60), (33, 56), (39, 52), (52, 39), (56, 33), (60, 25), (63, 16)]  # of one length
+    others = [(a * x / 64, b * y / 64) for x, y in corners for a in (1, -1) for b in (1, -1)]
+    rows = [(i, list(v)) for i, v in enumerate(others, 101) if i % 20] + [(20, [65 / 64, 0.0])] * 200
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert Counter(tuple(r) for r in knn.top_k(df, 20, 20).collect()) == brute_top(rows, 20, 20)
+
+
+def test_bound_counts_ids_and_not_rows():
+    """Two copies of a query at its pivot say nothing about where its nearest neighbour is."""
+    cells = knn.Cells(np.array([[0.0], [1000.0]]), 1000.0**2)
+    shortest, ids = {0: [0.0, 900.0], 1: [0.0]}, {0: [7, 8], 1: [7]}
+    pairs = {(i, j): (low, high) for i, j, low, high in knn.needed(cells, {1: 0.0}, shortest, 1, ids)}
+    assert pairs[1, 0][1] >= 2 * cells.apart()[1, 0] + 900 - 1e-3
+
+
 def test_top_k_of_few_or_no_vectors(spark):
     kind = "vec_id long, embedding array<float>"
     assert knn.top_k(spark.createDataFrame([], kind)).collect() == []

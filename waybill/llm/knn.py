@@ -4,7 +4,7 @@ Largest inner products are nearest neighbours once every data vector x gets one
 sqrt(M^2 - |x|^2), M being the largest length, and every query a zero. Pivots (a bounded,
 hash-ordered pick of the vectors; they steer the work, never the result) divide queries and
 data into cells. Summaries per cell, namely the radius of the queries and the k+1 shortest
-distances of the data to the pivot, give a distance within which every query of a cell surely
+distances of different ids of the data to the pivot, give a distance within which every query of a cell surely
 has k neighbours. By the triangle inequality a cell of queries then needs only those data whose
 distance to their own pivot lies in a range; blocks of data (runs by distance to the pivot)
 outside of it are not copied to it. Pairs of blocks are solved locally with one matrix product
@@ -153,14 +153,23 @@ def solve(batches: Iterator[pa.RecordBatch], dim: int, k: int, exact_in_float: b
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], ["row", "query_id", "vec_id", "score"])
 
 
-def needed(cells: Cells, radius: dict[int, float], shortest: dict[int, list[float]], k: int) -> list[tuple]:
-    """(query cell, data cell, least, most): the distances to the data pivot that matter."""
+def needed(
+    cells: Cells, radius: dict[int, float], shortest: dict[int, list[float]], k: int, ids: dict[int, list[int]] | None = None
+) -> list[tuple]:
+    """(query cell, data cell, least, most): the distances to the data pivot that matter.
+
+    `ids` are those of the data in `shortest`; without them every entry is an id of its own."""
     apart = cells.apart()
     pairs = []
+    cell = np.repeat(list(shortest), [len(ds) for ds in shortest.values()]).astype(np.int64)
+    dist = np.array([d for ds in shortest.values() for d in ds], np.float64)
+    owner = np.array([x for j in shortest for x in ids[j]], np.int64) if ids else np.arange(len(dist))
     for i, r in radius.items():
-        reach = sorted(r + apart[i, j] + d for j, ds in shortest.items() for d in ds)
-        # k+1 data within this distance of every query of the cell, one of them perhaps itself
-        within = reach[k] if len(reach) > k else math.inf
+        reach = r + apart[i, cell] + dist
+        order = np.argsort(reach, kind="stable")
+        reach = reach[order][np.sort(np.unique(owner[order], return_index=True)[1])]
+        # k+1 ids with a row within this distance of every query of the cell, one of them perhaps its own
+        within = float(reach[k]) if len(reach) > k else math.inf
         within += 1e-6 * (1 + within)
         for j in shortest:
             pairs.append((i, j, float(apart[i, j] - r - within), float(apart[i, j] + r + within)))
@@ -188,13 +197,17 @@ def top_k(df: DataFrame, modulus: int = 20, k: int = 20, most_pivots: int = 256)
         base.filter(F.col("vec_id") % modulus == 0).mapInArrow(lambda it: assign(it, cells, dim, False), kind), "queries"
     )
     radius = {r["cell"]: r["r"] for r in queries.groupBy("cell").agg(F.max("dist").alias("r")).collect()}
-    nth = F.row_number().over(Window.partitionBy("cell").orderBy("dist"))
+    # a query's own rows are none of its neighbours, however many they are, so ids are counted and not rows
+    nth = F.row_number().over(Window.partitionBy("cell").orderBy("dist", "vec_id"))
+    by_id = data.groupBy("cell", "vec_id").agg(F.min("dist").alias("dist"))
     shortest: dict[int, list[float]] = {}
-    for r in data.select("cell", "dist", nth.alias("nth")).filter(F.col("nth") <= k + 1).collect():
+    ids: dict[int, list[int]] = {}
+    for r in by_id.select("cell", "vec_id", "dist", nth.alias("nth")).filter(F.col("nth") <= k + 1).collect():
         shortest.setdefault(r["cell"], []).append(r["dist"])
+        ids.setdefault(r["cell"], []).append(r["vec_id"])
     if not radius:
         return empty
-    pairs = spark.createDataFrame(needed(cells, radius, shortest, k), "q_cell int, cell int, least double, most double")
+    pairs = spark.createDataFrame(needed(cells, radius, shortest, k, ids), "q_cell int, cell int, least double, most double")
 
     def packed(rows: DataFrame, count: int, size: int) -> DataFrame:
         ordered = rows.repartitionByRange(max(1, math.ceil(count / (4 * BLOCK))), "cell", "dist", "vec_id", "row")
