@@ -211,6 +211,29 @@ def test_redaction_keeps_examples_and_positions(spark):
     assert got == {1: (hidden, len(hidden)), 2: ("clean", 5), None: (None, None), **{i: ("token=EXAMPLE-TOKEN", 19) for i in (3, 4, 5)}}
 
 
+def test_private_keys_are_counted_by_body_and_hidden_whole(spark):
+    def pem(body, gap="\n"):
+        return gap.join(["-----BEGIN RSA PRIVATE KEY-----", *body, "-----END RSA PRIVATE KEY-----"])
+
+    body = lambda x: [x * 64] * 400 + [x * 10 + "=="]
+    wide = "p" * 300
+    texts = {i: "é " + pem(body("abcd"[i])) + " rest" for i in range(4)}
+    texts |= {10: pem(body("x")), 11: pem(body("x"), "\\n"), 12: pem(body("x"), " \r\n")}  # one example, three owners
+    texts[20] = "a -----BEGIN PRIVATE KEY-----\nDEK-Info: AES,00FF\n\n" + "\n".join(body("y"))  # cut off
+    texts[21] = f"git https://u:{wide}@host"
+    texts[22] = "write -----BEGIN PRIVATE KEY----- above it. " + pem(body("z")) + " ."
+    rows = [(i, t, "en", f"s{i}", len(t)) for i, t in texts.items()]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    scanned = {r.doc_id: r for r in secrets.scan(df).collect()}
+    live = {i: sum(x.startswith("private") for x in r.live_spans.split(",")) for i, r in scanned.items()}
+    assert live == {0: 1, 1: 1, 2: 1, 3: 1, 10: 0, 11: 0, 12: 0, 20: 1, 21: 0, 22: 2}
+    assert f"private:2:{len(texts[0]) - 5}" in scanned[0].live_spans
+    got = {r.doc_id: r.text for r in secrets.redact(df).collect()}
+    assert all(got[i] == "é [SECRET] rest" for i in range(4)) and all(got[i] == texts[i] for i in (10, 11, 12))
+    assert got[20] == "a [SECRET]" and got[21] == "git https://u:[SECRET]@host"
+    assert got[22] == "write [SECRET] above it. [SECRET] ."
+
+
 def test_no_python_in_secret_scan(spark, given, plan_of):
     assert not re.search("Python|Pandas|Arrow", plan_of(secrets.scan(given)))
 

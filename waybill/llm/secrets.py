@@ -2,7 +2,8 @@
 
 Patterns give candidates. The hash of a candidate's value is then counted over the corpus, by
 distinct repositories and distinct owners: a value that many owners have is an example that
-everybody copies, one that few owners have looks like a live credential. Positions come from
+everybody copies, one that few owners have looks like a live credential. A private key's value
+is its body without white space, its span the whole block. Positions come from
 the lengths of what lies between the matches, summed in a window per document and kind.
 
 In the documents table an owner is a `source`, a repository a `source` in one `lang`.
@@ -30,12 +31,21 @@ BASE = {
     # short runs are left out by the pattern already; a run is never cut in two
     "hex": (r"[0-9a-f]{32,}", 0, 32),
 }
+# A private key is all from its header to its END line. One that is cut off is its header and the
+# long runs that follow, with a short one if the text ends there; a header alone is its own value.
+KEY_END = r"-----END [A-Z ]*PRIVATE KEY-----"
+KEY_GAP = r"(?:\s|\\[nr])*+"
+KEY_BODY = (
+    rf"(?:(?!-----)[\s\S])*+(?={KEY_END})"
+    rf"|(?:(?:{KEY_GAP}[A-Za-z][A-Za-z-]*:\x20?\S++)*+(?:{KEY_GAP}[A-Za-z0-9+/=]{{20,}}+)++"
+    rf"(?:{KEY_GAP}[A-Za-z0-9+/=]++(?={KEY_GAP}(?![\s\S])))?)?"
+)
 # Well-known forms of further credentials.
 MORE = {
-    "private": (r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----", 0, 1),
+    "private": (rf"-----BEGIN [A-Z ]*PRIVATE KEY-----({KEY_BODY})(?:{KEY_END})?", 1, 1),
     "github": (r"\bgh[pousr]_[A-Za-z0-9]{36,}", 0, 1),
     "jwt": (r"\beyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]*", 0, 1),
-    "url": (r"://[^\s/:@]{1,64}:([^\s/:@]{4,64})@", 1, 4),
+    "url": (r"://[^\s/:@]++:([^\s/:@]{4,}+)@", 1, 4),
 }
 KINDS = {**BASE, **MORE}
 ANY_KIND = "|".join(f"(?:{pattern})" for pattern, _, _ in KINDS.values())
@@ -65,6 +75,10 @@ def candidates(docs: DataFrame) -> DataFrame:
         .select("r1", "r2", "owner", "repository", "kind", "nth", "hit.match", "hit.value", "hit.gap")
         .distinct()
     )
+    # the same key is the same value however its lines are broken
+    body = F.regexp_replace("value", r"\s|\\[nr]", "")
+    value = F.when(F.col("kind") != "private", F.col("value")).when(body != "", body).otherwise(F.col("match"))
+    per_kind = per_kind.withColumn("value", value)
     so_far = Window.partitionBy("r1", "r2", "kind").orderBy("nth")
     size = F.length("match")
     end = F.sum(F.col("gap") + size).over(so_far)
@@ -153,9 +167,9 @@ def redact(df: DataFrame, example_owners: int = 3, instead: str = "[SECRET]") ->
     shelf = Shelf(df.sparkSession, "redact")
     columns = [c for c in ("doc_id", "text", "lang", "source", "n_chars") if c in df.columns]
     found = shelf.put(candidates(keyed(df)), "candidates")
-    # where the value lies: at the end of the span, before the @ of a url
+    # where the value lies: at the end of the span, before the @ of a url; a private key goes whole
     value_end = F.col("end") - F.when(F.col("kind") == "url", 1).otherwise(0)
-    value_start = value_end - F.length("value")
+    value_start = F.when(F.col("kind") == "private", F.col("start")).otherwise(value_end - F.length("value"))
     live = with_ownership(found.withColumns({"value_start": value_start, "value_end": value_end}), example_owners).filter("live")
     # spans in order; each adds what lies between it and the furthest end so far
     earlier = Window.partitionBy("r1", "r2").orderBy("value_start", "value_end").rowsBetween(Window.unboundedPreceding, -1)
