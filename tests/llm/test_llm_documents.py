@@ -324,6 +324,40 @@ def test_round_robin_serves_every_token_once_in_proportion(totals):
     assert abs(served - ends[:, None] * robin.sizes / total).max() <= len(totals)
 
 
+@pytest.mark.parametrize("totals", [{i: 5 for i in range(3000)}, {0: 40_000} | {i: 1 + i % 9 for i in range(1, 2000)}])
+def test_more_queues_than_a_window_has_tokens(totals):
+    import numpy as np
+
+    robin, total = packing.RoundRobin(totals, 128), sum(totals.values())
+    ends = np.minimum(np.arange(0, total + 128, 128), total)
+    served = robin.served(ends)
+    assert (served.sum(axis=1) == ends).all() and (np.diff(served, axis=0) >= 0).all()
+    assert (served[-1] == robin.sizes).all()
+    for queue in list(totals)[:50]:
+        at = 0
+        for _, _, position, length in robin.windows(queue, 0, totals[queue]):
+            assert position == at
+            at += length
+        assert at == totals[queue]
+
+
+def test_every_source_keeps_its_share_in_every_window(spark):
+    """Of 100 sources in file order, one with few but long documents."""
+    rows = [(1000 * s + i, "word " * 20, f"s{s:03}") for s in range(99) for i in range(10)]
+    rows += [(200_000 + i, "word " * 2000, "long") for i in range(5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    source = {d: s for d, _, s in rows}
+    tokens, per_window = Counter(), defaultdict(Counter)
+    for r in packing.pack(df, length=1024).collect():
+        per_window[r.sequence_id][source[r.doc_id]] += r.length
+        tokens[source[r.doc_id]] += r.length
+    whole = sum(tokens.values())
+    for n, window in per_window.items():
+        size = sum(window.values())
+        for s, t in tokens.items():
+            assert abs(window[s] - size * t / whole) <= 3, (n, s)
+
+
 @pytest.mark.parametrize("name", ["op2_line_dedup", "op5_secret_scan", "op7_exact_dedup", "op8_simhash", "op9_sharding", "op10_packing"])
 def test_empty_tables(spark, monkeypatch, name):
     monkeypatch.setattr(queries, "table", lambda s, d, t: nothing(s))

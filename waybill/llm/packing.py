@@ -3,14 +3,15 @@
 Every source is a queue of tokens; each window (a sequence of `length` tokens) serves all
 queues in turn, each with its target share of the window, and what a queue is owed in
 fractions of a token, or got too early, is carried to the next window. Shares are the shares
-of the corpus, so all queues end together and every token is packed. The `own_queues` - 1
-sources with most rows have a queue of their own, the others share the last one.
+of the corpus, so all queues end together and every token is packed. Every source has a queue
+of its own, unless the caller asks for `own_queues`: then the sources with most rows have
+`own_queues` - 1, and the others share the last one.
 
-Carried deficits are not handed from task to task. What queue s was served in the first n
-tokens is a function of n alone: floor(T_s n / T), its deficit being the remainder, plus its
-part of the tokens that rounding left over, which go to the largest queues ahead of time (never
-more than their next quantum, so the function grows with n). So any partition can begin at any
-window with the exact deficits of that point.
+Carried deficits are not handed from task to task. Token j of a queue of T_s tokens falls due
+at the time (j + 1/2) / T_s, and the first n tokens of the output are the n that fall due first,
+larger queues first at the same time. So what queue s was served is a function of n alone that
+never falls, for any number of queues, and any partition can begin at any window with the
+exact deficits of that point. Driver and tasks hold one number per queue.
 
 Plan: one pass tokenizes and stages ids with each document's place in its queue within the
 task; sums per task and queue give the offsets; a second pass cuts. Texts never move.
@@ -39,6 +40,7 @@ CORES_KEPT = 600_000
 ENDINGS = ".,;:!?"
 BROADCAST_ROWS = 200_000
 WINDOWS_PER_BLOCK = 256
+CELLS_PER_BLOCK = 1 << 15
 
 
 class Cores(dict):
@@ -148,30 +150,40 @@ class RoundRobin:
         self.order = sorted(totals, key=lambda q: (-totals[q], q))
         self.place = {q: i for i, q in enumerate(self.order)}
         self.total, self.length = sum(totals.values()), length
-        fits = self.total**2 < 1 << 62
-        self.sizes = np.array([totals[q] for q in self.order], np.int64 if fits else object)
-        self.quanta = self.sizes * length // max(1, self.total)
+        self.sizes = np.array([totals[q] for q in self.order], np.int64)
+        # arrays of a block have a row per window and a column per queue
+        self.per_block = max(1, min(WINDOWS_PER_BLOCK, CELLS_PER_BLOCK // max(1, len(totals))))
         self.blocks: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
+    def due(self, time: np.ndarray) -> np.ndarray:
+        """Tokens of each queue that fall due up to each time; never fewer at a later time."""
+        return np.minimum(np.floor(time[:, None] * self.sizes + 0.5).astype(np.int64), self.sizes)
+
     def served(self, n: np.ndarray) -> np.ndarray:
         """Tokens of each queue among the first n; rows add up to n."""
-        n = n.astype(self.sizes.dtype)[:, None]
-        served = self.sizes * n // self.total
-        left = n - served.sum(axis=1, keepdims=True)
-        room = self.sizes - served
-        last = (self.total - n) < self.length
-        room = np.where(last, room, np.minimum(room, self.quanta))
-        early = np.minimum(np.maximum(left - (np.cumsum(room, axis=1) - room), 0), room)
-        return (served + early).astype(np.int64)
+        n, queues = np.asarray(n, np.int64), len(self.sizes) + 1
+        low, high = np.maximum(n - queues, 0) / self.total * (1 - 1e-12), np.minimum((n + queues) / self.total, 1.0) * (1 + 1e-12)
+        low, high = np.where(self.due(low).sum(axis=1) <= n, low, 0.0), np.where(self.due(high).sum(axis=1) > n, high, 1.0)
+        # the last time (low) up to which no more than n tokens fall due, and the next one (high)
+        while True:
+            middle = (low + high) / 2
+            if ((middle <= low) | (middle >= high)).all():
+                break
+            fits = self.due(middle).sum(axis=1) <= n
+            low, high = np.where(fits, middle, low), np.where(fits, high, middle)
+        served = self.due(low)
+        room = self.due(high) - served  # due at one time: the larger queues first
+        left = (n - served.sum(axis=1))[:, None]
+        return served + np.minimum(np.maximum(left - (np.cumsum(room, axis=1) - room), 0), room)
 
     def block(self, number: int) -> tuple[np.ndarray, np.ndarray]:
         """Of a block of windows: tokens served before each window and after the last, and
         where each queue begins in each window."""
         if number not in self.blocks:
-            if len(self.blocks) > 64:
+            if len(self.blocks) * self.per_block * len(self.sizes) > 64 * CELLS_PER_BLOCK:
                 self.blocks.clear()
-            first = number * WINDOWS_PER_BLOCK
-            ends = np.arange(first, first + WINDOWS_PER_BLOCK + 1, dtype=np.int64) * self.length
+            first = number * self.per_block
+            ends = np.arange(first, first + self.per_block + 1, dtype=np.int64) * self.length
             served = self.served(np.minimum(ends, self.total))
             taken = np.diff(served, axis=0)
             self.blocks[number] = served, np.cumsum(taken, axis=1) - taken
@@ -180,7 +192,7 @@ class RoundRobin:
     def windows(self, queue: int, start: int, count: int) -> Iterator[tuple[int, int, int, int]]:
         """(window, offset, position, length) of each piece of tokens [start, start + count)."""
         i, at, end = self.place[queue], start, start + count
-        number = int(int(start) * self.total // int(self.sizes[i])) // self.length // WINDOWS_PER_BLOCK
+        number = int(int(start) * self.total // int(self.sizes[i])) // self.length // self.per_block
         while number and self.block(number)[0][0, i] > at:
             number -= 1
         while at < end:
@@ -190,10 +202,10 @@ class RoundRobin:
                 number += 1
                 continue
             w = int(np.searchsorted(column, at, side="right")) - 1
-            while at < end and w < WINDOWS_PER_BLOCK:
+            while at < end and w < self.per_block:
                 stop = min(end, int(column[w + 1]))
                 if stop > at:
-                    yield number * WINDOWS_PER_BLOCK + w, int(begins[w, i]) + at - int(column[w]), at, stop - at
+                    yield number * self.per_block + w, int(begins[w, i]) + at - int(column[w]), at, stop - at
                     at = stop
                 w += 1
             number += 1
@@ -219,7 +231,7 @@ def cut(batches: Iterator[pa.RecordBatch], totals: dict[int, int], length: int)
 
 
 def pack(
-    df: DataFrame, tokenizer: str | None = None, length: int = 2048, end_id: int = 1, own_queues: int = 64
+    df: DataFrame, tokenizer: str | None = None, length: int = 2048, end_id: int = 1, own_queues: int | None = None
 ) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
     path = tokenizer or public_tokenizers.path("word_bpe_49k.json")
@@ -227,9 +239,8 @@ def pack(
     shelf = Shelf(spark, "packing")
     docs = pick(df, "doc_id", "text", "source")
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    largest = (
-        docs.groupBy("source").count().orderBy(F.desc("count"), "source").limit(own_queues - 1).collect()
-    )
+    by_rows = docs.groupBy("source").count().orderBy(F.desc("count"), "source")
+    largest = (by_rows if own_queues is None else by_rows.limit(own_queues - 1)).collect()
     queue_of = {row["source"]: i for i, row in enumerate(largest)}
     staged = shelf.put(
         docs.select("doc_id", "text", "source").mapInArrow(
