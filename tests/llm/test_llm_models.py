@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from waybill.llm import knn, lm_scoring, queries, toxicity
@@ -108,6 +109,23 @@ def test_language_model_is_a_distribution():
     assert (10 ** (scores[:256] - scores[256])).sum() == pytest.approx(1, abs=1e-4)
 
 
+def test_every_unit_teaches_every_order():
+    """A rare word among 310,000 others is in the longest contexts' counts; 300,000 was a limit once."""
+    word = "zyxwvutsrqponm"
+    bits = lm_scoring.Bits([0], [word.encode() + b" "])
+    rare = {int(s) for t in range(8) for s in bits.slots[t][-1]}
+    others = [f"{i:x}".encode() + b" " for i in range(310_000)]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([0] * 310_001, pa.int32()), pa.array([*others, word.encode() + b" "]), pa.array([2] * 310_000 + [1])],
+        ["mark", "unit", "n"],
+    )
+    hit = set()
+    for part in lm_scoring.context_counts(iter([batch])):
+        for block, where in zip(part.column("block").to_pylist(), part.column("hit").to_pylist()):
+            hit.update((block * lm_scoring.SLOTS_PER_BLOCK + np.frombuffer(where, "<u2").astype(int)).tolist())
+    assert rare <= hit and not hasattr(lm_scoring, "TEACHERS")
+
+
 def test_units_join_to_the_text():
     for text in ("a b\n\nc ", "", " x", "ä\tö", "no"):
         assert b"".join(lm_scoring.units_of(text)) == text.encode() + b"\xff"

@@ -10,7 +10,8 @@ what followed in training. log10 of the product of all bits is the score.
 
 Words repeat, so learning goes over the words of the training texts with their counts, counted
 by one shuffle over all training texts; the number of counted words grows with the corpus.
-1. Context counts: every task adds up its words in fixed-size tables, tables are summed.
+1. Context counts: every task adds up its words in fixed-size tables, tables are summed. Every
+   word teaches every order; the tables do not grow, so slots of long contexts are shared.
 2. Weights and map: one online pass per task, each word predicted as if it had been seen once
    less than it was; tasks' results are averaged by the bits they saw.
 3. All texts are scored; a process keeps the scores of words it knows.
@@ -46,9 +47,6 @@ FIRST_SLOT = tuple(int(x) for x in np.cumsum([0, *(1 << b for b in BITS)]))
 SLOTS = FIRST_SLOT[-1]
 SLOTS_PER_BLOCK = 8192
 STATES = 16
-#: Words that teach each order: all, or about so many of the most frequent ones. Longer contexts
-#: are as many as words are, and the tables are not.
-TEACHERS = (None, None, None, None, 1_000_000, 300_000)
 GATES = (len(ORDERS) + 1) * 8
 BUCKETS = 33
 DELTA = 0.4
@@ -173,7 +171,7 @@ def cut_long(mark: int, unit: bytes) -> list[tuple[int, bytes]]:
     return [(mark if not i else 5 * STATES, unit[i : i + BYTES_AT_ONCE]) for i in range(0, len(unit), BYTES_AT_ONCE)]
 
 
-def context_counts(batches: Iterator[pa.RecordBatch], least: list[int]) -> Iterator[pa.RecordBatch]:
+def context_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Zeros and ones seen per slot by this task, as blocks of the slots that were hit."""
     table = np.zeros((2, SLOTS), np.float32)
     for batch in batches:
@@ -182,10 +180,8 @@ def context_counts(batches: Iterator[pa.RecordBatch], least: list[int]) -> Itera
             bits = Bits(marks[a:b], units[a:b])
             weight = n[a:b][bits.unit]
             for t in range(8):
-                for slots, cutoff in zip(bits.slots[t], least):
-                    taught = weight >= cutoff
-                    place = slots + SLOTS * bits.bit[t].astype(np.int64)
-                    np.add.at(table.reshape(-1), place[taught], weight[taught])
+                for slots in bits.slots[t]:
+                    np.add.at(table.reshape(-1), slots + SLOTS * bits.bit[t].astype(np.int64), weight)
     for block in range(math.ceil(SLOTS / SLOTS_PER_BLOCK)):
         part = table[:, block * SLOTS_PER_BLOCK : (block + 1) * SLOTS_PER_BLOCK]
         hit = np.flatnonzero(part.any(axis=0)).astype("<u2")
@@ -264,7 +260,7 @@ def bucket_of(odds: np.ndarray) -> np.ndarray:
     return np.rint(np.clip(odds, -8, 8) * 2).astype(np.int64) + 16
 
 
-def learn_mixing(batches: Iterator[pa.RecordBatch], counts, least: list[int]) -> Iterator[pa.RecordBatch]:
+def learn_mixing(batches: Iterator[pa.RecordBatch], counts) -> Iterator[pa.RecordBatch]:
     """Online: after each group of units the weights follow the gradient of the coding cost,
     scaled by its curvature. Returns weights and map sums with the number of bits per gate."""
     zeros, ones = counts.value
@@ -279,10 +275,9 @@ def learn_mixing(batches: Iterator[pa.RecordBatch], counts, least: list[int]) ->
             for t in range(8):
                 bit = bits.bit[t]
                 inputs = []
-                for slots, cutoff in zip(bits.slots[t], least):
-                    own = (weight >= cutoff).astype(np.float32)
-                    one = np.maximum(COUNTS[ones[slots]] - own * bit, 0)
-                    zero = np.maximum(COUNTS[zeros[slots]] - own * (1 - bit), 0)
+                for slots in bits.slots[t]:
+                    one = np.maximum(COUNTS[ones[slots]] - bit, 0)
+                    zero = np.maximum(COUNTS[zeros[slots]] - (1 - bit), 0)
                     inputs.append(np.log((one + DELTA) / (zero + DELTA)))
                 gate = gate_of(inputs, t)
                 odds = mixed(inputs, gate, weights)
@@ -403,12 +398,8 @@ def score(df: DataFrame, modulus: int = 7, held_out: int = 2, hot_tokens: int =
     # the same order whenever it is read, so that the online pass gives the same weights
     whole = units.repartition(max(1, math.ceil(n_units / units_per_task)), F.xxhash64("mark", "unit"))
     whole = whole.sortWithinPartitions(F.xxhash64("unit"), "mark", "unit")
-    least = [1] * len(ORDERS)
-    for k, teachers in enumerate(TEACHERS):
-        if teachers and n_units > teachers:
-            least[k] = units.agg(F.percentile_approx("n", 1 - teachers / n_units, 10000)).first()[0]
     blocks = (
-        whole.mapInArrow(lambda it: context_counts(it, least), "block int, hit binary, counts binary")
+        whole.mapInArrow(context_counts, "block int, hit binary, counts binary")
         .groupBy("block")
         .applyInArrow(sum_block, "block int, counts binary")
     )
@@ -417,7 +408,7 @@ def score(df: DataFrame, modulus: int = 7, held_out: int = 2, hot_tokens: int =
     log_odds = log_odds_of(counts)
     shared = sc.broadcast(counts)
     del counts
-    mixing = whole.mapInArrow(lambda it: learn_mixing(it, shared, least), "weights binary, seen binary, sums binary").collect()
+    mixing = whole.mapInArrow(lambda it: learn_mixing(it, shared), "weights binary, seen binary, sums binary").collect()
     shared.destroy()
     model = sc.broadcast((log_odds, *joined_mixing(mixing)))
     del log_odds
