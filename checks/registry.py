@@ -150,7 +150,7 @@ def optional_dim(spark, sf_dir):
     parts = []
     for name in (present, "waybill_no_such_zones"):
         zones = optional_table(spark, name)
-        tidy = silver.standardize_silver(rides, zones, "fhvhv", "2024-01-01", "2024-02-01")
+        tidy = silver.standardize_silver(rides, zones, "fhvhv", *trips.window(spark, sf_dir, "fhvhv"))
         flag = "is_airport_trip" if "is_airport_trip" in tidy.columns else "CAST(NULL AS BOOLEAN)"
         parts.append(
             tidy.selectExpr(f"{'false' if zones is None else 'true'} AS with_zones", f"{flag} AS is_airport_trip")
@@ -442,7 +442,7 @@ def snake_case_columns(spark, sf_dir):
 )
 def detect_column(spark, sf_dir):
     parts = []
-    for taxi_type in trips.PERIODS:
+    for taxi_type in trips.TYPES:
         named = schema.snake_case_columns(trips.raw(spark, sf_dir, taxi_type))
         pickup, dropoff = detect_pickup_col(named.columns), detect_dropoff_col(named.columns)
         parts.append(
@@ -633,6 +633,23 @@ _register_silver("standardize_silver_fhv", "fhv")
 _register_silver("standardize_silver_fhvhv", "fhvhv")
 
 
+@query(
+    "standardize_silver_unfiltered",
+    over_sources(
+        f"""SELECT CAST(year(pickup_datetime) AS INTEGER) AS pickup_year,
+                   CAST(month(pickup_datetime) AS INTEGER) AS pickup_month,
+                   dropoff_datetime < pickup_datetime AS reversed, {ZONE_COLUMNS_SQL}, count(*) AS count
+            FROM line t {ZONE_JOINS_SQL} WHERE service_type = 'yellow' GROUP BY ALL"""
+    ),
+)
+def standardize_silver_unfiltered(spark, sf_dir):
+    """Without a window no trip is left out, not even one that ends before it begins."""
+    every = silver.standardize_silver(trips.raw(spark, sf_dir, "yellow"), trips.zones(spark, sf_dir), "yellow")
+    marked = every.withColumn("reversed", F.expr("tpep_dropoff_datetime < tpep_pickup_datetime"))
+    sides = [f"{side}_{what}" for side in ("pickup", "dropoff") for what in ("borough", "zone", "service_zone")]
+    return count_by(marked, "pickup_year", "pickup_month", "reversed", *sides, "is_airport_trip")
+
+
 @query(
     "airport_flag",
     over_sources(
@@ -735,7 +752,7 @@ def sequential_key(spark, sf_dir):
 )
 def valid_dates(spark, sf_dir):
     lines = schema.snake_case_columns(trips.raw(spark, sf_dir, "yellow"))
-    kept = silver.filter_valid_dates(lines, "1995-01-01", "2001-07-01")
+    kept = silver.filter_valid_dates(lines, *trips.window(spark, sf_dir, "yellow"))
     return kept.select("vendor_id", "tpep_pickup_datetime", "tpep_dropoff_datetime", "total_amount")
 
 
@@ -847,7 +864,7 @@ ASKED_OF_SILVER = tuple(sorted({c for lacked in LACKED.values() for c in lacked}
 def missing_columns(spark, sf_dir):
     """What each silver table lacks of the columns somebody might ask all of them for."""
     found = []
-    for t in trips.PERIODS:
+    for t in trips.TYPES:
         rows = trips.silver(spark, sf_dir, t)
         lacked = [r["col"] for r in quality.missing_columns(rows, ASKED_OF_SILVER).collect()]  # names only
         names = F.explode(F.array(*map(F.lit, lacked))).alias("col")
@@ -891,7 +908,7 @@ QUARTER = marts.Axis(
 )
 def star_join_inner(spark, sf_dir):
     """With a calendar built from the trips themselves, joined as a table."""
-    tables = {t: trips.silver(spark, sf_dir, t, False, False) for t in trips.PERIODS}
+    tables = {t: trips.silver(spark, sf_dir, t, False) for t in trips.TYPES}
     dims = trips.dimensions(spark, sf_dir, dim_date(tables))
     fact = trips.fact(spark, sf_dir, "service_type_key", "pickup_date_key", "total_amount")
     return marts.star_rollup(fact, dims, (marts.SERVICE_TYPE, QUARTER), (marts.TOTAL,))
@@ -1332,7 +1349,7 @@ def dim_time(spark, sf_dir):
     ),
 )
 def dim_date_rows(spark, sf_dir):
-    tables = {t: trips.silver(spark, sf_dir, t, False, False) for t in trips.PERIODS}
+    tables = {t: trips.silver(spark, sf_dir, t, False) for t in trips.TYPES}
     return dim_date(tables).frame.withColumn("full_date", F.expr("CAST(full_date AS STRING)"))
 
 
@@ -1348,7 +1365,7 @@ def dim_date_rows(spark, sf_dir):
     ),
 )
 def dim_row_counts_query(spark, sf_dir):
-    tables = {t: trips.silver(spark, sf_dir, t, False, False) for t in trips.PERIODS}
+    tables = {t: trips.silver(spark, sf_dir, t, False) for t in trips.TYPES}
     return dim_row_counts(trips.dimensions(spark, sf_dir, dim_date(tables)))
 
 
@@ -1360,7 +1377,7 @@ def dim_row_counts_query(spark, sf_dir):
     ),
 )
 def minmax_bounds(spark, sf_dir):
-    tables = {t: trips.silver(spark, sf_dir, t, False, False) for t in trips.PERIODS}
+    tables = {t: trips.silver(spark, sf_dir, t, False) for t in trips.TYPES}
     bounds = date_bounds([(df, RECORD_TYPES[t].conform["pickup_datetime"]) for t, df in tables.items()])
     return bounds.selectExpr("CAST(low AS STRING) AS low", "CAST(high AS STRING) AS high")
 
@@ -1381,7 +1398,7 @@ FILLED_SQL = "\nUNION ALL ".join(
 
 def _unfilled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contract columns that hold no value for one record type."""
-    rides = conform(trips.silver(spark, sf_dir, "fhvhv", False, False), RECORD_TYPES["fhvhv"])
+    rides = conform(trips.silver(spark, sf_dir, "fhvhv", False), RECORD_TYPES["fhvhv"])
     filled = value_counts_by_column(rides, *FILLED_COLUMNS).filter("filled > 0").select("col")
     required = inline_values(spark, ("col",), [(c,) for c in fv.CONTRACT_COLUMNS])
     return required.subtract(filled)

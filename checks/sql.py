@@ -35,9 +35,16 @@ line AS (
   FROM lineitem JOIN ordered ON l_orderkey = o_orderkey
   LEFT JOIN supplier ON l_suppkey = s_suppkey
 ),
+order_period AS (
+  SELECT date_trunc('day', min(ordered_at)) AS low, date_trunc('month', max(ordered_at)) + INTERVAL 1 MONTH AS high
+  FROM ordered
+),
+event_period AS (
+  SELECT date_trunc('day', min(ts)) AS low, date_trunc('month', max(ts)) + INTERVAL 1 MONTH AS high FROM events
+),
 valid_line AS (
-  SELECT * FROM line
-  WHERE pickup_datetime >= TIMESTAMP '1995-01-01' AND pickup_datetime < TIMESTAMP '2001-07-01'
+  SELECT line.* FROM line, order_period
+  WHERE pickup_datetime >= low AND pickup_datetime < high
     AND (dropoff_datetime IS NULL OR dropoff_datetime >= pickup_datetime)
 ),
 dispatch AS (
@@ -49,8 +56,8 @@ dispatch AS (
   FROM ordered
 ),
 valid_dispatch AS (
-  SELECT * FROM dispatch
-  WHERE pickup_datetime >= TIMESTAMP '1996-01-01' AND pickup_datetime < TIMESTAMP '2001-09-01'
+  SELECT dispatch.* FROM dispatch, order_period
+  WHERE pickup_datetime >= low AND pickup_datetime < high
 ),
 ride AS (
   SELECT CASE event_type WHEN 'click' THEN 'HV0002' WHEN 'view' THEN 'HV0003'
@@ -72,8 +79,8 @@ ride AS (
   FROM events LEFT JOIN customer ON user_id = c_custkey
 ),
 valid_ride AS (
-  SELECT * FROM ride
-  WHERE pickup_datetime >= TIMESTAMP '2024-01-01' AND pickup_datetime < TIMESTAMP '2024-02-01'
+  SELECT ride.* FROM ride, event_period
+  WHERE pickup_datetime >= low AND pickup_datetime < high
     AND (dropoff_datetime IS NULL OR dropoff_datetime >= pickup_datetime)
 ),
 trip AS (

@@ -34,15 +34,10 @@ from waybill.operators.fact import FACT_COLUMNS, build_fact, union_all_types
 from waybill.operators.lookup import Dimension
 from waybill.operators.silver import standardize_silver
 from waybill.operators.zones import zone_lookup
+from waybill.sources.calendars import date_bounds
 
-# One ingested period per stand-in, as literals: a validity window is a setting of the flow, and
-# the SQL has the same ones. Rows outside are left out on both sides.
-PERIODS = {
-    "yellow": ("1995-01-01", "2001-06-01"),
-    "green": ("1995-01-01", "2001-06-01"),
-    "fhv": ("1996-01-01", "2001-08-01"),
-    "fhvhv": ("2024-01-01", "2024-01-01"),
-}
+TYPES = ("yellow", "green", "fhv", "fhvhv")
+ORDERED_AT = "timestampadd(HOUR, CAST(o_custkey % 24 AS INT), o_orderdate)"
 
 
 @cache
@@ -85,7 +80,7 @@ def _ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderkey",
         "o_orderstatus",
         "o_orderpriority",
-        F.expr("timestampadd(HOUR, CAST(o_custkey % 24 AS INT), o_orderdate)").alias("ordered_at"),
+        F.expr(ORDERED_AT).alias("ordered_at"),
         "c_nationkey",
     )
 
@@ -188,6 +183,18 @@ def zones(spark: SparkSession, sf_dir: str) -> Dimension:
     return zone_lookup(zones_raw(spark, sf_dir))
 
 
+@cache
+def window(spark: SparkSession, sf_dir: str, taxi_type: str) -> tuple[str | None, str | None]:
+    """Validity window of a stand-in: the period its table covers, from the first day to the
+    end of the last month. One small job over two columns; an empty table has no window."""
+    if taxi_type == "fhvhv":
+        times = table(spark, sf_dir, "events"), "ts"
+    else:
+        times = table(spark, sf_dir, "orders").selectExpr(f"{ORDERED_AT} AS ordered_at"), "ordered_at"
+    found = date_bounds([times]).selectExpr("CAST(low AS STRING) AS low", "CAST(high AS STRING) AS high").first()
+    return valid_window(found["low"], found["high"]) if found["low"] else (None, None)
+
+
 @cache
 def silver(
     spark: SparkSession,
@@ -195,7 +202,7 @@ def silver(
     taxi_type: str,
     with_zones: bool = True,
 ) -> DataFrame:
-    start, end = valid_window(*PERIODS[taxi_type])
+    start, end = window(spark, sf_dir, taxi_type)
     return standardize_silver(
         build_bronze(raw(spark, sf_dir, taxi_type), dedup=False).drop("dt_ingestion"),
         zone_df=zones(spark, sf_dir) if with_zones else None,
@@ -209,7 +216,7 @@ def silver(
 def unified(
     spark: SparkSession, sf_dir: str, with_zones: bool = True
 ) -> DataFrame:
-    return union_all_types({t: silver(spark, sf_dir, t, with_zones) for t in PERIODS})
+    return union_all_types({t: silver(spark, sf_dir, t, with_zones) for t in TYPES})
 
 
 @cache

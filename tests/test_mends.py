@@ -92,3 +92,18 @@ def test_rebalanced_months_are_few_files(spark, tmp_path):
         counts[even] = len(glob.glob(folder.removeprefix("file:") + "/*/*.parquet"))
         assert spark.table("mends.t").count() == 4000
     assert counts == {False: 80, True: 5}
+
+
+def test_windows_follow_the_tables(spark, tmp_path):
+    """The stand-ins' windows come off the rows, so none is lost to a period of other tables."""
+    from checks import standins
+
+    folder = str(tmp_path)
+    spark.sql(
+        "SELECT * FROM VALUES (1, 1, TIMESTAMP_NTZ'1971-02-03'), (2, 47, TIMESTAMP_NTZ'2033-11-30'), (3, 5, NULL)"
+        " AS t(o_orderkey, o_custkey, o_orderdate)"
+    ).write.parquet(f"{folder}/orders.parquet")
+    spark.sql("SELECT TIMESTAMP_NTZ'2024-01-01' AS ts WHERE false").write.parquet(f"{folder}/events.parquet")
+    for taxi_type in ("yellow", "green", "fhv"):
+        assert standins.window(spark, folder, taxi_type) == ("1971-02-03", "2033-12-01")
+    assert standins.window(spark, folder, "fhvhv") == (None, None)

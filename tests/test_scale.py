@@ -77,8 +77,8 @@ def test_record_shuffles_are_sized(spark, plan_of, tmp_path):
     df = bronze.deduplicate(spark.read.parquet(path))
     usual = spark.conf.get("spark.sql.shuffle.partitions")
     with shuffles_sized_for(spark, 10 * 2**30) as partitions:
-        assert partitions == 40
-        assert "hashpartitioning(id" in plan_of(df) and ", 40)" in plan_of(df)
+        assert partitions == 160
+        assert "hashpartitioning(id" in plan_of(df) and ", 160)" in plan_of(df)
         assert df.count() == 1000
     again = bronze.deduplicate(spark.read.parquet(path))
     assert f", {usual})" in plan_of(again)
