@@ -1,8 +1,6 @@
 """The operators that SQL can express, for the comparison engine. Written from the contract of
 each query; ids are unique in the given tables."""
 
-from waybill.llm.secrets import BASE, KINDS, ORDER
-
 SPACE_RUN = r"[\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -41,39 +39,69 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 WHERE rank <= 20"""
 
 
-def _kind(kind: str) -> str:
-    pattern, group, least = KINDS[kind]
+def _any_case(word: str) -> str:
+    return "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in word)
+
+
+# Written for an engine without look-ahead or possessive repeats: (kind, pattern, group, least length).
+SPACE, BLANK = r"[\x20\x09-\x0D]", r"(?:[\x20\x09-\x0D]|\\[nr])"
+NAMES = "|".join(map(_any_case, ("password", "passwd", "secret", "token", "api_?key")))
+KEY_HEAD, KEY_FOOT = "-----BEGIN [A-Z ]*PRIVATE KEY-----", "-----END [A-Z ]*PRIVATE KEY-----"
+KEY_FIELD, KEY_LINE = rf"{BLANK}*[A-Za-z][A-Za-z-]*:\x20?[^\x20\x09-\x0D]+", f"{BLANK}*[A-Za-z0-9+/=]{{20,}}"
+KEY_REST = f"(?:{KEY_FIELD})*(?:{KEY_LINE})+(?:{BLANK}*[A-Za-z0-9+/=]+{BLANK}*\\z)?"
+SECRET_KINDS = (
+    ("assign", rf"""(?:{NAMES})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 1, 8),
+    ("access", "AKIA[A-Z0-9]+", 0, 16),
+    ("hex", "[0-9a-f]+", 0, 32),
+    ("private", f"{KEY_HEAD}(?:((?:-{{0,4}}[^-])*){KEY_FOOT}|((?:{KEY_REST})?))", 0, 1),
+    ("github", r"\bgh[pousr]_[A-Za-z0-9]{36,}", 0, 1),
+    ("jwt", r"\beyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]*", 0, 1),
+    ("url", r"://[^\x20\x09-\x0D/:@]+:([^\x20\x09-\x0D/:@]{4,})@", 1, 4),
+)
+
+
+def _kind(at: int) -> str:
+    kind, pattern, group, least = SECRET_KINDS[at]
     p = "'" + pattern.replace("'", "''") + "'"
     found = f"regexp_extract_all(text, {p})"
     values = f"regexp_extract_all(text, {p}, {group})"
-    return f"""SELECT doc_id, owner, repository, '{kind}' AS kind, {ORDER[kind]} AS ord, {least} AS least,
-      unnest({found}) AS found, unnest({values}) AS value,
+    return f"""SELECT doc_id, owner, repository, '{kind}' AS kind, {at} AS ord, {least} AS least,
+      unnest({found}) AS taken, unnest({values}) AS inner_value,
       unnest(string_split_regex(text, {p})[:len({found})]) AS gap, unnest(range(len({found}))) AS nth FROM d"""
 
 
+# A cut-off key takes the blanks at the text's end with it; they belong to no span. What owners
+# share of a key is its body, however its lines are broken.
+KEY_SPAN = f"regexp_replace(taken, '{BLANK}+$', '')"
+KEY_BODY = f"regexp_replace(regexp_replace({KEY_SPAN}, '^{KEY_HEAD}|{KEY_FOOT}$', '', 'g'), '{BLANK}', '', 'g')"
+BASE_KINDS = 3
+
 SECRETS = f"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS text, coalesce(source, '(none)') AS owner,
          coalesce(source, '(none)') || '/' || coalesce(lang, '(none)') AS repository FROM documents
 ), hit AS (
-  {' UNION ALL '.join(map(_kind, KINDS))}
+  {' UNION ALL '.join(map(_kind, range(len(SECRET_KINDS))))}
 ), span AS (
-  SELECT *, CAST(sum(length(gap) + length(found)) OVER (PARTITION BY doc_id, kind ORDER BY nth) AS BIGINT) AS stop FROM hit
+  SELECT *, CASE kind WHEN 'private' THEN {KEY_SPAN} ELSE taken END AS found,
+         CASE kind WHEN 'private' THEN coalesce(nullif({KEY_BODY}, ''), {KEY_SPAN}) ELSE inner_value END AS value,
+         CAST(sum(length(gap) + length(taken)) OVER (PARTITION BY doc_id, kind ORDER BY nth) AS BIGINT) AS gone FROM hit
 ), long_enough AS (
-  SELECT *, stop - length(found) AS start FROM span WHERE length(value) >= least
+  SELECT *, gone - length(taken) AS start, gone - length(taken) + length(found) AS stop
+  FROM span WHERE length(value) >= least
 ), owned AS (
   SELECT value, count(DISTINCT owner) AS owners FROM long_enough GROUP BY value
 ), listed AS (
   SELECT s.*, owners < 3 AS live, kind || ':' || start || ':' || stop AS shown FROM long_enough s JOIN owned USING (value)
 ), per_doc AS (
-  SELECT doc_id, {', '.join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in BASE)},
-         string_agg(shown, ',' ORDER BY start, ord) FILTER (ord < {len(BASE)}) AS base,
+  SELECT doc_id, {', '.join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k, *_ in SECRET_KINDS[:BASE_KINDS])},
+         string_agg(shown, ',' ORDER BY start, ord) FILTER (ord < {BASE_KINDS}) AS base,
          string_agg(shown, ',' ORDER BY start, ord) AS spans,
          count(*) FILTER (live) AS n_live, count(*) FILTER (NOT live) AS n_example,
          string_agg(shown, ',' ORDER BY start, ord) FILTER (live) AS live_spans
   FROM listed GROUP BY doc_id
 )
-SELECT doc_id, {', '.join(f"coalesce(n_{k}, 0) AS n_{k}" for k in BASE)}, sha256(coalesce(base, '')) AS base_sha256,
+SELECT doc_id, {', '.join(f"coalesce(n_{k}, 0) AS n_{k}" for k, *_ in SECRET_KINDS[:BASE_KINDS])}, sha256(coalesce(base, '')) AS base_sha256,
        coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example,
        coalesce(live_spans, '') AS live_spans
 FROM documents LEFT JOIN per_doc USING (doc_id)"""
