@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waybill.llm import exact_dedup, knn, line_dedup, lm_scoring, packing, secrets, segmentation, sharding, simhash, toxicity
+from waybill.llm import alignment, exact_dedup, knn, line_dedup, lm_scoring, packing, secrets, segmentation, sharding, simhash, toxicity
 from waybill.llm.oracle import ORACLE  # noqa: F401
 
 SHARDS = 16
@@ -82,3 +82,8 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), length=2048, end_id=1)
+
+
+@query
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"))
