@@ -1,6 +1,7 @@
 """Files, sinks and the whole flow, on files written by the tests themselves."""
 
 import datetime as dt
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -194,6 +195,74 @@ def test_whole_flow(spark, landing):
     assert spark.table("flow_gold.fact_trips").count() == 8
 
 
+def test_one_month_landed_again(spark, landing, tmp_path, plan_of):
+    """Only its silver partition is written and only its states are computed; the marts equal a build from
+    the trips. Needs nothing of the flow above."""
+    import shutil
+
+    from waybill.operators import marts, states
+    from waybill.operators.dimensions import stored_dimensions
+    from waybill.plans import medallion
+
+    folder = str(tmp_path / "landing")
+    shutil.copytree(landing, folder)
+    plan = Medallion(
+        landing=folder,
+        zone_csv=f"{folder}/zones.csv",
+        date_start="2023-01-01",
+        date_stop="2023-02-01",
+        bronze="again_bronze",
+        silver="again_silver",
+        gold="again_gold",
+    )
+    run(spark, plan)
+
+    def files(name):
+        found = spark.table(name).select("_metadata.file_path", "_metadata.file_modification_time").distinct()
+        return {tuple(r) for r in found.collect()}
+
+    def marts_and_trips():
+        dims = replace(stored_dimensions(spark, "again_gold"), date=None)
+        fact = spark.table("again_gold.fact_trips")
+        for name in ("agg_revenue_monthly", "agg_trips_by_hour", "agg_trips_by_zone", "cube_trips"):
+            stored, direct = spark.table(f"again_gold.{name}"), getattr(marts, name)(fact, dims)
+            assert stored.columns == direct.columns and rows(stored) == rows(direct)
+
+    marts_and_trips()
+    tables = [f"again_silver.{t}_trips" for t in plan.taxi_types] + ["again_gold.month_states"]
+    before = {name: files(name) for name in tables}
+    run(spark, plan)
+    assert {name: files(name) for name in tables} == before  # nothing changed, nothing is written
+
+    path = f"{folder}/yellow_tripdata_2023-02.parquet"
+    landed = spark.read.parquet(path)
+    amount = next(c for c in landed.columns if c.lower() == "total_amount")
+    raised = landed.withColumn(amount, F.col(amount) + 100)
+    spark.createDataFrame(raised.collect(), raised.schema).write.mode("overwrite").parquet(path)
+    by_dimension, by_type = run(spark, plan)
+    for name in tables:
+        same = files(name) & before[name]
+        if name in ("again_silver.yellow_trips", "again_gold.month_states"):
+            # one path for each partition that stayed: January's
+            assert same and all("month=1/" in f for f, _ in same) and not any("month=1/" in f for f, _ in before[name] - same)
+        else:
+            assert same == before[name]
+    marts_and_trips()
+
+    # the report is that of the stored tables, without a scan of them
+    expected = medallion.gold_report(spark, plan)
+    assert rows(by_dimension) == rows(expected[0]) and rows(by_type) == rows(expected[1])
+    assert [by_dimension.dtypes, by_type.dtypes] == [e.dtypes for e in expected]
+    assert "FileScan" not in plan_of(by_dimension) and "fact" not in plan_of(by_type)
+
+    # a run over fewer types rebuilds gold from these; one over all types again has all
+    run(spark, Medallion(**{**vars(plan), "taxi_types": ("yellow",)}))
+    assert states.trips_of(spark.table("again_gold.month_states")) == {1: 2}
+    run(spark, plan)
+    marts_and_trips()
+    assert set(states.trips_of(spark.table("again_gold.month_states"))) == {1, 2, 3, 4}
+
+
 def test_silver_filter_prunes_partitions_and_columns(spark, landing, plan_of):
     """Needs the tables of the flow above."""
     from waybill.operators.questions import silver_by_hour

@@ -6,12 +6,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
-from waybill.operators import bronze, marts
+from waybill.operators import bronze, lattice, marts
 from waybill.operators.dimensions import star_dimensions
 from waybill.operators.fact import FACT_COLUMNS, build_fact, union_all_types
 from waybill.operators.lookup import Dimension, lookup
 from waybill.operators.silver import standardize_silver
 from waybill.operators.sinks import write_table
+from waybill.operators.staging import Shelf
 from waybill.session import shuffles_sized_for
 from waybill.sources.files import stored_bytes
 from waybill.spec import CONFORMED_SCHEMA
@@ -127,10 +128,17 @@ def test_marts_aggregate_before_they_join(spark, zones, stored_fact, plan_of):
     assert "vendor_id" not in scan
 
 
-def test_cube_expands_groups_not_trips(spark, zones, stored_fact, plan_of):
-    plan = plan_of(marts.cube_trips(stored_fact, star_dimensions(spark, zones)))
-    below = plan[plan.index("Expand") :]
-    assert below.count("HashAggregate") == 4 and plan.count("Expand") == 1
+def test_cuboids_come_from_their_smallest_parents(spark, zones, stored_fact):
+    finest, labels, merge = marts.finest_groups(stored_fact, star_dimensions(spark, zones))
+    shelf = Shelf(spark, "test-lattice")
+    tables = lattice.cuboids(finest, labels, merge, shelf.put)
+    sizes = [t.count() for t in tables]
+    assert sorted(r[0] for t in tables for r in t.select("grouping_id").distinct().collect()) == list(range(64))
+    read = sum(sum(sizes[:i]) for i in range(1, len(sizes)))  # each step reads all tables before it
+    assert read < 64 * sizes[0] / 6
+    values = {label: tables[0].select(label).distinct().count() for label in labels}
+    order = lattice.rolling_order(tables[0], labels)
+    assert [values[label] for label in order] == sorted(values.values(), reverse=True)
 
 
 def test_cube_equals_direct_cube(spark, zones, stored_fact):

@@ -16,13 +16,8 @@ def sequential_key() -> str:
     return "monotonically_increasing_id()"
 
 
-def stable_key() -> str:
-    """128-bit hash of the natural key and the number of the trip among those that are equal in
-    it: unique, and the same set of keys in every run, whatever the partitioning. A missing part
-    hashes as empty text in its own place. Only trips that share all of the natural key are
-    numbered together, and they differ in nothing that tells them apart across runs."""
+def natural_key() -> str:
+    """128-bit hash of the natural key. A missing part hashes as empty text in its own place."""
     parts = [f"CAST({c} AS STRING)" for c in NATURAL_KEY]
     parts += [f"CAST(unix_micros({c}) AS STRING)" for c in NATURAL_KEY_TIMES]
-    hashed = "md5(concat_ws('|', " + ", ".join(f"COALESCE({p}, '')" for p in parts) + "))"
-    within = f"OVER (PARTITION BY {hashed} ORDER BY total_amount, trip_distance)"
-    return f"concat({hashed}, '-', CAST(row_number() {within} AS STRING))"
+    return "md5(concat_ws('|', " + ", ".join(f"COALESCE({p}, '')" for p in parts) + "))"

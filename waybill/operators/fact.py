@@ -7,13 +7,17 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from waybill import fixed_values as fv
 from waybill.functions.dates import date_key, duration_minutes
-from waybill.functions.keys import sequential_key, stable_key, unknown_member
+from waybill.functions.keys import natural_key, sequential_key, unknown_member
 from waybill.functions.measures import coalesced_sum
 from waybill.operators.dimensions import StarDimensions
 from waybill.operators.lookup import lookup
+from waybill.operators.numbering import with_row_numbers
+from waybill.operators.skew import split_join
+from waybill.operators.staging import Shelf
 from waybill.spec import CONFORMED_SCHEMA, RECORD_TYPES, RecordType
 
 
@@ -98,6 +102,29 @@ FACT_COLUMNS = (
 )
 
 
+def with_stable_keys(rows: DataFrame) -> DataFrame:
+    """Turns `trip_sk`, the hash of the natural key, into a key of the trip: the hash and the trip's
+    number among those equal in it. Unique, and the same set of keys in every run, whatever the
+    partitioning.
+
+    All trips are numbered by prefix sums over ranges of the hash, so that a natural key held by
+    many trips is cut over tasks; a trip's number is that less the first of its key. Only keys that
+    repeat are looked up, and hot ones among them are split."""
+    shelf = Shelf(rows.sparkSession, "stable-keys")
+    same = [F.col(c) for c in ("trip_sk", "total_amount", "trip_distance") if c in rows.columns]
+    numbered = with_row_numbers(rows, same, "__number", lambda df: shelf.put(df, "sorted"))
+    repeated = shelf.put(
+        numbered.groupBy("trip_sk").agg(F.min("__number").alias("__first"), F.count(F.lit(1)).alias("n")).filter("n > 1"),
+        "repeated",
+    )
+    trips = numbered.count()
+    looked_up = split_join(
+        numbered, repeated.drop("n"), ["trip_sk"], "left", counts=repeated, rows=trips, deal_by=F.col("__number")
+    )
+    within = "CAST(__number - COALESCE(__first, __number) + 1 AS STRING)"
+    return looked_up.withColumn("trip_sk", F.expr(f"concat(trip_sk, '-', {within})")).select(*rows.columns)
+
+
 def build_fact(
     unified: DataFrame,
     dims: StarDimensions,
@@ -110,7 +137,7 @@ def build_fact(
     but has to keep a left join it cannot prove harmless. Every dimension involved is
     literal or counted, so no lookup shuffles the facts. ``stable_keys`` replaces the
     per-run sequence number by a hash of the natural key and, among trips that are equal in
-    it, a number; counting these is the one shuffle such keys cost.
+    it, a number; sorting the trips by it into a staged table is what such keys cost.
     """
     wanted = [c for c in FACT_COLUMNS if columns is None or c in columns]
     service = dims.service_type
@@ -127,10 +154,11 @@ def build_fact(
         rows = lookup(rows, dimension.keyed_by(how.match), how.value, {how.key: name})
 
     computed = {
-        "trip_sk": stable_key() if stable_keys else sequential_key(),
+        "trip_sk": natural_key() if stable_keys else sequential_key(),
         "pickup_date_key": date_key("pickup_datetime"),
         "pickup_time_key": "hour(pickup_datetime)",
         "dropoff_date_key": date_key("dropoff_datetime"),
         "trip_duration_min": duration_minutes("pickup_datetime", "dropoff_datetime"),
     } | {name: unknown_member(name, how.unknown) for name, how in looked_up.items()}
-    return rows.selectExpr(*[f"{computed.get(c, c)} AS `{c}`" for c in wanted])
+    fact = rows.selectExpr(*[f"{computed.get(c, c)} AS `{c}`" for c in wanted])
+    return with_stable_keys(fact) if stable_keys and "trip_sk" in wanted else fact

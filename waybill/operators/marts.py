@@ -15,8 +15,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waybill.functions.measures import Measure
+from waybill.operators import lattice
 from waybill.operators.dimensions import StarDimensions
 from waybill.operators.lookup import Dimension
+from waybill.operators.staging import Shelf
 
 
 @dataclass(frozen=True)
@@ -82,22 +84,23 @@ def _expressions(parts: Sequence[str]) -> list[Column]:
 
 
 def star_groups(
-    fact: DataFrame, dims: StarDimensions, axes: Sequence[Axis], measures: Sequence[Measure]
+    fact: DataFrame, dims: StarDimensions, axes: Sequence[Axis], measures: Sequence[Measure], states: bool = False
 ) -> tuple[DataFrame, list[str], list[Column]]:
-    """Facts grouped by foreign keys and labelled; the label names; how to merge groups."""
+    """Facts grouped by foreign keys and labelled; the label names; how to merge groups. With ``states``
+    the rows are partial sums already (see ``operators.states``) instead of facts."""
     joined = [(axis, getattr(dims, axis.dimension)) for axis in axes]
     keys = [axis.foreign_key for axis, dimension in joined if dimension]
     for axis, dimension in joined:
         if dimension is None:  # labels that follow from the key itself
             fact = fact.filter(f"{axis.foreign_key} IS NOT NULL")
             keys += [f"{sql} AS {name}" for name, sql in axis.derived.items()]
-    partial = ["count(1) AS trips"] + [p for m in measures for p in m.partial()]
+    merge = ["sum(trips) AS trips"] + [c for m in measures for c in m.merged()]
+    partial = merge if states else ["count(1) AS trips"] + [p for m in measures for p in m.partial()]
     groups = fact.groupBy(*_expressions(keys)).agg(*_expressions(partial))
     for axis, dimension in joined:
         if dimension:
             groups = _label(groups, axis, dimension)
     labels = [name for axis in axes for name in axis.take.values()]
-    merge = ["sum(trips) AS trips"] + [c for m in measures for c in m.merged()]
     return groups, labels, _expressions(merge)
 
 
@@ -106,26 +109,27 @@ def star_rollup(
     dims: StarDimensions,
     axes: Sequence[Axis],
     measures: Sequence[Measure] = (),
+    states: bool = False,
 ) -> DataFrame:
     """Trips and measures by the labels of the axes."""
-    groups, labels, merge = star_groups(fact, dims, axes, measures)
+    groups, labels, merge = star_groups(fact, dims, axes, measures, states)
     merged = groups.groupBy(*labels).agg(*merge)
     return merged.selectExpr(*labels, "trips", *[c for m in measures for c in m.finished()])
 
 
-def agg_revenue_monthly(fact: DataFrame, dims: StarDimensions) -> DataFrame:
+def agg_revenue_monthly(fact: DataFrame, dims: StarDimensions, states: bool = False) -> DataFrame:
     axes = (SERVICE_TYPE, MONTH)
-    return star_rollup(fact, dims, axes, (TOTAL, DISTANCE, DURATION, TIP))
+    return star_rollup(fact, dims, axes, (TOTAL, DISTANCE, DURATION, TIP), states)
 
 
-def agg_trips_by_hour(fact: DataFrame, dims: StarDimensions) -> DataFrame:
+def agg_trips_by_hour(fact: DataFrame, dims: StarDimensions, states: bool = False) -> DataFrame:
     axes = (SERVICE_TYPE, MONTH, HOUR_AND_PERIOD)
-    return star_rollup(fact, dims, axes, (PASSENGERS, TOTAL_AVERAGE))
+    return star_rollup(fact, dims, axes, (PASSENGERS, TOTAL_AVERAGE), states)
 
 
-def agg_trips_by_zone(fact: DataFrame, dims: StarDimensions) -> DataFrame:
+def agg_trips_by_zone(fact: DataFrame, dims: StarDimensions, states: bool = False) -> DataFrame:
     axes = (SERVICE_TYPE, PICKUP_ZONE)
-    return star_rollup(fact, dims, axes, (TOTAL_AVERAGE, DISTANCE, AIRPORT))
+    return star_rollup(fact, dims, axes, (TOTAL_AVERAGE, DISTANCE, AIRPORT), states)
 
 
 CUBE_MEASURES = (TOTAL, PASSENGERS, DISTANCE, DURATION, TIP)
@@ -134,18 +138,22 @@ CUBE_MEASURES = (TOTAL, PASSENGERS, DISTANCE, DURATION, TIP)
 CUBE_AXES = (SERVICE_TYPE, MONTH, HOUR, PICKUP_BOROUGH, PAYMENT)
 
 
-def cube_trips(fact: DataFrame, dims: StarDimensions) -> DataFrame:
+def finest_groups(
+    fact: DataFrame, dims: StarDimensions, states: bool = False
+) -> tuple[DataFrame, list[str], list[Column]]:
+    """What the cube rolls up: trips and sums by all of its labels."""
+    groups, labels, merge = star_groups(fact, dims, CUBE_AXES, CUBE_MEASURES, states)
+    return groups.groupBy(*labels).agg(*merge), labels, merge
+
+
+def cube_trips(fact: DataFrame, dims: StarDimensions, states: bool = False) -> DataFrame:
     """All 2^6 subtotals. ``grouping_id`` tells a rolled-up dimension from a NULL label.
 
-    The cube runs over the finest groups instead of over trips, so the 64-fold expansion
-    multiplies groups (bounded by the dimensions), not facts. The groups are few enough for
-    adaptive execution to merge them into one partition, just before they multiply; a
-    fixed number of partitions keeps the expansion spread out. It takes the place of the
-    shuffle the aggregation needs anyway."""
-    groups, labels, merge = star_groups(fact, dims, CUBE_AXES, CUBE_MEASURES)
-    tasks = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    finest = groups.repartition(tasks, *labels).groupBy(*labels).agg(*merge)
-    cubed = finest.cube(*labels).agg(F.grouping_id().alias("grouping_id"), *merge)
+    The trips are read once, for the finest groups, which the dimensions bound. Every other
+    cuboid is merged from its smallest parent; steps are tables in the shared folder."""
+    finest, labels, merge = finest_groups(fact, dims, states)
+    shelf = Shelf(fact.sparkSession, "cube")
+    cubed = lattice.cube(finest, labels, merge, shelf.put)
     return cubed.selectExpr(
         *labels, "grouping_id", "trips", *[c for m in CUBE_MEASURES for c in m.finished()]
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waybill import fixed_values as fv
@@ -16,9 +16,17 @@ def column_names(df: DataFrame) -> DataFrame:
     return inline_values(df.sparkSession, ("col",), [(c.lower(),) for c in df.columns])
 
 
+def catalog_columns(spark: SparkSession, full_table: str) -> DataFrame:
+    """Columns of a stored table as the catalog has them, in lower case."""
+    return inline_values(spark, ("col",), [(c.name.lower(),) for c in spark.catalog.listColumns(full_table)])
+
+
 def missing_columns(df: DataFrame, required: Sequence[str] = fv.CONTRACT_COLUMNS) -> DataFrame:
-    wanted = inline_values(df.sparkSession, ("col",), [(c,) for c in required])
-    return wanted.subtract(column_names(df))
+    return _missing_of(column_names(df), required)
+
+
+def _missing_of(names: DataFrame, required: Sequence[str]) -> DataFrame:
+    return inline_values(names.sparkSession, ("col",), [(c,) for c in required]).subtract(names)
 
 
 def sorted_list(df: DataFrame, column: str) -> DataFrame:
@@ -29,9 +37,18 @@ def sorted_list(df: DataFrame, column: str) -> DataFrame:
 
 def column_contract(df: DataFrame, required: Sequence[str] = fv.CONTRACT_COLUMNS) -> DataFrame:
     """One row saying that every required column is there; fails when run if one is not."""
+    return _verdict(missing_columns(df, required))
+
+
+def stored_contract(spark: SparkSession, full_table: str, required: Sequence[str] = fv.CONTRACT_COLUMNS) -> DataFrame:
+    """The same for a table as the catalog describes it, whatever its files hold."""
+    return _verdict(_missing_of(catalog_columns(spark, full_table), required))
+
+
+def _verdict(missing: DataFrame) -> DataFrame:
     broken = F.raise_error(F.concat(F.lit(fv.CONTRACT_BROKEN), F.col("names"))).cast("string")
     verdict = F.when(F.col("n") > 0, broken).otherwise(fv.CONTRACT_OK)
-    return sorted_list(missing_columns(df, required), "col").select(
+    return sorted_list(missing, "col").select(
         verdict.alias("consumption_contract")
     )
 

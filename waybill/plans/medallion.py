@@ -10,18 +10,26 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from waybill import fixed_values as fv
 from waybill.functions.dates import valid_window
 from waybill.functions.names import comments_for, silver_comments_for
 from waybill.operators import marts
 from waybill.operators.bronze import build_bronze
-from waybill.operators.dimensions import dim_date_of_months, dim_row_counts, star_dimensions, stored_dimensions
+from waybill.operators.dimensions import (
+    StarDimensions,
+    dim_date_of_months,
+    dim_row_counts,
+    star_dimensions,
+    stored_dimensions,
+)
 from waybill.operators.fact import build_fact, union_all_types
-from waybill.operators.quality import column_contract, landing_completeness
+from waybill.operators.quality import landing_completeness, stored_contract
 from waybill.operators.silver import PARTITION_COLUMNS, standardize_silver
-from waybill.operators.sinks import create_schema, write_table
+from waybill.operators.sinks import create_schema, write_changed, write_table
+from waybill.operators.states import refresh_states, trips_of
 from waybill.session import shuffles_sized_for
 from waybill.sources.calendars import months
 from waybill.sources.files import (
@@ -32,9 +40,12 @@ from waybill.sources.files import (
     read_zone_csv,
     stored_bytes,
 )
+from waybill.sources.inline import inline_values
 from waybill.spec import RECORD_TYPES
 
 ZONE_TABLE = "taxi_zone_lookup"
+STATE_TABLE = "month_states"
+INGESTION = "dt_ingestion"
 
 
 @dataclass(frozen=True)
@@ -120,46 +131,83 @@ def write_zones(spark: SparkSession, plan: Medallion) -> None:
     write_table(zones, f"{plan.silver}.{ZONE_TABLE}", comments=fv.ZONE_COMMENTS)
 
 
-def write_silver(spark: SparkSession, plan: Medallion) -> None:
+def write_silver(spark: SparkSession, plan: Medallion) -> list[dict] | None:
+    """Writes the months that differ from the stored ones, in any column but the ingestion time.
+
+    Returns these months over all record types; None where a table had to be written whole."""
     create_schema(spark, plan.silver)
-    for taxi_type in plan.taxi_types:
-        write_table(
+    found = [
+        write_changed(
             silver_frame(spark, plan, taxi_type),
             f"{plan.silver}.{taxi_type}_trips",
-            partition_by=PARTITION_COLUMNS,
-            comments=silver_comments_for(taxi_type),
+            PARTITION_COLUMNS,
+            silver_comments_for(taxi_type),
+            ignore=(INGESTION,),
             rebalance=plan.rebalance_of(taxi_type),
         )
+        for taxi_type in plan.taxi_types
+    ]
+    if any(months is None for months in found):
+        return None
+    return [dict(month) for month in {tuple(m.items()) for months in found for m in months}]
+
+
+def _write_gold_table(
+    plan: Medallion,
+    name: str,
+    df: DataFrame,
+    partition_by: Sequence[str] = (),
+    observe: Mapping[str, Column] | None = None,
+) -> Mapping[str, int]:
+    return write_table(
+        df, f"{plan.gold}.{name}", partition_by, table_comment=fv.TABLE_COMMENTS[name], observe=observe
+    )
 
 
-def _write_gold_table(plan: Medallion, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> None:
-    write_table(
-        df, f"{plan.gold}.{name}", partition_by, table_comment=fv.TABLE_COMMENTS[name]
-    )
+@dataclass(frozen=True)
+class GoldCounts:
+    """Rows as they were written: per dimension, and trips per service type key."""
 
+    dimensions: Mapping[str, int]
+    trips: Mapping[int, int]
 
-def write_gold(spark: SparkSession, plan: Medallion) -> None:
-    """Dimensions, fact, contract, marts and cube. The marts read the stored fact, a few
-    columns each."""
+
+def write_gold(spark: SparkSession, plan: Medallion, changed: Sequence[Mapping] | None = None) -> GoldCounts:
+    """Dimensions, fact, contract, states, marts and cube.
+
+    What is counted is counted by the writes. The fact is read once more, for the states of the
+    ``changed`` months (None: all); marts and cube merge states."""
     create_schema(spark, plan.gold)
     silver = silver_tables(spark, plan)
     zones = spark.read.table(f"{plan.silver}.{ZONE_TABLE}")
-    for name, dimension in star_dimensions(spark, zones, dim_date_of_months(silver)).named().items():
-        _write_gold_table(plan, name, dimension.frame)
+    rows = {"rows": F.count(F.lit(1))}
+    dimension_rows = {
+        name: _write_gold_table(plan, name, dimension.frame, observe=rows)["rows"]
+        for name, dimension in star_dimensions(spark, zones, dim_date_of_months(silver)).named().items()
+    }
     # The calendar spans exactly these trips, so the marts need no join with it.
     dims = replace(stored_dimensions(spark, plan.gold), date=None)
-    _write_gold_table(
-        plan, "fact_trips", build_fact(union_all_types(silver), dims), ("service_type_key",)
+    trips = _write_gold_table(
+        plan,
+        "fact_trips",
+        build_fact(union_all_types(silver), dims),
+        ("service_type_key",),
+        observe={str(key): F.count_if(F.col("service_type_key") == key) for key, *_ in fv.SERVICE_TYPE_ROWS},
     )
+    stored_contract(spark, f"{plan.gold}.fact_trips").first()
     fact = spark.read.table(f"{plan.gold}.fact_trips")
-    column_contract(fact).first()
+    counted = {int(key): n for key, n in trips.items() if n}
+    states = refresh_states(spark, fact, f"{plan.gold}.{STATE_TABLE}", changed)
+    if trips_of(states) != counted:  # a run over other record types came between
+        states = refresh_states(spark, fact, f"{plan.gold}.{STATE_TABLE}", None)
     for name, mart in (
         ("agg_revenue_monthly", marts.agg_revenue_monthly),
         ("agg_trips_by_hour", marts.agg_trips_by_hour),
         ("agg_trips_by_zone", marts.agg_trips_by_zone),
         ("cube_trips", marts.cube_trips),
     ):
-        _write_gold_table(plan, name, mart(fact, dims))
+        _write_gold_table(plan, name, mart(states, dims, states=True))
+    return GoldCounts(dimension_rows, counted)
 
 
 def check_landing(spark: SparkSession, plan: Medallion) -> None:
@@ -182,11 +230,22 @@ def gold_report(spark: SparkSession, plan: Medallion) -> tuple[DataFrame, DataFr
     return dim_row_counts(dims), marts.count_by_type(fact, dims)
 
 
+def report_of(spark: SparkSession, dims: StarDimensions, counts: GoldCounts) -> tuple[DataFrame, DataFrame]:
+    """What ``gold_report`` returns, from the counts of the writes: no table is read for them."""
+    dimensions = inline_values(spark, ("dim", "linhas"), list(counts.dimensions.items()))
+    trips = inline_values(spark, ("service_type_key", "trips"), list(counts.trips.items()) or [(None, 0)])
+    named = trips.join(dims.service_type.frame, "service_type_key").selectExpr("service_type", "CAST(trips AS BIGINT) AS trips")
+    return dimensions.selectExpr("dim", "CAST(linhas AS BIGINT) AS linhas"), named.orderBy(F.desc("trips"))
+
+
 def run(spark: SparkSession, plan: Medallion) -> tuple[DataFrame, DataFrame]:
-    """The whole flow; returns ``gold_report``. Nothing is written while files are missing."""
+    """The whole flow; returns what ``gold_report`` does. Nothing is written while files are missing.
+
+    A run over tables that are there writes the silver months that changed and recomputes their states.
+    With a subset of the record types, gold is rebuilt from that subset."""
     check_landing(spark, plan)
     write_bronze(spark, plan)
     write_zones(spark, plan)
-    write_silver(spark, plan)
-    write_gold(spark, plan)
-    return gold_report(spark, plan)
+    changed = write_silver(spark, plan)
+    counts = write_gold(spark, plan, changed)
+    return report_of(spark, star_dimensions(spark, spark.read.table(f"{plan.silver}.{ZONE_TABLE}")), counts)
