@@ -106,9 +106,48 @@ SELECT doc_id, {', '.join(f"coalesce(n_{k}, 0) AS n_{k}" for k, *_ in SECRET_KIN
        coalesce(live_spans, '') AS live_spans
 FROM documents LEFT JOIN per_doc USING (doc_id)"""
 
+DIVERGENCE = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text
+  FROM documents
+), word AS (
+  SELECT row, lang, source,
+         translate(unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')), '{UPPER}', '{LOWER}') AS term
+  FROM d
+), kept AS (
+  SELECT lang, term, count(*) AS n FROM word GROUP BY lang, term HAVING count(DISTINCT row) >= 30
+), grp AS (
+  SELECT DISTINCT lang, source FROM d
+), counted AS (
+  SELECT lang, source, term, count(*) AS n FROM word GROUP BY ALL
+), cell AS (
+  SELECT grp.lang, grp.source, kept.term, coalesce(counted.n, 0) AS n, kept.n AS lang_n
+  FROM grp JOIN kept USING (lang) LEFT JOIN counted USING (lang, source, term)
+), sized AS (
+  SELECT *, count(*) OVER g AS v, sum(n) OVER g AS total, sum(lang_n) OVER g AS lang_total FROM cell
+  WINDOW g AS (PARTITION BY lang, source)
+), rated AS (
+  SELECT *, 1 + (1000000000::HUGEINT * (n + 5)) // (total + 5 * v) AS p,
+         1 + (1000000000::HUGEINT * (lang_n + 5)) // (lang_total + 5 * v) AS q FROM sized
+), found AS (
+  SELECT g.lang, g.source, 'pair' AS part, h.source AS item, coalesce(max(s.value), 0) AS value
+  FROM grp g JOIN grp h ON g.lang = h.lang AND g.source <> h.source
+  LEFT JOIN (
+    SELECT x.lang, x.source AS a, y.source AS b, sum(abs(x.p - y.p)) AS value
+    FROM rated x JOIN rated y ON x.lang = y.lang AND x.term = y.term GROUP BY ALL
+  ) s ON s.lang = g.lang AND s.a = g.source AND s.b = h.source
+  GROUP BY ALL
+  UNION ALL
+  SELECT lang, source, 'term', term, p - q FROM rated WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM found
+) WHERE part = 'pair' OR rank <= 50"""
+
 ORACLE = {
     "op2_line_dedup": LINES,
     "op5_secret_scan": SECRETS,
     "op6_exact_top_k": NEAREST,
     "op7_exact_dedup": COPIES,
+    "op12_divergence": DIVERGENCE,
 }

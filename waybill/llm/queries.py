@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waybill.llm import alignment, exact_dedup, knn, line_dedup, lm_scoring, packing, secrets, segmentation, sharding, simhash, toxicity
+from waybill.llm import alignment, divergence, exact_dedup, knn, line_dedup, lm_scoring, mixing, packing, secrets, segmentation, sharding, simhash, toxicity
 from waybill.llm.oracle import ORACLE  # noqa: F401
 
 SHARDS = 16
@@ -87,3 +87,13 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"), least_documents=30, top_terms=50)
+
+
+@query
+def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"), weights=(5, 2, 1), share=1.5, most=2, seed=0)
