@@ -36,7 +36,10 @@ from pyspark.sql import functions as F
 
 from waybill.llm.common import Shelf, pick, text_chunks, worker_cache
 
-UNITS_KEPT = 400_000
+#: Units kept are this many since the last change of generation, and those of the generation before.
+UNITS_KEPT = 200_000
+#: From so many links on a group's tokens are counted first.
+MANY_LINKS = 64
 #: Longer units are not kept.
 UNIT_LENGTH = 64
 SEGMENT = 1 << 20
@@ -50,8 +53,9 @@ UNITS = r"\n(?=\S)| ?\S+|\s+\S+|\s+"
 OTHER_SPACE = re.compile("[^\\S \n]|[\x1c-\x1f]")
 SAFE_CUT = re.compile(r"(?<=\S)(?= \S)")
 
-Aligned = tuple[int, int, int, int, str, tuple[tuple[int, int], ...]]
-Tokens = tuple[list[int], list[bytes]]
+#: n_a, n_b, n_groups, n_links, the groups as text, pairs, and their links unless there is one of each
+Aligned = tuple[int, int, int, int, str, tuple[int, ...], tuple[int, ...] | None]
+Tokens = tuple[list[int], list[int]]
 
 
 def groups_of(a_ids: Sequence[int], a_ends: Sequence[int], b_ids: Sequence[int], b_ends: Sequence[int]) -> Iterator:
@@ -70,19 +74,29 @@ def pair_code(a: int, b: int) -> int:
 
 
 def aligned(a: Tokens, b: Tokens) -> Aligned:
-    """Numbers of tokens, groups and links, the groups as text, and (pair, links) of each pair."""
-    (a_ids, a_bytes), (b_ids, b_bytes) = a, b
-    shown, links, n_links = [], {}, 0
-    for left, right in groups_of(a_ids, list(accumulate(map(len, a_bytes))), b_ids, list(accumulate(map(len, b_bytes)))):
+    """Ids and byte ends of both sides to groups and links."""
+    shown, pairs, n_links = [], [], 0
+    links: dict[int, int] = {}
+    for left, right in groups_of(*a, *b):
+        if len(left) == len(right) == 1:
+            shown.append(f"{left[0]}|{right[0]}")
+            pairs.append(left[0] << 32 | right[0])
+            n_links += 1
+            continue
         shown.append(f"{','.join(map(str, left))}|{','.join(map(str, right))}")
         n_links += len(left) * len(right)
-        # a group of many equal tokens has few distinct pairs
-        times_right = Counter(right).items()
-        for x, n in Counter(left).items():
-            for y, m in times_right:
-                code = pair_code(x, y)
-                links[code] = links.get(code, 0) + n * m
-    return len(a_ids), len(b_ids), len(shown), n_links, ";".join(shown), tuple(links.items())
+        if len(left) * len(right) < MANY_LINKS:
+            pairs += [pair_code(x, y) for x in left for y in right]
+        else:  # a group of many equal tokens has few distinct pairs
+            times_right = Counter(right).items()
+            for x, n in Counter(left).items():
+                for y, m in times_right:
+                    links[pair_code(x, y)] = links.get(pair_code(x, y), 0) + n * m
+    if links or len(set(pairs)) < len(pairs):
+        for code in pairs:
+            links[code] = links.get(code, 0) + 1
+        return len(a[0]), len(b[0]), len(shown), n_links, ";".join(shown), tuple(links), tuple(links.values())
+    return len(a[0]), len(b[0]), len(shown), n_links, ";".join(shown), tuple(pairs), None
 
 
 class Aligner:
@@ -100,8 +114,7 @@ class Aligner:
         byte_of |= {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in plain)}
         special = {token.content for token in self.a.get_added_tokens_decoder().values()}
         self.a_bytes = {
-            i: bytes(byte_of[c] for c in token) if token not in special else None
-            for token, i in self.a.get_vocab().items()
+            i: bytes(byte_of[c] for c in token) if token not in special else b"" for token, i in self.a.get_vocab().items()
         }
         self.b = SentencePieceProcessor(model_file=b_path)
         b_size = range(self.b.get_piece_size())
@@ -114,30 +127,30 @@ class Aligner:
         self.splits = not any(B_SPACE in p.lstrip(B_SPACE) or "\n" in p or " " in p for p in ordinary)
         joined = re.compile(f"[{LETTERS}][{ENDINGS}]")
         self.unit = re.compile((UNITS if any(map(joined.search, ordinary)) else WORD_UNIT + UNITS))
+        self.a_size = {i: len(token) for i, token in self.a_bytes.items()}
+        self.b_size = [len(token) for token in self.b_bytes]
         self.known: dict[str, Aligned | None] = {}
+        self.before: dict[str, Aligned | None] = {}
 
-    def _a_tokens(self, texts: list[str]) -> list[Tokens]:
-        found = [e.ids for e in self.a.encode_batch(texts, add_special_tokens=False)]
-        return [(ids, [self.a_bytes[i] or b"" for i in ids]) for ids in found]
-
-    def _b_tokens(self, texts: list[str]) -> list[Tokens]:
-        return [(ids, [self.b_bytes[i] for i in ids]) for ids in self.b.encode(texts, num_threads=1)]
+    def _align(self, a_ids: list[int], b_ids: list[int], expected: bytes) -> Aligned | None:
+        a_bytes, b_bytes = self.a_bytes.__getitem__, self.b_bytes.__getitem__
+        if b"".join(map(a_bytes, a_ids)) != expected or b"".join(map(b_bytes, b_ids)) != expected:
+            return None
+        a_ends = list(accumulate(map(self.a_size.__getitem__, a_ids)))
+        return aligned((a_ids, a_ends), (b_ids, list(accumulate(map(self.b_size.__getitem__, b_ids)))))
 
     def whole(self, text: str) -> Aligned | None:
         """The alignment of space + text; None where bytes are lost."""
-        ((a_ids, a_bytes),), ((b_ids, b_bytes),) = self._a_tokens([" " + text]), self._b_tokens([text])
-        expected = (" " + text).encode()
-        if b"".join(a_bytes) != expected or b"".join(b_bytes) != expected:
-            return None
-        return aligned((a_ids, a_bytes), (b_ids, b_bytes))
+        a_ids = self.a.encode(" " + text, add_special_tokens=False).ids
+        return self._align(a_ids, self.b.encode(text), (" " + text).encode())
 
     def learn(self, units: list[str]) -> None:
         """Align units. B sets a space before its text, so it gets a line feed before the unit;
         both come back as tokens of their own and are taken off."""
-        for unit, a, (b_ids, b_bytes) in zip(units, self._a_tokens(units), self._b_tokens(["\n" + u for u in units])):
-            expected = unit.encode()
-            whole = b"".join(a[1]) == expected and b_bytes[:2] == [b" ", b"\n"] and b"".join(b_bytes[2:]) == expected
-            self.known[unit] = aligned(a, (b_ids[2:], b_bytes[2:])) if whole else None
+        a = self.a.encode_batch(units, add_special_tokens=False)
+        for unit, in_a, b_ids in zip(units, a, self.b.encode(["\n" + u for u in units], num_threads=1)):
+            apart = [self.b_bytes[i] for i in b_ids[:2]] == [b" ", b"\n"]
+            self.known[unit] = self._align(in_a.ids, b_ids[2:], unit.encode()) if apart else None
 
     def segments(self, text: str) -> Iterator[list[str]]:
         """The units of space + text, about SEGMENT characters at a time."""
@@ -156,7 +169,13 @@ class Aligner:
         known, first = self.known, True
         for units in self.segments(text):
             found = Counter(units)
-            new = [u for u in found if u not in known]
+            new = []
+            for unit in found:
+                if unit not in known:
+                    if unit in self.before:
+                        known[unit] = self.before[unit]
+                    else:
+                        new.append(unit)
             if new:
                 self.learn(new)
             for unit, times in found.items():
@@ -168,11 +187,16 @@ class Aligner:
                 n_b += times * entry[1]
                 n_groups += times * entry[2]
                 n_links += times * entry[3]
-                for code, links in entry[5]:
-                    pairs[code] = pairs.get(code, 0) + times * links
+                if entry[6] is None:
+                    for code in entry[5]:
+                        pairs[code] = pairs.get(code, 0) + times
+                else:
+                    for code, links in zip(entry[5], entry[6]):
+                        pairs[code] = pairs.get(code, 0) + times * links
             digest.update(("" if first else ";").encode() + ";".join([known[u][4] for u in units]).encode())
             first = False
             self._forget(new)
+            known = self.known
         return n_a, n_b, n_groups, n_links, digest.hexdigest(), pairs
 
     def _forget(self, new: list[str]) -> None:
@@ -180,7 +204,7 @@ class Aligner:
             if len(unit) > UNIT_LENGTH:
                 del self.known[unit]
         if len(self.known) > UNITS_KEPT:
-            self.known.clear()
+            self.known, self.before = {}, self.known
 
     def __call__(self, text: str | None) -> tuple:
         if not text:
@@ -192,7 +216,8 @@ class Aligner:
             entry = self.whole(text)
             if entry is None:
                 return 0, 0, 0, 0, "", {}
-            found = (*entry[:4], hashlib.sha256(entry[4].encode()).hexdigest(), dict(entry[5]))
+            links = entry[6] or [1] * len(entry[5])
+            found = (*entry[:4], hashlib.sha256(entry[4].encode()).hexdigest(), dict(zip(entry[5], links)))
         return found
 
 
