@@ -4,14 +4,14 @@ from __future__ import annotations
 
 import re
 import sys
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from waybill.operators.staging import Shelf, shared_folder  # noqa: F401
+
 #: ASCII white space, as a character class for Java and Python patterns alike.
 SPACES = r"[\x20\x09-\x0D]"
 NON_SPACES = r"[^\x20\x09-\x0D]"
@@ -40,43 +40,6 @@ def id_remainder(modulus: int) -> Column:
     return F.crc32(as_text.cast("binary")) % modulus
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that all machines of the cluster see: spark.checkpoint.dir.
-
-    Where it is unset, a local session gets a temporary folder (tests); a cluster is refused."""
-    known = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if known:
-        return known.rstrip("/")
-    cache = worker_cache("shared_folder")
-    if "path" not in cache:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
-        cache["path"] = "file://" + tempfile.mkdtemp(prefix="waybill-")
-    return cache["path"]
-
-
-class Shelf:
-    """Tables of one run in the shared folder. Writing one cuts the lineage: a lost executor
-    costs a re-read of the table, not of what led to it."""
-
-    def __init__(self, spark: SparkSession, label: str):
-        self.spark = spark
-        self.root = f"{shared_folder(spark)}/waybill-{label}-{uuid.uuid4().hex[:12]}"
-
-    def put(self, df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
-        path = f"{self.root}/{name}"
-        df.write.option("compression", codec).parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
-
-    def drop(self, *names: str) -> None:
-        """Remove tables that no later plan reads."""
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        for name in names:
-            path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
-            path.getFileSystem(conf).delete(path, True)
-
-
 def worker_cache(name: str) -> dict:
     """A dict that lives as long as this Python process, whatever task runs in it. Functions
     shipped by value have fresh module globals in every task, so those cannot serve."""

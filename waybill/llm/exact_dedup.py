@@ -4,8 +4,8 @@ All texts start in one group. A round cuts the next bytes off every text still i
 splits each group by them; the bytes themselves are the key, so no digest decides equality. A
 group of one is done, and so is a group whose texts have ended: its texts are equal. Few texts
 share their first bytes and fewer the next, so the width of the cut grows with the round, and
-a text of n bytes takes part in O(log n) rounds. Counting combines on the map side; the rows of
-a hot group are split by the adaptive skew join when they are told their new group.
+a text of n bytes takes part in O(log n) rounds. Counting combines on the map side; when the rows
+are told their new group, those of a hot group are dealt over several tasks.
 
 Texts are equal when identical after replacing each run of ASCII white space by one space.
 
@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waybill.llm.common import SPACES, Shelf, pick, text_or_empty
+from waybill.operators.skew import split_join
 
 FIRST_WIDTH = 64
 GROWTH = 16
@@ -56,17 +57,18 @@ def radix_groups(df: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
             F.expr(f"substring(body, {width + 1})").alias("body"),
         )
         first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row"))
-        groups = (
+        groups = shelf.put(
             keyed.groupBy("grp", "cut", "ended")
             .agg(F.count("*").alias("group_size"), first.alias("keep"))
-            .filter("group_size > 1")
+            .filter("group_size > 1"),
+            f"groups-{len(rounds)}",
         )
         name = f"round-{len(rounds)}"
+        told = split_join(
+            keyed, groups, ["grp", "cut", "ended"], counts=groups, n="group_size", deal_by=F.col("row")
+        )
         split = shelf.put(
-            keyed.join(groups.hint("merge"), ["grp", "cut", "ended"]).select(
-                "row", "doc_id", F.col("keep.row").alias("grp"), "body", "ended", "group_size", "keep"
-            ),
-            name,
+            told.select("row", "doc_id", F.col("keep.row").alias("grp"), "body", "ended", "group_size", "keep"), name
         )
         done.append(
             split.filter("ended").select(

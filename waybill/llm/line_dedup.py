@@ -6,7 +6,7 @@ there are and leaves out lines that these already settle, i.e. show in `threshol
 then its own run is added. As soon as a level holds `fan_in` runs they are compacted: merged
 by hash into one run of the next level. A line is thus rewritten once per level, and a batch
 compares itself with few runs. In the end one merge of all runs names the frequent lines, and
-a second pass drops these from all documents.
+a second pass drops these from all documents; the rows of a very common line are dealt over tasks.
 
 Hashes have 128 bits and are computed from a line's key: the line stripped of ASCII white
 space with A-Z lower-cased. Lines with an empty key are never dropped while `least_length` is
@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waybill.llm.common import SPACE_CHARS, Shelf, pick, text_chunks
+from waybill.operators.skew import split_join
 
 ASCII_SPACES = SPACE_CHARS.encode()
 
@@ -71,7 +72,8 @@ class LineRuns:
             level += 1
 
     def frequent(self) -> DataFrame:
-        return self._merged(self.runs()).filter(F.col("n") >= self.threshold).select("h1", "h2")
+        """h1, h2, n of the lines in `threshold` documents or more, stored."""
+        return self.shelf.put(self._merged(self.runs()).filter(F.col("n") >= self.threshold), "frequent")
 
 
 def hash_lines(batches: Iterator[pa.RecordBatch], least_length: int) -> Iterator[pa.RecordBatch]:
@@ -150,8 +152,10 @@ def dedup_lines(
     runs = LineRuns(shelf, threshold, fan_in)
     for batch in range(batches):
         runs.add(lines.filter((F.col("batch") == batch) & F.col("first")).select("h1", "h2"))
+    frequent = runs.frequent()
+    place = F.xxhash64("r1", "r2", "pos")
     dropped = (
-        lines.join(runs.frequent(), ["h1", "h2"], "left_semi")
+        split_join(lines, frequent.select("h1", "h2"), ["h1", "h2"], "left_semi", counts=frequent, deal_by=place)
         .groupBy("r1", "r2")
         .agg(F.collect_set("pos").alias("dropped"))
     )

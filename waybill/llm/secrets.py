@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from waybill.llm.common import Shelf, pick, text_or_empty
+from waybill.operators.skew import split_join
 
 # kind -> (pattern, group of the value, least length of the value). Fixed values of the contract:
 BASE = {
@@ -92,19 +93,23 @@ def candidates(docs: DataFrame) -> DataFrame:
     )
 
 
-def with_ownership(found: DataFrame, example_owners: int) -> DataFrame:
-    """Adds n_repositories, n_owners and `live`: fewer than `example_owners` owners have the value."""
+def with_ownership(found: DataFrame, example_owners: int, shelf: Shelf) -> DataFrame:
+    """Adds n_repositories, n_owners and `live`: fewer than `example_owners` owners have the value.
+
+    `found` is a stored table. The rows of a value that is everywhere are dealt over several tasks."""
     value_hash = (F.xxhash64("value"), F.xxhash64(F.lit("secret"), F.col("value")))
     hashed = found.withColumns({"v1": value_hash[0], "v2": value_hash[1]}).drop("value")
-    counts = (
+    counts = shelf.put(
         hashed.groupBy("v1", "v2", "owner", "repository")
         .agg(F.count("*").alias("n"))
         .groupBy("v1", "v2", "owner")
-        .agg(F.count("*").alias("repositories"))
+        .agg(F.count("*").alias("repositories"), F.sum("n").alias("n"))
         .groupBy("v1", "v2")
-        .agg(F.sum("repositories").alias("n_repositories"), F.count("*").alias("n_owners"))
+        .agg(F.sum("repositories").alias("n_repositories"), F.count("*").alias("n_owners"), F.sum("n").alias("n")),
+        "owners",
     )
-    return hashed.join(counts, ["v1", "v2"]).withColumn("live", F.col("n_owners") < example_owners)
+    owned = split_join(hashed, counts.drop("n"), ["v1", "v2"], counts=counts)
+    return owned.withColumn("live", F.col("n_owners") < example_owners)
 
 
 def keyed(df: DataFrame, *more: str, blank: bool = True) -> DataFrame:
@@ -124,7 +129,7 @@ def keyed(df: DataFrame, *more: str, blank: bool = True) -> DataFrame:
 def spans_of(df: DataFrame, example_owners: int, shelf: Shelf) -> DataFrame:
     """All spans with ownership, staged."""
     found = shelf.put(candidates(keyed(df)), "candidates")
-    return with_ownership(found, example_owners)
+    return with_ownership(found, example_owners, shelf)
 
 
 def _joined(spans: str) -> str:
@@ -170,7 +175,7 @@ def redact(df: DataFrame, example_owners: int = 3, instead: str = "[SECRET]") ->
     # where the value lies: at the end of the span, before the @ of a url; a private key goes whole
     value_end = F.col("end") - F.when(F.col("kind") == "url", 1).otherwise(0)
     value_start = F.when(F.col("kind") == "private", F.col("start")).otherwise(value_end - F.length("value"))
-    live = with_ownership(found.withColumns({"value_start": value_start, "value_end": value_end}), example_owners).filter("live")
+    live = with_ownership(found.withColumns({"value_start": value_start, "value_end": value_end}), example_owners, shelf).filter("live")
     # spans in order; each adds what lies between it and the furthest end so far
     earlier = Window.partitionBy("r1", "r2").orderBy("value_start", "value_end").rowsBetween(Window.unboundedPreceding, -1)
     piece = F.struct(
