@@ -238,34 +238,57 @@ def test_no_python_in_secret_scan(spark, given, plan_of):
     assert not re.search("Python|Pandas|Arrow", plan_of(secrets.scan(given)))
 
 
-@pytest.mark.parametrize("heads,tails", [(1 << 14, 1 << 14), (8, 32)])
-def test_shards(docs, heads, tails):
+def loads_of(sizes, shards):
+    """Longest first, each to the least loaded shard, one by one."""
+    loads = [0] * shards
+    for size in sorted(sizes, reverse=True):
+        loads[loads.index(min(loads))] += size
+    return loads
+
+
+@pytest.mark.parametrize("shards", [4, 16])
+def test_shards(docs, shards):
     rows = plain(docs)
-    got = sharding.shard_documents(docs, 4, heads, tails).collect()
+    got = sharding.shard_documents(docs, shards).collect()
     size = lambda text: len((text or "").encode()) + 1
     assert Counter((r.doc_id, r["size"], r.text_crc32) for r in got) == Counter(
         (doc, size(text), zlib.crc32((text or "").encode())) for doc, text, _, _ in rows
     )
-    for shard in range(4):
+    loads = [0] * shards
+    for shard in range(shards):
         slots = sorted(r.slot for r in got if r.shard == shard)
         assert slots == list(range(len(slots)))
+        loads[shard] = sum(r["size"] for r in got if r.shard == shard)
     shard_of = defaultdict(set)
     for r in got:
         shard_of[r["size"], r.text_crc32].add(r.shard)
     assert all(len(s) == 1 for s in shard_of.values())
-    if heads > 8:
-        groups = Counter()
-        for _, text, _, _ in rows:
-            groups[text or ""] += size(text)
-        loads = Counter()
-        for r in got:
-            loads[r.shard] += r["size"]
-        assert max(loads.values()) <= max(max(groups.values()), sum(groups.values()) / 4 + max(groups.values()))
-
-
-def test_longest_first_is_lpt():
-    placed = sharding.longest_first([(n, (n,)) for n in (7, 6, 5, 4, 3)], 2)
-    assert placed == {(7,): 0, (6,): 1, (5,): 1, (4,): 0, (3,): 0}  # loads 7 6, 7 11, 11 11, 14 11
+    groups = Counter()
+    for _, text, _, _ in rows:
+        groups[text or ""] += size(text)
+    assert loads == loads_of(groups.values(), shards)
+
+
+@pytest.mark.parametrize("singly", [256, 0])
+def test_runs_are_dealt_as_single_groups(monkeypatch, singly):
+    monkeypatch.setattr(sharding, "SINGLY", singly)
+    random = __import__("random").Random(3)
+    for _ in range(60):
+        shards = random.randint(1, 9)
+        runs = sorted({random.randint(1, 60): random.randint(1, 700) for _ in range(random.randint(1, 8))}.items(), reverse=True)
+        loads = [0] * shards
+        for size, groups in runs:
+            assert sum(sharding.deal_run(loads, size, groups)) == groups
+        assert loads == loads_of([size for size, groups in runs for _ in range(groups)], shards)
+
+
+def test_repeated_rows_are_no_one_tasks_slots(spark):
+    """Rows equal throughout stay in one shard and still get one slot each."""
+    df = spark.range(3000).selectExpr("CASE WHEN id % 3 > 0 THEN 1 ELSE id END AS doc_id", "'t' || (id % 3 > 0) || if(id % 3 > 0, 0, id) AS text")
+    got = sharding.shard_documents(df, 3).collect()
+    assert len(got) == 3000 and sum(r.doc_id == 1 for r in got) == 2000
+    for shard in range(3):
+        assert sorted(r.slot for r in got if r.shard == shard) == list(range(sum(r.shard == shard for r in got)))
 
 
 def test_packing(docs):

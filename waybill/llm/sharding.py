@@ -1,11 +1,11 @@
 """Sharding by longest processing time: groups of equal texts, largest first, each to the
 shard that is least loaded so far, found by a heap.
 
-The heap needs the groups in order of size, but their number has no bound. By the pigeonhole
-principle at most `heads` groups weigh a `heads`-th of the corpus or more. These are placed
-one by one; lighter groups are gathered by hash into `tails` bundles first, and a bundle is
-placed like a group. So the driver sees at most heads + tails sizes, whatever the input, and
-where no group is lighter than that the result is plain LPT.
+The heap needs sizes in order, not groups: groups of one size are a run, and a run of m groups is dealt
+to the shards as m single ones would be, in one step per run. The driver holds one row per distinct
+size; as different sizes add up to no more than the corpus, there are at most the square root of twice
+its bytes. Groups are numbered by size with prefix sums, so a group finds its shard from its
+place in its run. No group is gathered with others and none is treated unlike the rest.
 
 Defined cases: a null text is the empty text, of size 1. Null and repeated ids are rows like
 any other. Equal texts stay together even when they outweigh a fair shard. An empty table
@@ -14,36 +14,69 @@ gives no rows. Other columns are left out."""
 from __future__ import annotations
 
 import heapq
-import math
 
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waybill.llm.common import Shelf, pick, text_or_empty
+from waybill.operators.numbering import with_row_numbers
+from waybill.operators.skew import split_join
 
-ROWS_PER_BUCKET = 50_000
+SINGLY = 256
 
 
-def longest_first(items: list[tuple[int, tuple]], shards: int) -> dict[tuple, int]:
-    """LPT: (size, key) pairs to shard numbers. Ties: smaller key first, lower shard first."""
-    heap = [(0, shard) for shard in range(shards)]
-    placed = {}
-    for size, key in sorted(items, key=lambda item: (-item[0], item[1])):
+def deal_run(loads: list[int], size: int, groups: int) -> list[int]:
+    """How many of `groups` groups of one size each shard gets, each going to the least loaded shard, the
+    lower number first among equals. `loads` is brought up to date.
+
+    Shard s would take its groups at loads[s], loads[s] + size, ...; dealing takes the smallest of these."""
+    counts = [0] * len(loads)
+    left = groups
+    if left > SINGLY:  # all below the highest load that does not take too many, found by halving
+        low, high = min(loads), min(loads) + size * groups + 1
+        below = lambda top: sum(max(0, -(-(top - load) // size)) for load in loads)
+        while low < high:
+            middle = (low + high + 1) // 2
+            low, high = (middle, high) if below(middle) <= left else (low, middle - 1)
+        counts = [max(0, -(-(low - load) // size)) for load in loads]
+        left -= sum(counts)
+    heap = [(load + n * size, shard) for shard, (load, n) in enumerate(zip(loads, counts))]
+    heapq.heapify(heap)
+    for _ in range(left):
         load, shard = heap[0]
         heapq.heapreplace(heap, (load + size, shard))
-        placed[key] = shard
-    return placed
+        counts[shard] += 1
+    for shard, n in enumerate(counts):
+        loads[shard] += n * size
+    return counts
+
+
+def deal_runs(runs: pa.Table, shards: int) -> pa.Table:
+    """size, first and ends for runs (size, groups) in falling order of size: the number of the run's first
+    group, and per shard where its part of the run ends."""
+    loads, first, firsts, ends = [0] * shards, 0, [], []
+    for size, groups in zip(runs.column("size").to_pylist(), runs.column("groups").to_pylist()):
+        firsts.append(first)
+        end, parts = 0, []
+        for n in deal_run(loads, size, groups):
+            end += n
+            parts.append(end)
+        ends.append(parts)
+        first += groups
+    return pa.table(
+        {"size": runs.column("size"), "first": pa.array(firsts, pa.int64()), "ends": pa.array(ends, pa.list_(pa.int64()))}
+    )
 
 
-def shard_documents(
-    df: DataFrame, shards: int = 16, heads: int = 1 << 14, tails: int = 1 << 14
-) -> DataFrame:
+def shard_documents(df: DataFrame, shards: int = 16) -> DataFrame:
     """doc_id, size, text_crc32, shard, slot; sizes of shards are near equal."""
     spark = df.sparkSession
     shelf = Shelf(spark, "shards")
     text = text_or_empty()
     rows = shelf.put(
         pick(df, "doc_id", "text").select(
+            F.monotonically_increasing_id().alias("row"),
             "doc_id",
             (F.octet_length(text) + 1).cast("long").alias("size"),
             F.crc32(text.cast("binary")).alias("text_crc32"),
@@ -52,47 +85,32 @@ def shard_documents(
         ),
         "rows",
     )
-    groups = rows.groupBy("k1", "k2").agg(F.sum("size").alias("size"))
-    total, n_rows = rows.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count("*")).first()
-    heavy = F.col("size") * heads >= total
-    bundle = F.pmod(F.col("k1"), F.lit(tails))
-    # keys of heavy groups are (k1, k2), of bundles (number, null)
-    loads = groups.groupBy(
-        F.when(heavy, F.col("k1")).otherwise(bundle).alias("a"),
-        F.when(heavy, F.col("k2")).alias("b"),
-    ).agg(F.sum("size").alias("size"))
-    items = [(r["size"], (r["b"] is None, r["a"], r["b"])) for r in loads.collect()]
-    placed = longest_first(items, shards)
-    single = spark.createDataFrame(
-        [(a, b, s) for (bundled, a, b), s in placed.items() if not bundled],
-        "k1 long, k2 long, own_shard int",
+    groups = shelf.put(
+        rows.groupBy("k1", "k2").agg(F.sum("size").alias("group_size"), F.count("*").alias("n")), "groups"
     )
-    bundled = spark.createDataFrame(
-        [(a, s) for (is_bundle, a, b), s in placed.items() if is_bundle],
-        "bundle long, bundle_shard int",
+    runs = groups.groupBy(F.col("group_size").alias("size")).agg(F.count("*").alias("groups")).orderBy(F.desc("size"))
+    dealt = spark.createDataFrame(deal_runs(runs.toArrow(), shards)).select(
+        F.col("size").alias("group_size"), "first", "ends", F.element_at("ends", -1).alias("groups")
     )
-    # both tables have at most heads or tails rows
-    sharded = (
-        rows.withColumn("bundle", bundle)
-        .join(F.broadcast(single), ["k1", "k2"], "left")
-        .join(F.broadcast(bundled), "bundle", "left")
-        .withColumn("shard", F.coalesce("own_shard", "bundle_shard"))
+    dealt = shelf.put(dealt, "dealt")
+    numbered = with_row_numbers(groups, [F.desc("group_size"), F.col("k1"), F.col("k2")], "number", lambda x: shelf.put(x, "by-size"))
+    placed = shelf.put(
+        split_join(numbered, dealt.drop("groups"), ["group_size"], counts=dealt, n="groups").select(
+            "k1", "k2", "n", F.size(F.filter("ends", lambda end: end <= F.col("number") - F.col("first"))).alias("shard")
+        ),
+        "placed",
     )
-    return _numbered(sharded, max(1, math.ceil(n_rows / (shards * ROWS_PER_BUCKET))))
+    # copies of one text may be a large part of all rows
+    sharded = split_join(rows, placed.drop("n"), ["k1", "k2"], counts=placed, deal_by=F.col("row"))
+    sharded = shelf.put(sharded.select("doc_id", "size", "text_crc32", "shard", "k1", "k2"), "sharded")
+    return with_slots(sharded, shelf)
 
 
-def _numbered(sharded: DataFrame, buckets: int) -> DataFrame:
-    """Slots without gaps in each shard, counted in buckets so that no task sees a whole shard."""
-    rows = sharded.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "k1"), F.lit(buckets)))
-    before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        rows.groupBy("shard", "bucket")
-        .agg(F.count("*").alias("n"))
-        .select("shard", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
-    )
-    within = Window.partitionBy("shard", "bucket").orderBy("doc_id", "k1", "k2")
-    return (
-        rows.withColumn("nth", F.row_number().over(within) - 1)
-        .join(starts, ["shard", "bucket"])
-        .select("doc_id", "size", "text_crc32", "shard", (F.col("start") + F.col("nth")).alias("slot"))
+def with_slots(sharded: DataFrame, shelf: Shelf) -> DataFrame:
+    """Slots without gaps in each shard, from numbers over all rows by shard; no shard is one task's."""
+    order = [F.col(c) for c in ("shard", "doc_id", "k1", "k2")]
+    numbered = with_row_numbers(sharded, order, "number", lambda df: shelf.put(df, "by-shard"))
+    starts = numbered.groupBy("shard").agg(F.min("number").alias("start"))  # one row per shard
+    return numbered.join(F.broadcast(starts), "shard").select(
+        "doc_id", "size", "text_crc32", "shard", (F.col("number") - F.col("start")).alias("slot")
     )
