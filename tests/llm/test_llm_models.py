@@ -50,11 +50,35 @@ def test_top_k_of_a_query_repeated_more_than_k_times(spark, monkeypatch):
     assert Counter(tuple(r) for r in knn.top_k(df, 20, 20).collect()) == brute_top(rows, 20, 20)
 
 
+@pytest.mark.parametrize("largest", [2.0**27, 1e12, 1e200])
+def test_top_k_of_large_components(spark, largest):
+    """Finite vectors of any size take part; scores beyond a long are its ends."""
+    rng = np.random.default_rng(5)
+    rows = [(int(i), [float(x) for x in rng.normal(size=3) * (largest if i % 7 == 0 else 1)]) for i in range(80)]
+    rows.append((81, [1.7e308, 0.0, 0.0]))  # its 64-fold is not finite
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    exact = brute_top([r for r in rows if r[0] != 81], 20, 80)
+    ends = lambda s: max(-(1 << 63), min((1 << 63) - 1, s))
+    clipped = {}
+    for q, _, j, s in exact:
+        clipped.setdefault(q, []).append((-ends(s), j))
+    expected = Counter((q, n + 1, j, -s) for q, found in clipped.items() for n, (s, j) in enumerate(sorted(found)[:20]))
+    assert Counter(tuple(r) for r in knn.top_k(df, 20, 20).collect()) == expected
+
+
+def test_top_k_in_many_parts(spark, monkeypatch):
+    monkeypatch.setattr(knn, "BLOCK", 16)
+    monkeypatch.setattr(knn, "BYTES_PER_PART", 1 << 12)
+    df = spark.read.parquet(f"{SF}/embeddings.parquet")
+    rows = [(r.vec_id, r.embedding) for r in df.collect()]
+    assert Counter(tuple(r) for r in knn.top_k(df, 20, 20).collect()) == brute_top(rows, 20, 20)
+
+
 def test_bound_counts_ids_and_not_rows():
     """Two copies of a query at its pivot say nothing about where its nearest neighbour is."""
     cells = knn.Cells(np.array([[0.0], [1000.0]]), 1000.0**2)
     shortest, ids = {0: [0.0, 900.0], 1: [0.0]}, {0: [7, 8], 1: [7]}
-    pairs = {(i, j): (low, high) for i, j, low, high in knn.needed(cells, {1: 0.0}, shortest, 1, ids)}
+    pairs = {(i, j): (low, high) for i, j, low, high, *_ in knn.needed(cells, {1: 0.0}, shortest, 1, ids)}
     assert pairs[1, 0][1] >= 2 * cells.apart()[1, 0] + 900 - 1e-3
 
 
@@ -67,7 +91,7 @@ def test_top_k_of_few_or_no_vectors(spark):
 
 def test_cells_that_cannot_matter_are_not_read():
     cells = knn.Cells(np.array([[0.0], [1000.0]]), 1000.0**2)
-    pairs = {(i, j): (low, high) for i, j, low, high in knn.needed(cells, {1: 1.0}, {0: [0.0, 0.1], 1: [0.0, 0.5]}, 1)}
+    pairs = {(i, j): (low, high) for i, j, low, high, *_ in knn.needed(cells, {1: 1.0}, {0: [0.0, 0.1], 1: [0.0, 0.5]}, 1)}
     assert pairs[1, 1][0] <= 0 and pairs[1, 0][0] > 1
 
 

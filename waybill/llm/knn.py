@@ -7,18 +7,21 @@ data into cells. Summaries per cell, namely the radius of the queries and the k+
 distances of different ids of the data to the pivot, give a distance within which every query of a cell surely
 has k neighbours. By the triangle inequality a cell of queries then needs only those data whose
 distance to their own pivot lies in a range; blocks of data (runs by distance to the pivot)
-outside of it are not copied to it. Pairs of blocks are solved locally with one matrix product
-and the k best of each are merged.
+outside of it are not copied to it. A task takes one block of queries and its blocks of data, the nearest
+first, with a matrix product each, and keeps the k best so far; a block that is farther from the queries'
+pivot than their k-th best permits is passed by. So what a task returns is k rows per query.
 
 Blocks hold up to BLOCK vectors whatever the cell, so a cell with a third of all vectors, or
-one vector that is everywhere, is many blocks. The driver sees pivots and summaries only: at
+one vector that is everywhere, is many blocks. Where there are fewer blocks of queries than tasks, the data
+of each are dealt over several tasks, as they are where the data are more than one task should read. The driver sees pivots and summaries only: at
 most `most_pivots` cells.
 
 Defined cases: vectors that are null or have null or non-finite components take no part, nor
 do rows without an id. Vectors of unequal length are filled up with zeros. Rows that have the
-query's id are its own and no candidates. Repeated rows are candidates each. Components whose
-64-fold does not fit in 28 bits raise an error. An empty table gives no rows. Other columns are
-left out."""
+query's id are its own and no candidates. Repeated rows are candidates each. Scores are computed in whole
+numbers of any size where long ones might not hold them; a score beyond a long is the largest or smallest
+long. A component whose 64-fold is no finite number any more counts as non-finite. An empty table gives no
+rows. Other columns are left out."""
 
 from __future__ import annotations
 
@@ -33,8 +36,13 @@ from pyspark.sql import functions as F
 from waybill.llm.common import Shelf, pick
 
 BLOCK = 4096
+QUERIES_AT_ONCE = 256
+#: Data that one block of queries meets in one task.
+BYTES_PER_PART = 64 << 20
 SCALE = 64
-LARGEST = 1 << 28
+#: Components below this are stored in four bytes.
+SMALL = 1 << 31
+LEAST_LONG, MOST_LONG = -(1 << 63), (1 << 63) - 1
 
 
 def quantize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -47,10 +55,13 @@ def quantize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             x = np.asarray(values, np.float64)
             if not np.isfinite(x).all():
                 continue
-            x = np.floor(SCALE * x)
-            if len(x) and np.abs(x).max() >= LARGEST:
-                raise ValueError(f"vector {vec_id}: a component is too large for exact scores")
-            for column, value in zip(out, (vec_id, x.astype("<i4").tobytes(), len(x), float(x @ x))):
+            with np.errstate(over="ignore"):
+                x = np.floor(SCALE * x)
+                square = float(x @ x)
+            if not np.isfinite(x).all():
+                continue
+            stored = x.astype("<i4" if np.abs(x).max(initial=0) < SMALL else "<f8")
+            for column, value in zip(out, (vec_id, stored.tobytes(), len(x), square)):
                 column.append(value)
         kinds = [pa.int64(), pa.binary(), pa.int32(), pa.float64()]
         yield pa.RecordBatch.from_arrays(
@@ -58,12 +69,11 @@ def quantize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def matrix(blobs: list[bytes], dim: int) -> np.ndarray:
+def matrix(blobs: list[bytes], dims: list[int], dim: int) -> np.ndarray:
     """One vector per row, filled up with zeros."""
     out = np.zeros((len(blobs), dim), np.float64)
-    for row, blob in zip(out, blobs):
-        x = np.frombuffer(blob, "<i4")
-        row[: len(x)] = x
+    for row, blob, n in zip(out, blobs, dims):
+        row[:n] = np.frombuffer(blob, "<i4" if len(blob) == 4 * n else "<f8")
     return out
 
 
@@ -94,10 +104,10 @@ def assign(batches: Iterator[pa.RecordBatch], cells: Cells, dim: int, data: bool
     for batch in batches:
         if not batch.num_rows:
             continue
-        cell, dist = cells.nearest(matrix(batch.column("x").to_pylist(), dim), data)
+        cell, dist = cells.nearest(matrix(batch.column("x").to_pylist(), batch.column("dim").to_pylist(), dim), data)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("row"), batch.column("vec_id"), batch.column("x"), pa.array(cell, pa.int32()), pa.array(dist)],
-            ["row", "vec_id", "x", "cell", "dist"],
+            [*(batch.column(c) for c in ("row", "vec_id", "x", "dim")), pa.array(cell, pa.int32()), pa.array(dist)],
+            ["row", "vec_id", "x", "dim", "cell", "dist"],
         )
 
 
@@ -109,16 +119,17 @@ def blocks(batches: Iterator[pa.RecordBatch], dim: int, size: int) -> Iterator[p
         while at < len(cell):
             end = min(at + size, int(np.searchsorted(cell, cell[at], side="right")))
             part = batch.slice(at, end - at)
-            x = matrix(part.column("x").to_pylist(), dim)
+            x = matrix(part.column("x").to_pylist(), part.column("dim").to_pylist(), dim)
             dist = np.asarray(part.column("dist"))
-            kind = np.int8 if np.abs(x).max(initial=0) < 128 else np.int32
+            most = np.abs(x).max(initial=0)
+            kind = np.dtype("i1" if most < 128 else "<i4" if most < SMALL else "<f8")
             fields = {
                 "cell": pa.array([int(cell[at])], pa.int32()),
                 "near": pa.array([float(dist[0])]),
                 "far": pa.array([float(dist[-1])]),
                 "rows": pa.array([np.asarray(part.column("row")).astype("<i8").tobytes()]),
                 "ids": pa.array([np.asarray(part.column("vec_id")).astype("<i8").tobytes()]),
-                "width": pa.array([np.dtype(kind).itemsize], pa.int32()),
+                "width": pa.array([kind.itemsize], pa.int32()),
                 "values": pa.array([x.astype(kind).tobytes()]),
             }
             yield pa.RecordBatch.from_arrays(list(fields.values()), list(fields))
@@ -133,30 +144,88 @@ def best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return left[np.lexsort((ids[left], -scores[left]))][:k]
 
 
-def solve(batches: Iterator[pa.RecordBatch], dim: int, k: int, exact_in_float: bool) -> Iterator[pa.RecordBatch]:
-    kind = np.float64 if exact_in_float else np.int64
+def vectors_of(values: bytes, width: int, dim: int, kind: str) -> np.ndarray:
+    """Whole numbers as floats, longs or, where those might not hold the scores, numbers of any size."""
+    x = np.frombuffer(values, {1: "i1", 4: "<i4", 8: "<f8"}[width]).reshape(-1, dim)
+    if kind == "any":
+        return np.array([[int(v) for v in row] for row in x.tolist()], object).reshape(-1, dim)
+    return x.astype(kind)
+
+
+def scores_of(queries: np.ndarray, data: np.ndarray, kind: str) -> np.ndarray:
+    scores = queries @ data.T
+    return np.clip(scores, LEAST_LONG, MOST_LONG).astype(np.int64) if kind == "any" else scores.astype(np.int64)
+
+
+class Asked:
+    """A block of queries with the k best of each so far."""
+
+    def __init__(self, rows: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int, kind: str):
+        self.rows, self.ids, self.vectors, self.k, self.kind = rows, ids, vectors, k, kind
+        self.found: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64), np.zeros(0, np.int64))] * len(ids)
+        self.square = float((vectors.astype(np.float64) ** 2).sum(axis=1).max(initial=0))
+
+    def farthest(self, most_square: float) -> float:
+        """All neighbours still wanted are within this distance of their query."""
+        if any(len(scores) < self.k for scores, _ in self.found):
+            return math.inf
+        least = float(min(scores[-1] for scores, _ in self.found))
+        # |q - x|^2 = |q|^2 + M^2 - 2 q.x in the space with one more coordinate
+        within = math.sqrt(max(self.square + most_square - 2 * least, 0.0))
+        return within + 1e-6 * (1 + within)
+
+    def take(self, ids: np.ndarray, data: np.ndarray) -> None:
+        for start in range(0, len(self.ids), QUERIES_AT_ONCE):
+            scores = scores_of(self.vectors[start : start + QUERIES_AT_ONCE], data, self.kind)
+            for i, row in enumerate(scores, start):
+                old_scores, old_ids = self.found[i]
+                wanted = ids != self.ids[i]
+                if len(old_scores) == self.k:
+                    wanted &= row >= old_scores[-1]
+                others = np.flatnonzero(wanted)
+                if not len(others):
+                    continue
+                others = others[best(row[others], ids[others], self.k)]
+                all_scores, all_ids = np.append(old_scores, row[others]), np.append(old_ids, ids[others])
+                kept = best(all_scores, all_ids, self.k)
+                self.found[i] = all_scores[kept], all_ids[kept]
+
+    def rows_out(self) -> pa.RecordBatch:
+        sizes = [len(scores) for scores, _ in self.found]
+        columns = [
+            np.repeat(self.rows, sizes),
+            np.repeat(self.ids, sizes),
+            np.concatenate([ids for _, ids in self.found]),
+            np.concatenate([scores for scores, _ in self.found]),
+        ]
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["row", "query_id", "vec_id", "score"])
+
+
+def solve(batches: Iterator[pa.RecordBatch], dim: int, k: int, kind: str, most_square: float) -> Iterator[pa.RecordBatch]:
+    """Rows by block of queries and part: first the queries, then blocks of data by falling nearness."""
+    asked, at = None, None
     for batch in batches:
-        for pair in batch.to_pylist():
-            load = lambda side: np.frombuffer(pair[side + "values"], f"<i{pair[side + 'width']}").reshape(-1, dim).astype(kind)  # noqa: E731, B023
-            q_rows, q_ids, ids = (np.frombuffer(pair[c], "<i8") for c in ("q_rows", "q_ids", "ids"))
-            out: list[list] = [[], [], [], []]
-            data, queries = load("").T, load("q_")
-            for start in range(0, len(queries), 256):
-                scores = (queries[start : start + 256] @ data).astype(np.int64)
-                for i, row in enumerate(scores, start):
-                    others = np.flatnonzero(ids != q_ids[i])
-                    top = others[best(row[others], ids[others], k)]
-                    out[0] += [q_rows[i]] * len(top)
-                    out[1] += [q_ids[i]] * len(top)
-                    out[2] += ids[top].tolist()
-                    out[3] += row[top].tolist()
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], ["row", "query_id", "vec_id", "score"])
+        for i in range(batch.num_rows):
+            (row,) = batch.slice(i, 1).to_pylist()
+            if (row["asked"], row["part"]) != at:
+                if asked:
+                    yield asked.rows_out()
+                asked, at = None, (row["asked"], row["part"])
+            ids = np.frombuffer(row["ids"], "<i8")
+            if row["rows"] is not None:
+                vectors = vectors_of(row["values"], row["width"], dim, kind)
+                asked = Asked(np.frombuffer(row["rows"], "<i8"), ids, vectors, k, kind)
+            elif not row["gap"] > asked.farthest(most_square):
+                asked.take(ids, vectors_of(row["values"], row["width"], dim, kind))
+    if asked:
+        yield asked.rows_out()
 
 
 def needed(
     cells: Cells, radius: dict[int, float], shortest: dict[int, list[float]], k: int, ids: dict[int, list[int]] | None = None
 ) -> list[tuple]:
-    """(query cell, data cell, least, most): the distances to the data pivot that matter.
+    """(query cell, data cell, least, most, apart, radius): the distances to the data pivot that matter, that
+    between the pivots, and the radius of the queries.
 
     `ids` are those of the data in `shortest`; without them every entry is an id of its own."""
     apart = cells.apart()
@@ -172,7 +241,7 @@ def needed(
         within = float(reach[k]) if len(reach) > k else math.inf
         within += 1e-6 * (1 + within)
         for j in shortest:
-            pairs.append((i, j, float(apart[i, j] - r - within), float(apart[i, j] + r + within)))
+            pairs.append((i, j, float(apart[i, j] - r - within), float(apart[i, j] + r + within), float(apart[i, j]), float(r)))
     return pairs
 
 
@@ -188,10 +257,12 @@ def top_k(df: DataFrame, modulus: int = 20, k: int = 20, most_pivots: int = 256)
     if not n:
         return empty
     n_pivots = min(most_pivots, max(1, math.ceil(math.sqrt(n) / 8)))
-    picked = vectors.select("x", F.xxhash64("vec_id", "row").alias("h")).orderBy("h").limit(n_pivots).collect()
-    cells = Cells(matrix([bytes(r["x"]) for r in picked], dim), most_square)
-    kind = "row long, vec_id long, x binary, cell int, dist double"
-    base = vectors.select("row", "vec_id", "x")
+    if not math.isfinite(most_square * 4):
+        n_pivots, most_square = 1, math.inf  # distances say nothing: one cell, compared with all data
+    picked = vectors.select("x", "dim", F.xxhash64("vec_id", "row").alias("h")).orderBy("h").limit(n_pivots).collect()
+    cells = Cells(matrix([bytes(r["x"]) for r in picked], [r["dim"] for r in picked], dim), most_square)
+    kind = "row long, vec_id long, x binary, dim int, cell int, dist double"
+    base = vectors.select("row", "vec_id", "x", "dim")
     data = shelf.put(base.mapInArrow(lambda it: assign(it, cells, dim, True), kind), "data")
     queries = shelf.put(
         base.filter(F.col("vec_id") % modulus == 0).mapInArrow(lambda it: assign(it, cells, dim, False), kind), "queries"
@@ -207,7 +278,7 @@ def top_k(df: DataFrame, modulus: int = 20, k: int = 20, most_pivots: int = 256)
         ids.setdefault(r["cell"], []).append(r["vec_id"])
     if not radius:
         return empty
-    pairs = spark.createDataFrame(needed(cells, radius, shortest, k, ids), "q_cell int, cell int, least double, most double")
+    pairs = spark.createDataFrame(needed(cells, radius, shortest, k, ids), "q_cell int, cell int, least double, most double, apart double, radius double")
 
     def packed(rows: DataFrame, count: int, size: int) -> DataFrame:
         ordered = rows.repartitionByRange(max(1, math.ceil(count / (4 * BLOCK))), "cell", "dist", "vec_id", "row")
@@ -217,22 +288,48 @@ def top_k(df: DataFrame, modulus: int = 20, k: int = 20, most_pivots: int = 256)
         )
 
     data_blocks = shelf.put(packed(data, n, BLOCK), "data-blocks").drop("rows")
-    query_blocks = shelf.put(packed(queries, n // modulus, BLOCK // 4), "query-blocks")
-    asked = query_blocks.select(
-        *(F.col(c).alias(f"q_{c}") for c in ("cell", "rows", "ids", "width", "values"))
+    query_blocks = shelf.put(
+        packed(queries, n // modulus, BLOCK // 4).withColumn("asked", F.monotonically_increasing_id()), "query-blocks"
     )
-    tasks = max(1, math.ceil(n / BLOCK)) * max(1, math.ceil(n / modulus / BLOCK))
-    # one block of queries goes to the blocks of data it needs, and to no others
-    work = (
+    # few blocks of queries: the data of each go to several tasks
+    tasks = 2 * spark.sparkContext.defaultParallelism
+    parts = max(1, math.ceil(tasks / max(1, query_blocks.count())), math.ceil(n * dim * 4 / BYTES_PER_PART))
+    # one block of queries meets the blocks of data it needs, and no others; payloads join last
+    gap = F.greatest(F.col("near") - F.col("apart") - F.col("radius"), F.col("apart") - F.col("radius") - F.col("far"), F.lit(0.0))
+    wanted = (
         F.broadcast(pairs)  # at most most_pivots squared rows
+        .join(query_blocks.select("asked", F.col("cell").alias("q_cell")), "q_cell")
         .join(data_blocks, "cell")
-        .filter("near <= most AND far >= least")
-        .join(asked, "q_cell")
-        .select("q_rows", "q_ids", "q_width", "q_values", "ids", "width", "values")
-        .repartition(max(spark.sparkContext.defaultParallelism, tasks))
+        .filter("NOT (near > most OR far < least)")
+        .select(
+            "asked",
+            F.pmod(F.xxhash64("cell", "near", "ids"), F.lit(parts)).cast("int").alias("part"),
+            gap.alias("gap"),
+            F.lit(None).cast("binary").alias("rows"),
+            "ids",
+            "width",
+            "values",
+        )
+    )
+    asked = query_blocks.select(
+        "asked",
+        F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"),
+        F.lit(-1.0).alias("gap"),
+        "rows",
+        "ids",
+        "width",
+        "values",
+    )
+    work = (
+        asked.unionByName(wanted)
+        .repartition(max(tasks, query_blocks.count() * parts), "asked", "part")
+        .sortWithinPartitions("asked", "part", "gap")
+    )
+    bound = dim * max(1.0, most_square)
+    numbers = "float64" if bound < 1 << 53 else "int64" if bound < 1 << 62 else "any"
+    found = work.mapInArrow(
+        lambda it: solve(it, dim, k, numbers, most_square), "row long, query_id long, vec_id long, score long"
     )
-    squares_fit = dim * max(1.0, most_square) < 1 << 53
-    found = work.mapInArrow(lambda it: solve(it, dim, k, squares_fit), "row long, query_id long, vec_id long, score long")
     order = Window.partitionBy("row").orderBy(F.desc("score"), "vec_id")
     return (
         found.withColumn("rank", F.row_number().over(order))
