@@ -31,6 +31,8 @@ class Axis:
     take: Mapping[str, str]
     optional: bool = False
     derived: Mapping[str, str] = field(default_factory=dict)
+    #: Condition on the dimension; facts of its other rows are left out before they are grouped.
+    where: str | None = None
 
 
 SERVICE_TYPE = Axis("service_type_key", "service_type", {"service_type": "service_type"})
@@ -89,6 +91,12 @@ def star_groups(
     """Facts grouped by foreign keys and labelled; the label names; how to merge groups. With ``states``
     the rows are partial sums already (see ``operators.states``) instead of facts."""
     joined = [(axis, getattr(dims, axis.dimension)) for axis in axes]
+    for axis, dimension in joined:
+        if axis.where and dimension:
+            # on a partition column of the fact this also prunes what is read, at run time
+            chosen = dimension.frame.filter(axis.where).select(F.col(dimension.key).alias(axis.foreign_key))
+            chosen = F.broadcast(chosen) if dimension.broadcastable else chosen
+            fact = fact.join(chosen, axis.foreign_key, "left_semi")
     keys = [axis.foreign_key for axis, dimension in joined if dimension]
     for axis, dimension in joined:
         if dimension is None:  # labels that follow from the key itself

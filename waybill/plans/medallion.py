@@ -26,6 +26,7 @@ from waybill.operators.dimensions import (
     stored_dimensions,
 )
 from waybill.operators.fact import build_fact, union_all_types
+from waybill.operators.layout import clustered
 from waybill.operators.quality import landing_completeness, stored_contract
 from waybill.operators.silver import PARTITION_COLUMNS, standardize_silver
 from waybill.operators.sinks import create_schema, write_changed, write_table
@@ -46,6 +47,7 @@ from waybill.spec import RECORD_TYPES
 ZONE_TABLE = "taxi_zone_lookup"
 STATE_TABLE = "month_states"
 INGESTION = "dt_ingestion"
+FACT_CLUSTER = ("pickup_date_key", "pickup_zone_key")
 
 
 @dataclass(frozen=True)
@@ -67,6 +69,8 @@ class Medallion:
     valid_end: str | None = None
     #: Even file sizes in silver; by default wherever deduplication has mixed the months.
     rebalance: bool | None = None
+    #: Lay the fact out in so many ranges along date and pickup zone; by default as the tasks write it.
+    fact_ranges: int | None = None
 
     def dedup_of(self, taxi_type: str) -> bool:
         return self.dedup.get(taxi_type, False) if isinstance(self.dedup, Mapping) else self.dedup
@@ -187,10 +191,11 @@ def write_gold(spark: SparkSession, plan: Medallion, changed: Sequence[Mapping]
     }
     # The calendar spans exactly these trips, so the marts need no join with it.
     dims = replace(stored_dimensions(spark, plan.gold), date=None)
+    built = build_fact(union_all_types(silver), dims)
     trips = _write_gold_table(
         plan,
         "fact_trips",
-        build_fact(union_all_types(silver), dims),
+        clustered(built, FACT_CLUSTER, plan.fact_ranges) if plan.fact_ranges else built,
         ("service_type_key",),
         observe={str(key): F.count_if(F.col("service_type_key") == key) for key, *_ in fv.SERVICE_TYPE_ROWS},
     )
