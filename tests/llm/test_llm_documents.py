@@ -326,6 +326,21 @@ def test_packing(docs):
         assert at == 256 or n == len(windows) - 1
 
 
+@pytest.mark.parametrize("name, wordwise", [("word_bpe_49k.json", True), ("byte_bpe_50k.json", False)])
+def test_ids_are_those_of_the_tokenizer(name, wordwise):
+    """Whichever way a tokenizer is asked, the ids are its own."""
+    import numpy as np
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path(name)
+    tokenizer = Tokenizer.from_file(path)
+    assert packing.wordwise(tokenizer) == wordwise
+    texts = ["Hello World, two  spaces", "", "it's 12.5\n<|endoftext|> Ünïcode H\u0331", *(t or "" for _, t, _, _ in ODD)]
+    for text, blob in zip(texts, packing.token_bytes(path)(texts)):
+        assert np.frombuffer(blob, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
 @pytest.mark.parametrize("totals", [{0: 10_000, 1: 3, 2: 5000}, {0: 1}, {i: 7 * i + 1 for i in range(64)}, {0: 3, 1: 3}])
 def test_round_robin_serves_every_token_once_in_proportion(totals):
     robin = packing.RoundRobin(totals, 128)

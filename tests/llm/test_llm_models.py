@@ -209,6 +209,65 @@ def test_toxicity_of_odd_rows(spark):
     assert clean.count() == 5 and clean.columns == ["doc_id", "text"]
 
 
+def refitted(rows, truth):
+    """The same model over the same labelled rows, from dense matrices: id, text -> scores of all rows."""
+    word = re.compile(r"\w+")
+    stems = lambda words: words | {w[:5] + "*" for w in words if len(w) > 5}
+    words_of = lambda text: stems(set(word.findall((text or "").lower())))
+    taught = [(words_of(t), truth[i], t) for i, t in rows if i in truth and zlib.crc32(str(i).encode()) % 3 != 1]
+    n = Counter(y for _, y, _ in taught)
+    counts = {y: Counter(w for words, label, _ in taught if label == y for w in words) for y in (0, 1)}
+    z = {}
+    for w in counts[0].keys() | counts[1].keys():
+        bad, good = counts[1][w], counts[0][w]
+        if bad + good >= 3:
+            a, b, c, d = bad + 0.5, good + 0.5, n[1] - bad + 0.5, n[0] - good + 0.5
+            z[w] = abs(math.log(a * d / (b * c)) / math.sqrt(1 / a + 1 / b + 1 / c + 1 / d))
+    strong = sorted((w for w in z if z[w] >= 3.0), key=lambda w: (-z[w], w))[:4000]
+    columns = list(dict.fromkeys([*sorted({t for kind in toxicity.IDENTITY_TERMS for t in kind}), *strong]))
+    vector = lambda words: np.array([c in words for c in columns], float)
+    x, y = np.array([vector(words) for words, _, _ in taught]), np.array([label for _, label, _ in taught], float)
+    pairs = set()
+    for _, _, text in taught:
+        for sentence in re.findall(r"[^.!?\n]+", (text or "").lower()):
+            said = word.findall(sentence)
+            for kind in toxicity.IDENTITY_TERMS:
+                for old in kind:
+                    for new in kind:
+                        if old in said and new != old:
+                            swapped = [new if w == old else w for w in said]
+                            pairs.add(tuple(tuple(vector(stems(set(s)))) for s in (said, swapped)))
+    left, right = (np.array([p[i] for p in pairs]).reshape(-1, len(columns)) for i in (0, 1))
+    sigmoid = lambda v: 1 / (1 + np.exp(-v))
+    weights, bias = np.zeros(len(columns)), math.log(y.mean() / (1 - y.mean()))
+    first = second = np.zeros(len(columns) + 1)
+    for step in range(1, 401):
+        error = sigmoid(x @ weights + bias) - y
+        grad, rest = x.T @ error + 0.1 * weights, error.sum()
+        if len(pairs):
+            p, q = sigmoid(left @ weights + bias), sigmoid(right @ weights + bias)
+            pull = 20.0 * len(y) / len(pairs) * (p - q)
+            grad = grad + left.T @ (pull * p * (1 - p)) - right.T @ (pull * q * (1 - q))
+            rest += (pull * p * (1 - p) - pull * q * (1 - q)).sum()
+        grad = np.append(grad, rest) / len(y)
+        first, second = 0.9 * first + 0.1 * grad, 0.999 * second + 0.001 * grad**2
+        move = 0.3 / math.sqrt(1 + step / 20) * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
+        weights, bias = weights - move[:-1], bias - move[-1]
+    return [float(sigmoid(vector(words_of(t)) @ weights + bias)) for _, t in rows]
+
+
+def test_toxicity_against_a_refit(spark):
+    """All scores equal those of a model fitted anew from the same labelled rows, to rounding."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    long = spark.createDataFrame([(10**9, "plain words again " * 60_000)], "doc_id long, text string")
+    docs = docs.unionAll(long)
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    truth = {r.doc_id: r.toxic for r in labels.collect()}
+    rows = [tuple(r) for r in docs.collect()]
+    scores = {r.doc_id: r.score for r in toxicity.classify(docs, labels).collect()}
+    assert [scores[i] for i, _ in rows] == pytest.approx(refitted(rows, truth), abs=1e-4)
+
+
 def test_swaps_change_whole_words_only():
     terms = (("man", "woman"),)
     assert toxicity.swaps(["the", "man", "mans"], terms) == [["the", "woman", "mans"]]

@@ -22,6 +22,7 @@ columns are left out."""
 
 from __future__ import annotations
 
+import os
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -38,6 +39,12 @@ from waybill.llm.common import SPACE_CHARS, Shelf, pick, text_chunks, worker_cac
 WORDS_KEPT = 500_000
 CORES_KEPT = 600_000
 ENDINGS = ".,;:!?"
+# fixed values: how a tokenizer that may be asked word by word normalises and splits, as it describes itself
+WORDWISE_NORMALIZER = r'Sequence(normalizers=[NFC(), Replace(pattern=Regex("\s+"), content=" "), Lowercase()])'
+WORDWISE_SPLIT = (
+    r"""Sequence(pretokenizers=[Split(pattern=Regex("'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"), """
+    "behavior=Removed, invert=True), ByteLevel(add_prefix_space=False, trim_offsets=True, use_regex=False)])"
+)
 BROADCAST_ROWS = 200_000
 WINDOWS_PER_BLOCK = 256
 CELLS_PER_BLOCK = 1 << 15
@@ -91,14 +98,31 @@ class Words(dict):
         return found
 
 
+def wordwise(tokenizer) -> bool:
+    """Whether a text's ids are those of its words, as `Words` takes them apart."""
+    return (
+        str(tokenizer.normalizer) == WORDWISE_NORMALIZER
+        and str(tokenizer.pre_tokenizer) == WORDWISE_SPLIT
+        and tokenizer.model.end_of_word_suffix == "</w>"
+    )
+
+
 def token_bytes(path: str):
     """A function from texts to their ids as little-endian 32-bit numbers.
 
-    The tokenizer drops white space, never joins what white space separates, and splits letters
-    from punctuation. So words are looked up, and only unknown ones are encoded."""
+    A tokenizer that drops white space, never joins what white space separates, and splits letters
+    from punctuation is asked for unknown words only. Any other encodes whole texts."""
     held = worker_cache("packing " + path)
     if not held:
+        from tokenizers import Tokenizer
+
+        whole = Tokenizer.from_file(path)
+        held["whole"] = None if wordwise(whole) else whole
         held["words"] = Words(path)
+    if held["whole"]:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark owns the cores
+        encode_all = held["whole"].encode_batch
+        return lambda texts: [array("I", e.ids).tobytes() for e in encode_all(texts, add_special_tokens=False)]
     look_up = held["words"].__getitem__
 
     def encode(texts: list[str]) -> list[bytes]:
