@@ -1472,3 +1472,6 @@ def limit(spark, sf_dir):
 )
 def fact_trips(spark, sf_dir):
     return trips.fact(spark, sf_dir)
+
+
+from checks import growth  # noqa: E402, F401  (registers its queries here)
