@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from waybill.operators.fact import with_stable_keys
-from waybill.operators.numbering import with_row_numbers
+from waybill.operators.numbering import with_row_numbers, with_running_sums
 from waybill.operators.skew import hot_parts, rows_per_key, split_join
 from waybill.operators.staging import Shelf
 
@@ -75,6 +75,17 @@ def test_numbers_have_no_gaps(spark):
     assert with_row_numbers(df.filter("false"), [F.col("v")], "n", lambda d: shelf.put(d, "empty")).collect() == []
 
 
+def test_running_sums(spark):
+    shelf = Shelf(spark, "test-sums")
+    df = spark.range(2000).selectExpr("pmod(hash(id), 50) AS v", "id", "id % 7 AS n").repartition(6)
+    got = with_running_sums(df, [F.col("v"), F.col("id")], "n", "before", lambda d: shelf.put(d, "kept")).collect()
+    total = 0
+    for r in sorted(got, key=lambda r: (r["v"], r["id"])):
+        assert r["before"] == total
+        total += r["n"]
+    assert len(got) == 2000
+
+
 def test_stable_keys_of_a_hot_natural_key(spark):
     """A third of the trips share their natural key: their range is cut, their numbers are not."""
     df = spark.range(6000).selectExpr(

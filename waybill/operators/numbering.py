@@ -15,6 +15,33 @@ PLACE, BEFORE, TASK = "__place", "__before", "__task"
 PLACE_BITS = 33
 
 
+def with_running_sums(
+    df: DataFrame,
+    order_by: Sequence[Column],
+    value: str,
+    name: str,
+    keep: Callable[[DataFrame], DataFrame],
+) -> DataFrame:
+    """Adds `name`: the sum of `value` over all rows before this one in the given order, which should tell
+    all rows apart. Each range's own sums are one task's, so a range should hold no more than a task does."""
+    stored = keep(
+        df.repartitionByRange(*order_by).sortWithinPartitions(*order_by).withColumn(PLACE, F.monotonically_increasing_id())
+    ).withColumn(TASK, F.shiftright(PLACE, PLACE_BITS))
+    earlier = Window.orderBy(TASK).rowsBetween(Window.unboundedPreceding, -1)
+    before = (
+        stored.groupBy(TASK)
+        .agg(F.sum(value).alias("rows"))
+        .select(TASK, F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias(BEFORE))
+    )
+    within = Window.partitionBy(TASK).orderBy(PLACE).rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        stored.withColumn(name, F.coalesce(F.sum(value).over(within), F.lit(0)))
+        .join(F.broadcast(before), TASK)  # one row per partition
+        .withColumn(name, F.col(BEFORE) + F.col(name))
+        .drop(TASK, BEFORE, PLACE)
+    )
+
+
 def with_row_numbers(
     df: DataFrame,
     order_by: Sequence[Column],
