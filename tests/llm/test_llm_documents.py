@@ -326,6 +326,26 @@ def test_packing(docs):
         assert at == 256 or n == len(windows) - 1
 
 
+def test_sources_that_share_a_queue_are_served_in_proportion(given):
+    """At the end of every window each of them is as far as all of them, but for a document."""
+    source = {r["doc_id"]: r["source"] for r in given.collect()}
+    got = packing.pack(given, length=256, own_queues=4).collect()
+    rows = Counter(source.values())
+    large = sorted(rows, key=lambda s: (-rows[s], s))[:3]
+    total, largest = Counter(), 0
+    for r in got:
+        total[source[r.doc_id]] += r.length
+        largest = max(largest, r.doc_tokens)
+    shared = [s for s in total if s not in large]
+    everything, done = sum(total[s] for s in shared), Counter()
+    assert len(shared) > 10
+    for window in range(max(r.sequence_id for r in got) + 1):
+        for r in (r for r in got if r.sequence_id == window):
+            done[source[r.doc_id]] += r.length
+        share = sum(done[s] for s in shared) / everything
+        assert all(abs(done[s] - share * total[s]) <= 1.5 * largest for s in shared)
+
+
 @pytest.mark.parametrize("name, wordwise", [("word_bpe_49k.json", True), ("byte_bpe_50k.json", False)])
 def test_ids_are_those_of_the_tokenizer(name, wordwise):
     """Whichever way a tokenizer is asked, the ids are its own."""

@@ -3,15 +3,16 @@
 Every source is a queue of tokens; each window (a sequence of `length` tokens) serves all
 queues in turn, each with its target share of the window, and what a queue is owed in
 fractions of a token, or got too early, is carried to the next window. Shares are the shares
-of the corpus, so all queues end together and every token is packed. Every source has a queue
-of its own, unless the caller asks for `own_queues`: then the sources with most rows have
-`own_queues` - 1, and the others share the last one.
+of the corpus, so all queues end together and every token is packed. The `own_queues` - 1 sources with
+most rows have a queue each; the others, however many, share the last one, in which their documents
+stand in the order in which a round-robin over these sources has them due: a document whose middle
+is at a share x of its source's tokens comes at x.
 
 Carried deficits are not handed from task to task. Token j of a queue of T_s tokens falls due
 at the time (j + 1/2) / T_s, and the first n tokens of the output are the n that fall due first,
 larger queues first at the same time. So what queue s was served is a function of n alone that
 never falls, for any number of queues, and any partition can begin at any window with the
-exact deficits of that point. Driver and tasks hold one number per queue.
+exact deficits of that point. Driver and tasks hold one number per queue, of `own_queues` at most.
 
 Plan: one pass tokenizes and stages ids with each document's place in its queue within the
 task; sums per task and queue give the offsets; a second pass cuts. Texts never move.
@@ -35,6 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from waybill.llm.common import SPACE_CHARS, Shelf, pick, text_chunks, worker_cache
+from waybill.operators.numbering import with_running_sums
 
 WORDS_KEPT = 500_000
 CORES_KEPT = 600_000
@@ -48,6 +50,7 @@ WORDWISE_SPLIT = (
 BROADCAST_ROWS = 200_000
 WINDOWS_PER_BLOCK = 256
 CELLS_PER_BLOCK = 1 << 15
+OWN_QUEUES = 1024
 
 
 class Cores(dict):
@@ -146,13 +149,14 @@ def stage_ids(
     for batch in batches:
         for part in text_chunks(batch):
             blobs = [b + end for b in encode([t or "" for t in part.column("text").to_pylist()])]
-            queues, starts, counts = [], [], []
+            queues, starts, counts, shared = [], [], [], []
             for source, blob in zip(part.column("source").to_pylist(), blobs):
                 queue = queue_of.get(source, rest)
                 n = len(blob) // 4
                 queues.append(queue)
                 starts.append(so_far.get(queue, 0))
                 counts.append(n)
+                shared.append(None if queue < rest else "" if source is None else f"={source}")
                 so_far[queue] = so_far.get(queue, 0) + n
             yield pa.RecordBatch.from_arrays(
                 [
@@ -162,8 +166,9 @@ def stage_ids(
                     pa.array(starts, pa.int64()),
                     pa.array(counts, pa.int64()),
                     pa.array(blobs, pa.binary()),
+                    pa.array(shared, pa.string()),
                 ],
-                ["task", "queue", "doc_id", "local_start", "doc_tokens", "ids"],
+                ["task", "queue", "doc_id", "local_start", "doc_tokens", "ids", "shared"],
             )
 
 
@@ -254,8 +259,23 @@ def cut(batches: Iterator[pa.RecordBatch], totals: dict[int, int], length: int)
             )
 
 
+def shared_positions(staged: DataFrame, shelf: Shelf) -> DataFrame:
+    """task, local_start and position of the documents in the shared queue."""
+    rows = staged.filter("shared IS NOT NULL").select("task", "local_start", "doc_tokens", "shared")
+    totals = rows.groupBy("shared").agg(F.sum("doc_tokens").alias("total"))
+    # none of these sources has more than an equal part of what the large ones leave
+    earlier = Window.partitionBy("shared").orderBy("task", "local_start").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("doc_tokens").over(earlier), F.lit(0))
+    due = (F.col("before") + F.col("doc_tokens") / 2) / F.col("total")
+    timed = rows.withColumn("before", before).join(totals, "shared").select("task", "local_start", "doc_tokens", due.alias("due"))
+    order = [F.col(c) for c in ("due", "task", "local_start")]
+    return with_running_sums(timed, order, "doc_tokens", "position", lambda x: shelf.put(x, "due")).select(
+        "task", "local_start", "position"
+    )
+
+
 def pack(
-    df: DataFrame, tokenizer: str | None = None, length: int = 2048, end_id: int = 1, own_queues: int | None = None
+    df: DataFrame, tokenizer: str | None = None, length: int = 2048, end_id: int = 1, own_queues: int = OWN_QUEUES
 ) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
     path = tokenizer or public_tokenizers.path("word_bpe_49k.json")
@@ -264,12 +284,13 @@ def pack(
     docs = pick(df, "doc_id", "text", "source")
     id_type = docs.schema["doc_id"].dataType.simpleString()
     by_rows = docs.groupBy("source").count().orderBy(F.desc("count"), "source")
-    largest = (by_rows if own_queues is None else by_rows.limit(own_queues - 1)).collect()
-    queue_of = {row["source"]: i for i, row in enumerate(largest)}
+    largest = by_rows.limit(own_queues).collect()
+    some_share = len(largest) == own_queues
+    queue_of = {row["source"]: i for i, row in enumerate(largest[: own_queues - 1])}
     staged = shelf.put(
         docs.select("doc_id", "text", "source").mapInArrow(
             lambda it: stage_ids(it, path, end_id, queue_of),
-            f"task int, queue int, doc_id {id_type}, local_start long, doc_tokens long, ids binary",
+            f"task int, queue int, doc_id {id_type}, local_start long, doc_tokens long, ids binary, shared string",
         ),
         "ids",
     )
@@ -279,9 +300,13 @@ def pack(
     offsets = sums.select("task", "queue", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("offset"))
     if sums.count() <= BROADCAST_ROWS:
         offsets = F.broadcast(offsets)
-    placed = staged.join(offsets, ["task", "queue"]).select(
+    own = staged.filter("shared IS NULL") if some_share else staged
+    placed = own.join(offsets, ["task", "queue"]).select(
         "doc_id", "queue", (F.col("offset") + F.col("local_start")).alias("position"), "doc_tokens", "ids"
     )
+    if some_share:
+        together = staged.filter("shared IS NOT NULL").join(shared_positions(staged, shelf), ["task", "local_start"])
+        placed = placed.unionByName(together.select("doc_id", "queue", "position", "doc_tokens", "ids"))
     return placed.mapInArrow(
         lambda it: cut(it, totals, length),
         f"doc_id {id_type}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long",
