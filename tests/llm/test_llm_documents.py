@@ -62,6 +62,30 @@ def counted(rows):
     return Counter(tuple(r) for r in rows)
 
 
+def test_runs_are_merged_without_a_shuffle(spark, plan_of):
+    """Runs are compared and compacted bucket by bucket; only the batch's own lines are shuffled."""
+    shelf = line_dedup.Shelf(spark, "test-runs")
+    runs = line_dedup.LineRuns(shelf, threshold=3, fan_in=3)
+    before = {t.name for t in spark.catalog.listTables()}
+    batch = lambda n, k: spark.range(n).selectExpr(f"id % {k} AS h1", f"id % {k} * 7 AS h2")
+    for n, k in ((50, 20), (90, 30)):
+        runs.add(batch(n, k))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        anti, merged = runs.unsettled(batch(40, 40)), runs.merged(runs.runs())
+        assert plan_of(anti, executed=True).count("Exchange hashpartitioning") <= 2  # once more in the initial plan
+        assert "Exchange" not in plan_of(merged, executed=True) and plan_of(merged).count("SortMergeJoin") >= 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # 0 to 9 thrice in the first batch, all of 0 to 29 thrice in the second unless settled before
+    assert sorted(tuple(r) for r in anti.collect()) == [(i, 7 * i, 1) for i in range(30, 40)]
+    runs.add(batch(40, 40))
+    assert [len(level) for level in runs.levels] == [0, 1]  # three runs became one
+    found = {r.h1: r.n for r in runs.frequent().collect()}
+    assert found == {i: 5 if 10 <= i < 20 else 3 for i in range(30)}
+    assert {t.name for t in spark.catalog.listTables()} == before
+
+
 @pytest.mark.parametrize("threshold", [2, 10])
 def test_lines(docs, threshold):
     rows = plain(docs)
@@ -75,7 +99,7 @@ def test_lines(docs, threshold):
         kept = [x for x in lines if not key(x) or found[key(x)] < threshold]
         rest = "\n".join(kept)
         expected.append((doc, len(lines), len(lines) - len(kept), hashlib.sha256(rest.encode()).hexdigest(), rest))
-    got = line_dedup.dedup_lines(docs, threshold=threshold, batches=3)
+    got = line_dedup.dedup_lines(docs, threshold=threshold, least_batches=3)
     assert counted(got.collect()) == counted(expected)
 
 
