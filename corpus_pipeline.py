@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from waybill.llm import exact_dedup, packing, secrets, simhash, toxicity
 from waybill.llm.common import Shelf, pick
+from waybill.operators.staging import cleared_afterwards
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: The toxicity model and its threshold, the near-duplicate rule, the secrets' owners.
@@ -60,7 +61,12 @@ ORACLE_SQL = None  # classifier and tokenizer have no SQL; tests/llm compares wi
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     shelf = Shelf(spark, "pipeline")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before = None
     for name, stage in STAGES[:-1]:
-        docs = shelf.put(stage(spark, docs, sf_dir), name)
+        with cleared_afterwards():  # what a stage kept on its way goes once its rows are written
+            docs = shelf.put(stage(spark, docs, sf_dir), name)
+        if before:
+            shelf.drop(before)
+        before = name
     name, last = STAGES[-1]
     return last(spark, docs, sf_dir)

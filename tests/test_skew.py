@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from waybill.operators.fact import with_stable_keys
 from waybill.operators.numbering import with_row_numbers, with_running_sums
 from waybill.operators.skew import hot_parts, rows_per_key, split_join
-from waybill.operators.staging import Shelf
+from waybill.operators.staging import Shelf, cleared_afterwards
 
 
 @pytest.fixture(scope="module")
@@ -97,3 +97,20 @@ def test_stable_keys_of_a_hot_natural_key(spark):
     assert keyed.columns == df.columns
     assert Counter(r["trip_sk"] for r in keyed.collect()) == Counter(expected)
     assert {r["trip_sk"] for r in with_stable_keys(df.repartition(7)).collect()} == expected
+
+
+def test_shelves_are_cleared(spark):
+    """A block's shelves go with it, also when it fails; others stay."""
+    kept = Shelf(spark, "kept")
+    outside = kept.put(spark.range(3), "t")
+    with cleared_afterwards():
+        inner = Shelf(spark, "inner")
+        copied = kept.put(inner.put(spark.range(5), "t"), "copy")
+        with pytest.raises(ValueError), cleared_afterwards():
+            lost = Shelf(spark, "lost").put(spark.range(1), "t")
+            raise ValueError
+        with pytest.raises(Exception):
+            lost.count()
+    assert outside.count() == 3 and copied.count() == 5
+    with pytest.raises(Exception):
+        spark.read.parquet(f"{inner.root}/t").count()

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local: dict[str, str] = {}
+_collected: list[list[Shelf]] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -31,6 +34,8 @@ class Shelf:
     def __init__(self, spark: SparkSession, label: str):
         self.spark = spark
         self.root = f"{shared_folder(spark)}/waybill-{label}-{uuid.uuid4().hex[:12]}"
+        if _collected:
+            _collected[-1].append(self)
 
     def put(self, df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
         path = f"{self.root}/{name}"
@@ -39,8 +44,25 @@ class Shelf:
 
     def drop(self, *names: str) -> None:
         """Remove tables that no later plan reads."""
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         for name in names:
-            path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
-            path.getFileSystem(conf).delete(path, True)
+            self._remove(f"{self.root}/{name}")
+
+    def clear(self) -> None:
+        """Remove all tables, once nothing reads them any more."""
+        self._remove(self.root)
+
+    def _remove(self, place: str) -> None:
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(place)
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def cleared_afterwards() -> Iterator[None]:
+    """Shelves that come to be within the block are cleared at its end. What is to last must have been written
+    elsewhere by then, as frames over these shelves cannot be read any more."""
+    _collected.append([])
+    try:
+        yield
+    finally:
+        for shelf in _collected.pop():
+            shelf.clear()
