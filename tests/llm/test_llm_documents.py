@@ -350,6 +350,23 @@ def test_packing(docs):
         assert at == 256 or n == len(windows) - 1
 
 
+def test_packing_of_a_text_beyond_a_chunk(spark):
+    """A text longer than what is tokenized at once is packed whole."""
+    import numpy as np
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    text = "Some longer words, and more of them.\n" * 60_000
+    df = spark.createDataFrame([(1, text, "a"), (2, "short", "b")], "doc_id long, text string, source string")
+    ids = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json")).encode(text, add_special_tokens=False).ids
+    blob = np.array([*ids, 1], "<u4").tobytes()
+    at = 0
+    for r in sorted((r for r in packing.pack(df).collect() if r.doc_id == 1), key=lambda r: r.start):
+        assert r.start == at and r.ids_crc32 == zlib.crc32(blob[4 * at : 4 * (at + r.length)])
+        at += r.length
+    assert 4 * at == len(blob) > 1 << 20
+
+
 def test_sources_that_share_a_queue_are_served_in_proportion(given):
     """At the end of every window each of them is as far as all of them, but for a document."""
     source = {r["doc_id"]: r["source"] for r in given.collect()}
