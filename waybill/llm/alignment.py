@@ -26,8 +26,8 @@ import hashlib
 import os
 import re
 from collections import Counter
-from collections.abc import Iterator, Sequence
-from itertools import accumulate
+from collections.abc import Iterable, Iterator, Sequence
+from itertools import accumulate, count
 
 import public_tokenizers
 import pyarrow as pa
@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from waybill.llm.common import Shelf, pick, text_chunks, worker_cache
 
 #: Units kept are this many since the last change of generation, and those of the generation before.
-UNITS_KEPT = 200_000
+UNITS_KEPT = 300_000
 #: From so many links on a group's tokens are counted first.
 MANY_LINKS = 64
 #: Longer units are not kept.
@@ -55,48 +55,36 @@ SAFE_CUT = re.compile(r"(?<=\S)(?= \S)")
 
 #: n_a, n_b, n_groups, n_links, the groups as text, pairs, and their links unless there is one of each
 Aligned = tuple[int, int, int, int, str, tuple[int, ...], tuple[int, ...] | None]
-Tokens = tuple[list[int], list[int]]
 
 
-def groups_of(a_ids: Sequence[int], a_ends: Sequence[int], b_ids: Sequence[int], b_ends: Sequence[int]) -> Iterator:
-    """The id lists of both sides between common ends."""
-    in_a = {end: i for i, end in enumerate(a_ends, 1)}
-    in_b = {end: i for i, end in enumerate(b_ends, 1)}
-    a = b = 0
-    for end in sorted(in_a.keys() & in_b.keys()):
-        next_a, next_b = in_a[end], in_b[end]
-        yield a_ids[a:next_a], b_ids[b:next_b]
-        a, b = next_a, next_b
-
-
-def pair_code(a: int, b: int) -> int:
-    return a << 32 | b
-
-
-def aligned(a: Tokens, b: Tokens) -> Aligned:
+def aligned(a_ids: Sequence[int], a_ends: Iterable[int], b_ids: Sequence[int], b_ends: Iterable[int]) -> Aligned:
     """Ids and byte ends of both sides to groups and links."""
-    shown, pairs, n_links = [], [], 0
+    in_a, in_b = dict(zip(a_ends, count(1))), dict(zip(b_ends, count(1)))
+    shown, pairs, n_links, a, b = [], [], 0, 0, 0
     links: dict[int, int] = {}
-    for left, right in groups_of(*a, *b):
-        if len(left) == len(right) == 1:
-            shown.append(f"{left[0]}|{right[0]}")
-            pairs.append(left[0] << 32 | right[0])
+    for end in sorted(in_a.keys() & in_b.keys()):
+        next_a, next_b = in_a[end], in_b[end]
+        if next_a - a == next_b - b == 1:
+            shown.append(f"{a_ids[a]}|{b_ids[b]}")
+            pairs.append(a_ids[a] << 32 | b_ids[b])
             n_links += 1
-            continue
-        shown.append(f"{','.join(map(str, left))}|{','.join(map(str, right))}")
-        n_links += len(left) * len(right)
-        if len(left) * len(right) < MANY_LINKS:
-            pairs += [pair_code(x, y) for x in left for y in right]
-        else:  # a group of many equal tokens has few distinct pairs
-            times_right = Counter(right).items()
-            for x, n in Counter(left).items():
-                for y, m in times_right:
-                    links[pair_code(x, y)] = links.get(pair_code(x, y), 0) + n * m
+        else:
+            left, right = a_ids[a:next_a], b_ids[b:next_b]
+            shown.append(f"{','.join(map(str, left))}|{','.join(map(str, right))}")
+            n_links += len(left) * len(right)
+            if len(left) * len(right) < MANY_LINKS:
+                pairs += [x << 32 | y for x in left for y in right]
+            else:  # a group of many equal tokens has few distinct pairs
+                times_right = Counter(right).items()
+                for x, n in Counter(left).items():
+                    for y, m in times_right:
+                        links[x << 32 | y] = links.get(x << 32 | y, 0) + n * m
+        a, b = next_a, next_b
     if links or len(set(pairs)) < len(pairs):
-        for code in pairs:
-            links[code] = links.get(code, 0) + 1
-        return len(a[0]), len(b[0]), len(shown), n_links, ";".join(shown), tuple(links), tuple(links.values())
-    return len(a[0]), len(b[0]), len(shown), n_links, ";".join(shown), tuple(pairs), None
+        for pair in pairs:
+            links[pair] = links.get(pair, 0) + 1
+        return len(a_ids), len(b_ids), len(shown), n_links, ";".join(shown), tuple(links), tuple(links.values())
+    return len(a_ids), len(b_ids), len(shown), n_links, ";".join(shown), tuple(pairs), None
 
 
 class Aligner:
@@ -110,8 +98,12 @@ class Aligner:
         self.a = Tokenizer.from_file(a_path)
         self.a.encode_special_tokens = True
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        byte_of = {chr(b): b for b in plain}
-        byte_of |= {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in plain)}
+        self.letter_of = {b: chr(b) for b in plain}
+        self.letter_of |= {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in plain)}
+        byte_of = {letter: b for b, letter in self.letter_of.items()}
+        # only with this pre-tokenizer, which makes a word one piece, may words skip it
+        plain_words = str(self.a.pre_tokenizer).startswith("ByteLevel(add_prefix_space=False") and self.a.normalizer is None
+        self.is_word = re.compile(f" ?[{LETTERS}]+" if plain_words else r"(?!)").fullmatch
         special = {token.content for token in self.a.get_added_tokens_decoder().values()}
         self.a_bytes = {
             i: bytes(byte_of[c] for c in token) if token not in special else b"" for token, i in self.a.get_vocab().items()
@@ -127,30 +119,37 @@ class Aligner:
         self.splits = not any(B_SPACE in p.lstrip(B_SPACE) or "\n" in p or " " in p for p in ordinary)
         joined = re.compile(f"[{LETTERS}][{ENDINGS}]")
         self.unit = re.compile((UNITS if any(map(joined.search, ordinary)) else WORD_UNIT + UNITS))
-        self.a_size = {i: len(token) for i, token in self.a_bytes.items()}
-        self.b_size = [len(token) for token in self.b_bytes]
         self.known: dict[str, Aligned | None] = {}
         self.before: dict[str, Aligned | None] = {}
 
     def _align(self, a_ids: list[int], b_ids: list[int], expected: bytes) -> Aligned | None:
-        a_bytes, b_bytes = self.a_bytes.__getitem__, self.b_bytes.__getitem__
-        if b"".join(map(a_bytes, a_ids)) != expected or b"".join(map(b_bytes, b_ids)) != expected:
+        a_tokens, b_tokens = [self.a_bytes[i] for i in a_ids], [self.b_bytes[i] for i in b_ids]
+        if b"".join(a_tokens) != expected or b"".join(b_tokens) != expected:
             return None
-        a_ends = list(accumulate(map(self.a_size.__getitem__, a_ids)))
-        return aligned((a_ids, a_ends), (b_ids, list(accumulate(map(self.b_size.__getitem__, b_ids)))))
+        return aligned(a_ids, accumulate(map(len, a_tokens)), b_ids, accumulate(map(len, b_tokens)))
 
     def whole(self, text: str) -> Aligned | None:
         """The alignment of space + text; None where bytes are lost."""
         a_ids = self.a.encode(" " + text, add_special_tokens=False).ids
         return self._align(a_ids, self.b.encode(text), (" " + text).encode())
 
+    def _a_ids(self, units: list[str]) -> list[list[int]]:
+        """A word is one piece before A's merges, so it goes to the merges as the letters of its bytes."""
+        words = list(map(self.is_word, units))
+        others = iter(self.a.encode_batch([u for u, word in zip(units, words) if not word], add_special_tokens=False))
+        merged, letter_of = self.a.model.tokenize, self.letter_of
+        return [
+            [t.id for t in merged(u.encode().decode("latin-1").translate(letter_of))] if word else next(others).ids
+            for u, word in zip(units, words)
+        ]
+
     def learn(self, units: list[str]) -> None:
         """Align units. B sets a space before its text, so it gets a line feed before the unit;
         both come back as tokens of their own and are taken off."""
-        a = self.a.encode_batch(units, add_special_tokens=False)
-        for unit, in_a, b_ids in zip(units, a, self.b.encode(["\n" + u for u in units], num_threads=1)):
+        b = self.b.encode(["\n" + u for u in units], num_threads=1)
+        for unit, a_ids, b_ids in zip(units, self._a_ids(units), b):
             apart = [self.b_bytes[i] for i in b_ids[:2]] == [b" ", b"\n"]
-            self.known[unit] = self._align(in_a.ids, b_ids[2:], unit.encode()) if apart else None
+            self.known[unit] = self._align(a_ids, b_ids[2:], unit.encode()) if apart else None
 
     def segments(self, text: str) -> Iterator[list[str]]:
         """The units of space + text, about SEGMENT characters at a time."""
