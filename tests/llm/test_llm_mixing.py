@@ -71,7 +71,7 @@ def expected_of(rows, weights=(5, 2, 1), share=Fraction(3, 2), most=2, long_from
 
 def numbered(df, seed=0):
     chosen = pick(df, "doc_id", "text", "source")
-    return [tuple(r) for r in chosen.withColumn("u", mixing.uniform(seed, "doc_id", "text")).collect()]
+    return [tuple(r) for r in chosen.withColumn("u", mixing.uniform(seed)).collect()]
 
 
 def got(df):

@@ -35,7 +35,7 @@ from waybill.operators.numbering import with_row_numbers
 from waybill.operators.skew import split_join
 
 ROWS_PER_BUCKET = 20_000
-UNIFORM_BITS = 53
+UNIFORM_BITS = 52
 
 
 def word_count() -> Column:
@@ -44,9 +44,10 @@ def word_count() -> Column:
     return F.octet_length(F.translate(marked, " \t\n\x0b\x0c\r", "")).cast("long")
 
 
-def uniform(seed: int, *columns: str) -> Column:
-    """A number strictly between 0 and 1 from a hash."""
-    upper = F.shiftrightunsigned(F.xxhash64(F.lit(seed), *columns), 64 - UNIFORM_BITS)
+def uniform(seed: int) -> Column:
+    """A number strictly between 0 and 1 from a digest of seed, id and text."""
+    keyed = F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), text_or_empty())
+    upper = F.conv(F.substring(F.md5(keyed.cast("binary")), 1, UNIFORM_BITS // 4), 16, 10).cast("long")
     return (upper + F.lit(0.5)) * F.lit(2.0**-UNIFORM_BITS)
 
 
@@ -125,7 +126,7 @@ def mix(
             "source",
             F.coalesce(F.concat(F.lit("="), "source"), F.lit("")).alias("key"),
             word_count().alias("size"),
-            uniform(seed, "doc_id", "text").alias("u"),
+            uniform(seed).alias("u"),
         ),
         "docs",
     )
@@ -152,7 +153,7 @@ def mix(
             F.sum(F.when(e > F.floor(e), size * F.col("n"))).alias("at_stake"),
         )
     )
-    left_over = F.greatest(F.round("target").cast("long") - F.col("certain"), F.lit(0))
+    left_over = F.greatest(F.floor(F.col("target") + 0.5) - F.col("certain"), F.lit(0))
     # the usual inclusion odds of a source, by which ranks are spread evenly over the buckets
     usual = F.least(F.greatest(F.col("left") / F.col("at_stake"), F.lit(1e-6)), F.lit(1 - 1e-6))
     plan = shelf.put(

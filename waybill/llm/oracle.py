@@ -144,10 +144,60 @@ SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS IN
   SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM found
 ) WHERE part = 'pair' OR rank <= 50"""
 
+MIX = r"""
+WITH d AS (
+  SELECT doc_id, source, CASE WHEN source IS NULL THEN '' ELSE '=' || source END AS key,
+         CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+         (CAST('0x' || substr(md5('0:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')), 1, 13) AS BIGINT)
+          + 0.5::DOUBLE) / 4503599627370496::DOUBLE AS u
+  FROM documents
+), named AS (
+  SELECT key, source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY ALL
+), weighed AS (
+  SELECT *, [5::DOUBLE, 2::DOUBLE, 1::DOUBLE][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS weight,
+         2::DOUBLE * source_size AS cap, 1.5::DOUBLE * sum(source_size) OVER () AS total
+  FROM named
+), tried AS (
+  -- the level if all items that fill up earlier are full, and no others
+  SELECT *, cap / weight AS place,
+         (total - coalesce(sum(cap) OVER (ORDER BY cap / weight, key ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+           / sum(weight) OVER (ORDER BY cap / weight, key ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM weighed
+), target AS (
+  SELECT key, source_size,
+         least(weight * (SELECT max(level) FROM tried WHERE weight * level < cap), cap) AS target
+  FROM weighed
+), sized AS (
+  SELECT key, size, count(*) AS n, CAST(least(size, 4096) * count(*) AS DOUBLE) AS weight,
+         CAST(2 * size * count(*) AS DOUBLE) AS cap, any_value(target) AS target
+  FROM d JOIN target USING (key) WHERE size > 0 GROUP BY key, size
+), sized_tried AS (
+  SELECT *, (target - coalesce(sum(cap) OVER (PARTITION BY key ORDER BY cap / weight, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+           / sum(weight) OVER (PARTITION BY key ORDER BY cap / weight, size ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM sized
+), level AS (
+  SELECT key, max(level) FILTER (weight * level < cap) AS level FROM sized_tried GROUP BY key
+), copies AS (
+  SELECT key, size, n, least(coalesce(level, 1e18) * least(size, 4096) / size, 2::DOUBLE) AS e FROM sized JOIN level USING (key)
+), open AS (
+  SELECT key, greatest(CAST(floor(any_value(target) + 0.5) AS BIGINT) - CAST(sum(CAST(floor(e) AS BIGINT) * size * n) AS BIGINT), 0) AS words
+  FROM copies JOIN target USING (key) GROUP BY key
+), drawn AS (
+  SELECT d.doc_id, d.key, d.size, u / (1 - u) / ((e - floor(e)) / (1 - (e - floor(e)))) AS rank
+  FROM d JOIN copies USING (key, size) WHERE e > floor(e)
+), filled AS (
+  SELECT doc_id, greatest(least(size, words - coalesce(sum(size) OVER (PARTITION BY key ORDER BY rank, doc_id
+           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)), 0) AS extra
+  FROM drawn JOIN open USING (key)
+)
+SELECT doc_id, size, source_size, target, CAST(coalesce(floor(e), 0) * size + coalesce(extra, 0) AS BIGINT) AS taken
+FROM d JOIN target USING (key) LEFT JOIN copies USING (key, size) LEFT JOIN filled USING (doc_id)"""
+
 ORACLE = {
     "op2_line_dedup": LINES,
     "op5_secret_scan": SECRETS,
     "op6_exact_top_k": NEAREST,
     "op7_exact_dedup": COPIES,
     "op12_divergence": DIVERGENCE,
+    "op13_mixing": MIX,
 }
