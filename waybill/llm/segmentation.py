@@ -12,8 +12,8 @@ of probability p has the inclusion score 1 - exp(-p / exp(kappa)); its inverse w
 estimates.
 
 No piece joins what a space or line break separates, so the lattice of a text is a chain of word
-lattices. Those of a chunk's distinct words are built at once, and words of many texts walk
-theirs in step. Random numbers are hashes of seed, row key, draw and place: neither partitions
+lattices. Those of new words are built together and kept for the texts to come, and words of many
+texts walk theirs in step. Random numbers are hashes of seed, row key, draw and place: neither partitions
 nor batches matter.
 
 A merge model has ranks instead of weights; a piece of rank r then weighs 1 / (r + 2.7) (Zipf).
@@ -42,7 +42,11 @@ from waybill.llm.common import pick, text_chunks, worker_cache
 
 SPACE = "▁"
 UNITS = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
-CHUNK = 1 << 21
+CHUNK = 1 << 20
+#: Lattices are built for so many units at a time, and begun anew beyond so many edges.
+UNITS_AT_ONCE = 50_000
+EDGES_KEPT = 3_000_000
+ALL_BITS = (1 << 64) - 1
 GRID = 1 << 24
 SLOT_BITS = 21
 SLOT_SHIFT = np.uint64(64 - SLOT_BITS)
@@ -102,9 +106,93 @@ class Pieces:
         return h
 
 
+class Numbers(dict):
+    """Units to numbers in the order in which they are first asked for."""
+
+    def __init__(self):
+        self.new: list[str] = []
+
+    def __missing__(self, unit: str) -> int:
+        self.new.append(unit)
+        self[unit] = number = len(self)
+        return number
+
+
 class Lattices:
     """The lattices of some distinct words, side by side. Nodes are places between characters,
-    edges pieces (or characters without one: -1 - code point), sorted by their first node."""
+    edges pieces (or characters without one: -1 - code point), sorted by their first node.
+
+    Words are added as texts ask for their `numbers`; a process keeps them for the texts to come."""
+
+    def __init__(self, pieces: Pieces):
+        self.pieces, self.numbers = pieces, Numbers()
+        self.buffers: dict[str, np.ndarray] = {}
+        self.first = self.last = self.source = self.target = self.id = np.zeros(0, np.int64)
+        self.log_p = self.log_rest = self.ladder = np.zeros(0)
+        self.first_edge = self.degree = np.zeros(0, np.int64)
+
+    def words(self, units: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.numbers.__getitem__, units), np.int64, len(units))
+
+    def grow(self) -> None:
+        """Build the lattices of units that were numbered since."""
+        new, self.numbers.new = self.numbers.new, []
+        for i in range(0, len(new), UNITS_AT_ONCE):
+            built = Built(new[i : i + UNITS_AT_ONCE], self.pieces)
+            nodes, edges = len(self.degree), len(self.id)
+            for name in ("first", "last", "source", "target", "ladder"):
+                self._append(name, getattr(built, name) + nodes)
+            self._append("first_edge", built.first_edge + edges)
+            for name in ("id", "log_p", "log_rest", "degree"):
+                self._append(name, getattr(built, name))
+
+    def _append(self, name: str, values: np.ndarray) -> None:
+        """Arrays are the used part of buffers with some room, so that words cost what they are."""
+        used, buffer = len(getattr(self, name)), self.buffers.get(name)
+        needed = used + len(values)
+        if buffer is None or needed > len(buffer):
+            buffer = np.empty(needed + needed // 4, values.dtype)
+            buffer[:used] = getattr(self, name)
+            self.buffers[name] = buffer
+        buffer[used:needed] = values
+        setattr(self, name, buffer[:needed])
+
+    def drawn_edges(self, node: np.ndarray, u: np.ndarray) -> np.ndarray:
+        """The edge of each node on whose step of the ladder u falls. Nodes have few edges, and the last
+        step is above any u, so each is climbed from its first step."""
+        edge, wanted = self.first_edge[node], node + u
+        climbing = np.flatnonzero(self.ladder[edge] <= wanted)
+        while len(climbing):
+            edge[climbing] += 1
+            climbing = climbing[self.ladder[edge[climbing]] <= wanted[climbing]]
+        return edge
+
+    def walk(self, node: np.ndarray, last: np.ndarray, base: np.ndarray, seed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """From each node to the end of its word: the edges, one walk after the other, and
+        their number. `base` is the first node of the word."""
+        node = node.copy()
+        alive = np.flatnonzero(node != last)
+        steps = []
+        while len(alive):
+            here = node[alive]
+            h = mixed(seed[alive] + (here - base[alive]).astype(np.uint64) * PRIME)
+            u = (2 * (h >> np.uint64(41)) + np.uint64(1)).astype(np.float64) / GRID
+            edge = self.drawn_edges(here, u)
+            steps.append((alive, edge))
+            node[alive] = self.target[edge]
+            alive = alive[node[alive] != last[alive]]
+        count = np.zeros(len(node), np.int64)
+        for walkers, _ in steps:
+            count[walkers] += 1
+        out = np.empty(int(count.sum()), np.int64)
+        place = np.cumsum(count) - count
+        for i, (walkers, edge) in enumerate(steps):
+            out[place[walkers] + i] = edge
+        return out, count
+
+
+class Built:
+    """The lattices of some units, numbered from 0."""
 
     def __init__(self, units: list[str], pieces: Pieces):
         sizes = np.array([len(u) for u in units], np.int64)
@@ -149,8 +237,10 @@ class Lattices:
         ladder (node + cumulative probability) to draw edges from."""
         n_nodes = int(self.last[-1]) + 1 if len(self.last) else 0
         backward = np.zeros(n_nodes)
-        order = np.argsort(to_end, kind="stable")
-        bounds = np.searchsorted(to_end[order], np.arange(1, int(to_end.max(initial=0)) + 2))
+        most = int(to_end.max(initial=0))
+        # places in short words are sorted by their digits
+        order = np.argsort(to_end.astype(np.uint16) if most < 1 << 16 else to_end, kind="stable")
+        bounds = np.searchsorted(to_end[order], np.arange(1, most + 2))
         for a, b in zip(bounds, bounds[1:]):
             edges = order[a:b]
             if len(edges):
@@ -159,9 +249,11 @@ class Lattices:
                 backward[source[heads]] = np.logaddexp.reduceat(weight[edges] + backward[self.target[edges]], heads)
         self.log_p = np.minimum(weight + backward[self.target] - backward[self.source], 0.0)
         heads = np.flatnonzero(np.append(True, self.source[1:] != self.source[:-1])) if len(self.source) else np.zeros(0, int)
-        self.first_edge = np.zeros(n_nodes + 1, np.int64)
+        self.first_edge = np.zeros(n_nodes, np.int64)
         self.first_edge[self.source[heads]] = heads
         p = np.exp(self.log_p)
+        with np.errstate(divide="ignore"):  # a place without alternatives has no mass
+            self.log_rest = np.log1p(-np.minimum(p, 1.0))
         total = np.cumsum(p)
         sizes = np.diff(np.append(heads, len(p)))
         before = np.repeat(np.append(0, total)[heads], sizes)
@@ -173,29 +265,6 @@ class Lattices:
         self.degree = np.zeros(n_nodes, np.int64)
         self.degree[self.source[heads]] = sizes
 
-    def walk(self, node: np.ndarray, last: np.ndarray, base: np.ndarray, seed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """From each node to the end of its word: the edges, one walk after the other, and
-        their number. `base` is the first node of the word."""
-        node = node.copy()
-        alive = np.flatnonzero(node != last)
-        steps = []
-        while len(alive):
-            here = node[alive]
-            h = mixed(seed[alive] + (here - base[alive]).astype(np.uint64) * PRIME)
-            u = (2 * (h >> np.uint64(41)) + np.uint64(1)).astype(np.float64) / GRID
-            edge = np.searchsorted(self.ladder, here + u, side="right")
-            steps.append((alive, edge))
-            node[alive] = self.target[edge]
-            alive = alive[node[alive] != last[alive]]
-        count = np.zeros(len(node), np.int64)
-        for walkers, _ in steps:
-            count[walkers] += 1
-        out = np.empty(int(count.sum()), np.int64)
-        place = np.cumsum(count) - count
-        for i, (walkers, edge) in enumerate(steps):
-            out[place[walkers] + i] = edge
-        return out, count
-
 
 def mixed(h: np.ndarray) -> np.ndarray:
     """A well-mixed hash of whole numbers."""
@@ -204,12 +273,19 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def mixed_one(h: int) -> int:
+    """The same of one number."""
+    h &= ALL_BITS
+    h = (h ^ (h >> 30)) * 0xBF58476D1CE4E5B9 & ALL_BITS
+    h = (h ^ (h >> 27)) * 0x94D049BB133111EB & ALL_BITS
+    return h ^ (h >> 31)
+
+
 def uniform(seed: int, *parts: int) -> float:
     """Between 0 and 1, both excluded."""
-    key = np.array([seed], np.uint64)
     for part in parts:
-        key = mixed(key + np.array([part + 1], np.uint64) * PRIME)
-    return (float(key[0] >> np.uint64(12)) + 0.5) / (1 << 52)
+        seed = mixed_one(seed + (part + 1) * int(PRIME))
+    return (float(seed >> 12) + 0.5) / (1 << 52)
 
 
 def gumbel(u):
@@ -233,25 +309,29 @@ class Search:
     def __init__(self, seed: int, k: int):
         self.seed, self.k, self.heap, self.draws = seed, k, [], []
 
-    def add(self, draw: Draw, log_p: np.ndarray, number: int) -> None:
+    def add(self, draw: Draw, lattices: Lattices, number: int) -> None:
         """Split what is left of the set `draw` came from, and keep the parts that can matter."""
         self.draws.append(draw)
-        p = log_p[draw.edges]
+        p = lattices.log_p[draw.edges]
         before = np.cumsum(p) - p
         at = draw.leaves
-        with np.errstate(divide="ignore"):  # a place without alternatives has no mass
-            rest = np.log1p(-np.minimum(np.exp(p[at:]), 1.0))
+        rest = lattices.log_rest[draw.edges[at:]]
         barred = (*draw.barred, int(draw.edges[at])) if len(p) > at else ()
         if draw.barred:
-            left = 1 - math.fsum(math.exp(log_p[e]) for e in barred)
+            left = 1 - math.fsum(math.exp(lattices.log_p[e]) for e in barred)
             rest[0] = math.log(left) if left > 1e-12 else -math.inf
         mass = before[at:] + rest
-        key = mixed(np.array([self.seed], np.uint64) + np.array([number + 1], np.uint64) * PRIME)
-        h = mixed(key + np.arange(len(mass)).astype(np.uint64) * PRIME)
+        key = mixed_one(self.seed + (number + 1) * int(PRIME))
+        h = mixed(np.uint64(key) + np.arange(len(mass)).astype(np.uint64) * PRIME)
         noise = gumbel(((h >> np.uint64(12)).astype(np.float64) + 0.5) / (1 << 52)) + mass
         bound = draw.value - np.logaddexp(0.0, draw.value - noise)
         wanted = self.k + 1 - len(self.draws)
-        top = np.argpartition(-bound, wanted - 1)[:wanted] if len(bound) > wanted else np.arange(len(bound))
+        if len(bound) <= wanted:
+            top = range(len(bound))
+        elif wanted == 1:  # after the last draw only kappa is needed
+            top = [int(bound.argmax())]
+        else:
+            top = np.argpartition(-bound, wanted - 1)[:wanted]
         for j in top:
             if bound[j] > -math.inf:
                 heapq.heappush(self.heap, (-float(bound[j]), number, at + int(j), barred if j == 0 else (int(draw.edges[at + j]),)))
@@ -264,13 +344,14 @@ class Search:
         return -self.heap[0][0] if self.heap else -math.inf
 
 
-def sample_texts(texts: list[str], seeds: list[int], pieces: Pieces, k: int) -> tuple[Lattices, list[Search]]:
-    """The k draws of each text, all texts walking in step."""
-    split = [UNITS.findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
-    distinct = {u: i for i, u in enumerate(dict.fromkeys(u for units in split for u in units))}
-    lattices = Lattices(list(distinct), pieces)
+def sample_texts(
+    texts: list[str], seeds: list[int], pieces: Pieces, k: int, known: Lattices | None = None
+) -> tuple[Lattices, list[Search]]:
+    """The k draws of each text, all texts walking in step. Words that `known` lacks are added to it."""
+    lattices = Lattices(pieces) if known is None else known
+    words = [lattices.words(UNITS.findall(SPACE + t.replace(" ", SPACE)) if t else []) for t in texts]
+    lattices.grow()
     searches = [Search(seed, k) for seed in seeds]
-    words = [np.array([distinct[u] for u in units], np.int64) for units in split]
 
     def drawn(todo: list[tuple]) -> None:
         """todo: (text, prefix edges, prefix words, first word to walk, node or -1, value, leaves, barred)"""
@@ -295,7 +376,7 @@ def sample_texts(texts: list[str], seeds: list[int], pieces: Pieces, k: int) ->
             draw = Draw(
                 np.concatenate([prefix, edges[begin:end]]), np.concatenate([prefix_words, owner[begin:end]]), value, leaves, barred
             )
-            searches[i].add(draw, lattices.log_p, len(searches[i].draws))
+            searches[i].add(draw, lattices, len(searches[i].draws))
             begin = end
 
     none = np.zeros(0, np.int64)
@@ -331,15 +412,27 @@ def sample_texts(texts: list[str], seeds: list[int], pieces: Pieces, k: int) ->
 
 
 def uniform_key(seed: int, draw: int) -> int:
-    return int(mixed(np.array([seed], np.uint64) + np.array([draw + 7], np.uint64) * PRIME)[0])
+    return mixed_one(seed + (draw + 7) * int(PRIME))
 
 
 def piece_ids(edges: np.ndarray, lattices: Lattices, pieces: Pieces) -> np.ndarray:
     """Ids of the pieces; characters without a piece become bytes."""
     ids = lattices.id[edges]
-    if len(ids) and ids.min() < 0:
-        parts = [[i] if i >= 0 else [pieces.bytes[b] for b in chr(-1 - i).encode()] for i in ids.tolist()]
-        ids = np.array([x for part in parts for x in part], np.int64)
+    alone = np.flatnonzero(ids < 0)
+    if len(alone):
+        codes = -1 - ids[alone]
+        if (codes == codes[0]).all():  # mostly line feeds
+            codes, which = codes[:1], np.zeros(len(alone), np.int64)
+        else:
+            codes, which = np.unique(codes, return_inverse=True)
+        spelt = [[pieces.bytes[b] for b in chr(code).encode()] for code in codes.tolist()]
+        size, counts = np.array([len(x) for x in spelt])[which], np.ones(len(ids), np.int64)
+        counts[alone] = size
+        place = (np.cumsum(counts) - counts)[alone]
+        ids = np.repeat(ids, counts)
+        for i in range(int(size.max())):
+            there = size > i
+            ids[place[there] + i] = np.array([x[i] if len(x) > i else -1 for x in spelt])[which[there]]
     return ids.astype(np.int32)
 
 
@@ -352,11 +445,14 @@ def pieces_of(path: str) -> Pieces:
 
 def sample_rows(batches: Iterator[pa.RecordBatch], path: str, k: int, seed: int) -> Iterator[pa.RecordBatch]:
     pieces = pieces_of(path)
+    held = worker_cache("lattices " + path)
     for batch in batches:
         for part in text_chunks(batch, size=CHUNK):
+            if "known" not in held or len(held["known"].id) > EDGES_KEPT:
+                held["known"] = Lattices(pieces)
             texts = [t or "" for t in part.column("text").to_pylist()]
             seeds = [xxhash.xxh64_intdigest("" if d is None else str(d), seed) for d in part.column("doc_id").to_pylist()]
-            lattices, searches = sample_texts(texts, seeds, pieces, k)
+            lattices, searches = sample_texts(texts, seeds, pieces, k, held["known"])
             row, rank, values, logs, inclusion, ids = [], [], [], [], [], []
             for i, search in enumerate(searches):
                 kappa = search.kappa()
