@@ -144,12 +144,39 @@ def test_every_unit_teaches_every_order():
         ["mark", "unit", "n"],
     )
     hit = set()
-    for part in lm_scoring.context_counts(iter([batch])):
+    for part in lm_scoring.context_counts(iter([batch]), len(lm_scoring.ORDERS) - 1):
         for block, where in zip(part.column("block").to_pylist(), part.column("hit").to_pylist()):
             hit.update((block * lm_scoring.SLOTS_PER_BLOCK + np.frombuffer(where, "<u2").astype(int)).tolist())
     assert rare <= hit and not hasattr(lm_scoring, "TEACHERS")
 
 
+def test_orders_counted_apart_are_the_orders_of_all():
+    """Each order's counts hit exactly the slots that coding looks up for it."""
+    units = [b"word ", b"w\n", "größe ".encode(), b"a" * 40 + b" "]
+    bits = lm_scoring.Bits([0, 3, 17, 0], units)
+    batch = pa.RecordBatch.from_arrays([pa.array([0, 3, 17, 0], pa.int32()), pa.array(units), pa.array([1] * 4)], ["mark", "unit", "n"])
+    for at in range(len(lm_scoring.ORDERS)):
+        hit = {}
+        for part in lm_scoring.context_counts(iter([batch]), at):
+            for block, where, counts in zip(*(part.column(c).to_pylist() for c in ("block", "hit", "counts"))):
+                slots = block * lm_scoring.SLOTS_PER_BLOCK + np.frombuffer(where, "<u2").astype(int)
+                hit |= dict(zip(slots.tolist(), np.frombuffer(counts, "<f4").reshape(2, -1).T.tolist()))
+        expected = Counter((int(s), int(b)) for t in range(8) for s, b in zip(bits.slots[t][at], bits.bit[t]))
+        assert {(s, b): c[b] for s, c in hit.items() for b in (0, 1) if c[b]} == dict(expected)
+
+
+def test_words_beyond_a_group_are_coded_in_parts(spark):
+    """A word of several groups is all coded, each part as a unit of its own."""
+    size = lm_scoring.BYTES_AT_ONCE
+    word = b"ab" * size
+    parts = lm_scoring.cut_long(3, word)
+    assert [len(u) for _, u in parts] == [size, size] and b"".join(u for _, u in parts) == word and parts[0][0] == 3
+    rows = [(1, "short text"), (2, "ab" * size + " tail"), (3, "short text"), (4, "z" * 3 * size)]
+    got = {r.doc_id: r for r in lm_scoring.score(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1].score == got[3].score and all(math.isfinite(r.score) and r.score < 0 for r in got.values())
+    assert [got[i].n_tokens for i in (1, 2, 3, 4)] == [3, 3, 3, 2]
+
+
 def test_units_join_to_the_text():
     for text in ("a b\n\nc ", "", " x", "ä\tö", "no"):
         assert b"".join(lm_scoring.units_of(text)) == text.encode() + b"\xff"

@@ -29,6 +29,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -118,9 +119,9 @@ def count_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Bits:
-    """The bits of some units, with the slots of their contexts."""
+    """The bits of some units, with the slots of their contexts of the wanted orders."""
 
-    def __init__(self, marks: list[int], units: list[bytes]):
+    def __init__(self, marks: list[int], units: list[bytes], wanted: tuple[int, ...] = ORDERS):
         sizes = np.array([len(u) + 1 for u in units])
         flat = np.frombuffer(b"".join([bytes((m,)) + u for m, u in zip(marks, units)]), np.uint8)
         starts = np.cumsum(sizes) - sizes
@@ -132,12 +133,13 @@ class Bits:
         wide = flat.astype(np.uint64) + np.uint64(1)
         value = flat[at].astype(np.uint64)
         hashes, h = [], np.zeros(len(at), np.uint64)
-        for k in range(1, ORDERS[-1] + 1):
+        tables = [(bits, first) for k, bits, first in zip(ORDERS, BITS, FIRST_SLOT) if k in wanted]
+        for k in range(1, max(wanted) + 1):
             inside = depth >= k
             if inside.any():
                 longer = (h + wide[np.maximum(at - k, 0)]) * STEP
                 h = np.where(inside, longer ^ (longer >> np.uint64(29)), h)
-            if k in ORDERS:
+            if k in wanted:
                 salt = np.array([k], np.uint64) * MIX
                 hashes.append(h + salt if k < 3 else h + salt * (state + np.uint64(1)))
         self.slots, self.bit = [], []
@@ -147,7 +149,7 @@ class Bits:
             self.slots.append(
                 [
                     (((h ^ node) * STEP) >> np.uint64(64 - bits)).astype(np.int64) + first
-                    for h, bits, first in zip(hashes, BITS, FIRST_SLOT)
+                    for h, (bits, first) in zip(hashes, tables)
                 ]
             )
 
@@ -171,23 +173,27 @@ def cut_long(mark: int, unit: bytes) -> list[tuple[int, bytes]]:
     return [(mark if not i else 5 * STATES, unit[i : i + BYTES_AT_ONCE]) for i in range(0, len(unit), BYTES_AT_ONCE)]
 
 
-def context_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Zeros and ones seen per slot by this task, as blocks of the slots that were hit."""
-    table = np.zeros((2, SLOTS), np.float32)
+def context_counts(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[pa.RecordBatch]:
+    """Zeros and ones seen per slot of one order by this task, as blocks of the slots that were hit."""
+    first, slots = FIRST_SLOT[at], 1 << BITS[at]
+    table = np.zeros((2, slots), np.float32)
     for batch in batches:
         marks, units, n = rows_of(batch)
         for a, b in groups_of_units(marks, units):
-            bits = Bits(marks[a:b], units[a:b])
+            bits = Bits(marks[a:b], units[a:b], (ORDERS[at],))
             weight = n[a:b][bits.unit]
             for t in range(8):
-                for slots in bits.slots[t]:
-                    np.add.at(table.reshape(-1), slots + SLOTS * bits.bit[t].astype(np.int64), weight)
-    for block in range(math.ceil(SLOTS / SLOTS_PER_BLOCK)):
+                np.add.at(table.reshape(-1), bits.slots[t][0] - first + slots * bits.bit[t].astype(np.int64), weight)
+    for block in range(slots // SLOTS_PER_BLOCK):
         part = table[:, block * SLOTS_PER_BLOCK : (block + 1) * SLOTS_PER_BLOCK]
         hit = np.flatnonzero(part.any(axis=0)).astype("<u2")
         if len(hit):
             yield pa.RecordBatch.from_arrays(
-                [pa.array([block], pa.int32()), pa.array([hit.tobytes()]), pa.array([part[:, hit].astype("<f4").tobytes()])],
+                [
+                    pa.array([first // SLOTS_PER_BLOCK + block], pa.int32()),
+                    pa.array([hit.tobytes()]),
+                    pa.array([part[:, hit].astype("<f4").tobytes()]),
+                ],
                 ["block", "hit", "counts"],
             )
 
@@ -373,8 +379,18 @@ def score_rows(batches: Iterator[pa.RecordBatch], model, hot, name: str) -> Iter
             )
 
 
-def score(df: DataFrame, modulus: int = 7, held_out: int = 2, hot_tokens: int = 1 << 19, units_per_task: int = 2_000_000) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte."""
+def score(
+    df: DataFrame,
+    modulus: int = 7,
+    held_out: int = 2,
+    hot_tokens: int = 1 << 19,
+    units_per_task: int = 250_000,
+    units_per_count: int = 2_000_000,
+) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte.
+
+    Weights are learned from `units_per_task` words a task; contexts are counted order by order, from
+    `units_per_count` words a task, as every task's tables are to be shipped and summed."""
     spark = df.sparkSession
     shelf = Shelf(spark, "lm")
     docs = pick(df, "doc_id", "text").select("doc_id", (id_remainder(modulus) == held_out).alias("held_out"), "text")
@@ -398,11 +414,12 @@ def score(df: DataFrame, modulus: int = 7, held_out: int = 2, hot_tokens: int =
     # the same order whenever it is read, so that the online pass gives the same weights
     whole = units.repartition(max(1, math.ceil(n_units / units_per_task)), F.xxhash64("mark", "unit"))
     whole = whole.sortWithinPartitions(F.xxhash64("unit"), "mark", "unit")
-    blocks = (
-        whole.mapInArrow(context_counts, "block int, hit binary, counts binary")
-        .groupBy("block")
-        .applyInArrow(sum_block, "block int, counts binary")
-    )
+    counted = units.coalesce(max(1, math.ceil(n_units / units_per_count)))
+    of_orders = [
+        counted.mapInArrow(lambda it, at=at: context_counts(it, at), "block int, hit binary, counts binary")
+        for at in range(len(ORDERS))
+    ]
+    blocks = reduce(DataFrame.unionAll, of_orders).groupBy("block").applyInArrow(sum_block, "block int, counts binary")
     sc = spark.sparkContext
     counts = counts_table(shelf.put(blocks, "blocks").toLocalIterator())  # of a fixed size
     log_odds = log_odds_of(counts)
