@@ -87,8 +87,7 @@ ODD = (
 )
 
 
-@pytest.mark.parametrize("rows_per_bucket", [20_000, 3])
-@pytest.mark.parametrize("long_from", [4096, 3])
+@pytest.mark.parametrize("rows_per_bucket, long_from", [(2_000, 4096), (3, 3)])
 def test_odd_rows(spark, rows_per_bucket, long_from):
     df = spark.createDataFrame([(*r, "x", 3, 4) for r in ODD], KIND + ", Source string, size int, row int").repartition(3)
     mixed = mixing.mix(df, rows_per_bucket=rows_per_bucket, long_from=long_from)
