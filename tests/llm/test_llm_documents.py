@@ -173,6 +173,31 @@ def test_simhash_links_across_nodes(spark, tmp_path, monkeypatch):
     assert len(set(seen.values())) == len(seen)
 
 
+def test_simhash_many_small_nodes_share_tasks(spark, monkeypatch):
+    import numpy as np
+
+    from waybill.llm.common import Shelf
+
+    frame = type(spark.range(0))
+    by_range = frame.repartitionByRange
+    monkeypatch.setattr(frame, "repartitionByRange", lambda self, n, *c: by_range(self, 40, *c))
+    values = np.random.default_rng(3).integers(0, 1 << 63, 800, dtype=np.int64)
+    twins = np.concatenate([values, values ^ 5])
+    df = spark.createDataFrame([(int(x),) for x in twins], "fp long")
+    shelf = Shelf(spark, "test")
+    links = simhash.link_fingerprints(df, 3, shelf)
+    pairs = spark.read.parquet(f"{shelf.root}/pairs").count()
+    assert pairs > 400 and links.rdd.getNumPartitions() <= 4  # a task had four pairs
+    assert {tuple(sorted(r)) for r in links.collect()} == {tuple(sorted((int(x), int(x ^ 5)))) for x in values}
+
+
+def test_simhash_full_nodes_get_tasks_of_their_own():
+    full = simhash.LEAF
+    assert simhash.link_tasks(0, None, None) == 1
+    assert simhash.link_tasks(400, 400 * 2 * full, 400.0 * full * full) == 100
+    assert simhash.link_tasks(20000, 20000 * 2 * full, 20000.0 * full) >= 20000 / 64  # little to compare, much to read
+
+
 def test_gray_rank_orders_code_words():
     import numpy as np
 

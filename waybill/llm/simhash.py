@@ -11,7 +11,8 @@ longer patterns show.
 At the top the nodes are rows: a node meets others over the prefixes within `distance` bits of
 its own, an equi-join. The prefix grows with the logarithm of the entries, so node sizes stay
 as they are. Pairs of nodes are solved in tasks of their own, which return links that span what
-they found, not all pairs; components of all links follow. No list of fingerprints reaches
+they found, not all pairs; components of all links follow. Tasks are sized by the entries that
+their pairs hold and compare, so that many small nodes do not make many tasks. No list of fingerprints reaches
 the driver.
 
 Defined cases: a null text is the empty text; texts without words have fingerprint zero and
@@ -37,6 +38,10 @@ from waybill.llm.components import components
 LEAF = 8192
 GROUP = 64
 MOST_PREFIX_BITS = 24
+# what a task that links nodes has at most: pairs, entries read, pairs of entries compared
+PAIRS_PER_TASK = 512
+ENTRIES_PER_TASK = 64 * LEAF
+CELLS_PER_TASK = 4 * LEAF**2
 SEED = 42
 
 
@@ -95,7 +100,8 @@ def build_leaves(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.Re
     def node(prints: np.ndarray) -> tuple:
         mask, value = shared_bits(prints, np.array([0]))
         prefix = int(prints[0] >> shift) if bits else 0
-        return prefix, int(prints[0].view(np.int64)), int(mask.view(np.int64)[0]), int(value.view(np.int64)[0]), prints.tobytes()
+        shared = int(mask.view(np.int64)[0]), int(value.view(np.int64)[0])
+        return prefix, int(prints[0].view(np.int64)), *shared, len(prints), prints.tobytes()
 
     def rows(prints: np.ndarray, final: bool) -> tuple[list[tuple], np.ndarray]:
         prefixes = prints >> shift if bits else np.zeros(len(prints), np.uint64)
@@ -110,9 +116,9 @@ def build_leaves(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.Re
         return out, prints[at:]
 
     def table(found: list[tuple]) -> pa.RecordBatch:
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
         return pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(zip(*found), kinds)], ["prefix", "node", "mask", "value", "prints"]
+            [pa.array(c, k) for c, k in zip(zip(*found), kinds)], ["prefix", "node", "mask", "value", "n", "prints"]
         )
 
     rest = np.zeros(0, np.uint64)
@@ -171,6 +177,11 @@ def near_masks(bits: int, distance: int) -> list[int]:
     return [sum(1 << i for i in chosen) for k in range(min(bits, distance) + 1) for chosen in combinations(range(bits), k)]
 
 
+def link_tasks(pairs: int, entries: int | None, cells: float | None) -> int:
+    """Tasks for so many pairs of nodes, the entries in them and the pairs of entries to compare."""
+    return max(1, math.ceil(max(pairs / PAIRS_PER_TASK, (entries or 0) / ENTRIES_PER_TASK, (cells or 0) / CELLS_PER_TASK)))
+
+
 def link_fingerprints(prints: DataFrame, distance: int, shelf: Shelf) -> DataFrame:
     """Links (a, b) that connect the distinct fingerprints `fp` within `distance` bits."""
     n = prints.count()
@@ -190,10 +201,10 @@ def link_fingerprints(prints: DataFrame, distance: int, shelf: Shelf) -> DataFra
         .repartitionByRange(tasks, "rank")
         .sortWithinPartitions("rank")
         .select("fp")
-        .mapInArrow(lambda it: build_leaves(it, bits), "prefix long, node long, mask long, value long, prints binary"),
+        .mapInArrow(lambda it: build_leaves(it, bits), "prefix long, node long, mask long, value long, n long, prints binary"),
         "leaves",
     )
-    summary = leaves.select("prefix", "node", "mask", "value")
+    summary = leaves.select("prefix", "node", "mask", "value", "n")
     one = summary.select(*(F.col(c).alias(f"l_{c}") for c in summary.columns))
     reached = one.withColumn("flip", F.explode(F.lit(near_masks(bits, distance))))
     pairs = (
@@ -201,13 +212,13 @@ def link_fingerprints(prints: DataFrame, distance: int, shelf: Shelf) -> DataFra
         .join(summary, "prefix")
         .filter("l_node <= node")
         .filter(f"bit_count((l_value ^ value) & l_mask & mask) <= {distance}")
-        .select("l_node", "node")
+        .select("l_node", "node", "l_n", "n")
     )
     pairs = shelf.put(pairs, "pairs")
-    spread = max(1, math.ceil(pairs.count() / 4))
+    spread = link_tasks(*pairs.agg(F.count("*"), F.sum(F.col("l_n") + F.col("n")), F.sum(F.expr("double(l_n) * n"))).first())
     payload = leaves.select("node", "prints")
     joined = (
-        pairs.join(payload.select(F.col("node").alias("l_node"), F.col("prints").alias("left")), "l_node")
+        pairs.select("l_node", "node").join(payload.select(F.col("node").alias("l_node"), F.col("prints").alias("left")), "l_node")
         .join(payload.withColumnRenamed("prints", "right"), "node")
         .select("node", "l_node", "left", "right")
         .repartition(spread, "node", "l_node")
