@@ -195,6 +195,40 @@ def labelled(spark, rows):
     return docs, labels
 
 
+def test_lm_scores_do_not_depend_on_the_words_kept(monkeypatch):
+    from types import SimpleNamespace
+
+    rng = np.random.default_rng(2)
+    odds = rng.normal(size=lm_scoring.SLOTS).astype(np.float16)
+    weights = np.full((len(lm_scoring.ORDERS), lm_scoring.GATES), 0.3, np.float32)
+    refine = rng.uniform(0.1, 0.9, lm_scoring.GATES * lm_scoring.BUCKETS).astype(np.float32)
+    model = SimpleNamespace(value=(odds, weights, refine))
+    hot = SimpleNamespace(value=(np.zeros(0, np.uint64), np.zeros(1)))
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 40, 12)) for _ in range(60)]
+    batches = [
+        pa.record_batch([pa.array([i]), pa.array([False]), pa.array([text])], ["doc_id", "held_out", "text"]) for i, text in enumerate(texts)
+    ]
+    got = []
+    for kept in (1 << 20, 30, 0):
+        monkeypatch.setattr(lm_scoring, "UNITS_HELD", kept)
+        got.append([b.column("score")[0].as_py() for b in lm_scoring.score_rows(iter(batches), model, hot, f"test {kept}")])
+    assert got[1] == pytest.approx(got[0], rel=1e-6) and got[2] == pytest.approx(got[0], rel=1e-6)
+
+
+def test_lm_hot_tokens_reach_the_driver_packed(spark):
+    n = 3000  # counts 1 to 30, a hundred tokens each
+    hashed = spark.range(n).selectExpr("id % 30 + 1 AS n", "xxhash64(id) AS digest").repartition(3)
+    rows = {r.digest % (1 << 64): r.n for r in hashed.collect()}
+    for most in (0, 250, n, 2 * n):
+        digests, logs = lm_scoring.hot_table(hashed, most)
+        assert (np.diff(digests.astype(object)) > 0).all() and abs(len(digests) - min(n, most)) <= 60 * (0 < most < n)
+        got = {int(d): round(10**x - 1) for d, x in zip(digests, logs)}
+        assert got.items() <= rows.items() and {d for d, k in rows.items() if k > 30 - most // 100} <= got.keys()
+    packed = lm_scoring.hottest(hashed.coalesce(2), 2 * n).mapInArrow(lm_scoring.pack_tokens, "digests binary, counts binary")
+    assert packed.count() == 2  # a row per task, not per token
+    assert len(lm_scoring.hot_table(hashed.limit(0), 5)[0]) == 0
+
+
 def test_toxicity_on_unseen_rows(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")

@@ -14,10 +14,11 @@ by one shuffle over all training texts; the number of counted words grows with t
    word teaches every order; the tables do not grow, so slots of long contexts are shared.
 2. Weights and map: one online pass per task, each word predicted as if it had been seen once
    less than it was; tasks' results are averaged by the bits they saw.
-3. All texts are scored; a process keeps the scores of words it knows.
+3. All texts are scored; a process keeps the scores of words it met lately.
 
-The base score needs every token's count. The `hot_tokens` most frequent ones go to all tasks,
-the others are joined by shuffle.
+The base score needs every token's count. About `hot_tokens` of the most frequent ones go to all
+tasks, the others are joined by shuffle. Which these are is decided by how many tokens have each
+count; the driver gets them in packed arrays, 16 bytes a token.
 
 Defined cases: a null or empty text is the end token alone. A null id counts as the empty text
 in the split, so it is in training. Repeated rows are learned and scored each. Without training
@@ -334,10 +335,10 @@ def score_rows(batches: Iterator[pa.RecordBatch], model, hot, name: str) -> Iter
     held = worker_cache("lm scores")
     if held.get("name") != name:
         held.clear()
-        held |= {"name": name, "units": {}, "markers": {}}
+        held |= {"name": name, "units": {}, "before": {}, "markers": {}}
     log_odds, *mix = model.value
     hashes, log_counts = hot.value
-    scores, known = held["units"], held["markers"]
+    scores, before, known = held["units"], held["before"], held["markers"]
     log_of_end = float(log_counts[-1])  # the end token's entry is the last
     for batch in batches:
         for part in text_chunks(batch):
@@ -345,10 +346,12 @@ def score_rows(batches: Iterator[pa.RecordBatch], model, hot, name: str) -> Iter
             for text in part.column("text").to_pylist():
                 units = units_of(text)
                 rows.append(list(zip(markers(units, known), units)))
-            if len(scores) > UNITS_HELD:
-                scores.clear()
+            if len(scores) > UNITS_HELD // 2:  # what comes again among as many words stays
+                held["units"], held["before"] = scores, before = {}, scores
                 known.clear()
-            new = list(set().union(*rows).difference(scores))
+            wanted = set().union(*rows).difference(scores)
+            scores |= {k: before[k] for k in wanted if k in before}
+            new = list(wanted.difference(scores))
             pieces = [cut_long(m, u) for m, u in new]
             flat = [p for ps in pieces for p in ps]
             values = unit_scores([m for m, _ in flat], [u for _, u in flat], log_odds, *mix)
@@ -379,6 +382,34 @@ def score_rows(batches: Iterator[pa.RecordBatch], model, hot, name: str) -> Iter
             )
 
 
+def hottest(hashed: DataFrame, most: int) -> DataFrame:
+    """About `most` rows (n, digest) of the highest n: of those at the last n a share, by digest."""
+    left, least, room, ties = most, 0, 0, 1
+    # different counts add up to the corpus' words at most, so there are few of them
+    for row in hashed.groupBy("n").agg(F.count("*").alias("tokens")).orderBy(F.desc("n")).toLocalIterator():
+        if row["tokens"] > left:
+            least, room, ties = row["n"], left, row["tokens"]
+            break
+        left -= row["tokens"]
+    return hashed.filter((F.col("n") > least) | ((F.col("n") == least) & (F.pmod("digest", F.lit(ties)) < room)))
+
+
+def pack_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Digests and counts of many rows in two arrays a row."""
+    for batch in batches:
+        fields = [pa.array([np.asarray(batch.column(c)).astype("<i8").tobytes()]) for c in ("digest", "n")]
+        yield pa.RecordBatch.from_arrays(fields, ["digests", "counts"])
+
+
+def hot_table(hashed: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Digests in order, and log10(n + 1) of each."""
+    packed = hottest(hashed, most).select("digest", "n").mapInArrow(pack_tokens, "digests binary, counts binary").collect()
+    load = lambda c: np.concatenate([np.zeros(0, "<i8"), *(np.frombuffer(r[c], "<i8") for r in packed)])
+    digests = load("digests").view(np.uint64)
+    order = np.argsort(digests)
+    return digests[order], np.log10(load("counts").astype(np.float64) + 1)[order]
+
+
 def score(
     df: DataFrame,
     modulus: int = 7,
@@ -430,12 +461,8 @@ def score(
     model = sc.broadcast((log_odds, *joined_mixing(mixing)))
     del log_odds
 
-    hashed = tokens.select("n", F.xxhash64("token").alias("digest"))
-    top = hashed.orderBy(F.desc("n"), "digest").limit(hot_tokens).toPandas()
-    digests = top["digest"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(digests)
-    logs = np.log10(top["n"].to_numpy(np.float64) + 1)[order]
-    hot = sc.broadcast((digests[order], np.append(logs, math.log10(n_texts + 1))))
+    digests, logs = hot_table(tokens.select("n", F.xxhash64("token").alias("digest")), hot_tokens)
+    hot = sc.broadcast((digests, np.append(logs, math.log10(n_texts + 1))))
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     name = shelf.root
