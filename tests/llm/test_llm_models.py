@@ -338,3 +338,55 @@ def test_lm_scores_of_an_empty_table(spark, monkeypatch):
     empty = spark.createDataFrame([], "doc_id long, text string")
     monkeypatch.setattr(queries, "table", lambda s, d, t: empty)
     assert queries.QUERIES["op3_lm_scoring"](spark, SF).collect() == []
+
+
+def test_lm_marks_are_those_of_the_units_before():
+    """Marks, found over whole arrays, against a loop over the units of each text."""
+    ends = b" \t\n\x0b\x0c\r\xff"
+    texts = ["", None, " ", "\n", "a \n b.\n", "größe é\x0bü . ? !a", "日本 語\U0001f600 ok\n\n", "\x1c a b", "end.", " é", "q" * 70]
+    expected = []
+    for i, text in enumerate(texts):
+        mark = state = 0
+        for unit in lm_scoring.units_of(text):
+            expected.append((i, bytes((mark,)) + unit))
+            last, wide = unit[-2:-1], [c for c in unit.rstrip(ends).decode() if c >= "\x80"]
+            ending = 1 if unit.endswith(b"\n") else 2 if last.isalnum() or last >= b"\x80" else 3 if last in b".!?" else 4
+            state = 1 + ord(wide[-1]) % (lm_scoring.STATES - 1) if wide else state
+            mark = ending * lm_scoring.STATES + state
+    for array in (pa.array(texts), pa.array(["x", *texts])[1:]):
+        keys, text = lm_scoring.keys_of(array)
+        assert list(zip(text.tolist(), keys.to_pylist())) == expected
+
+
+def test_lm_bytes_after_the_same_beginning_are_one_node():
+    """A thousand words that begin alike cost about as many nodes as they differ in, not as they have bytes."""
+    units = [b"beginning" + str(i).encode() + b" " for i in range(1000)]
+    flat, sizes = lm_scoring.behind_marks([3] * 1000, b"".join(units), np.array([len(u) for u in units]))
+    nodes = lm_scoring.Nodes(flat, sizes)
+    beginnings = [b"\x03" + u[:i] for u in units for i in range(1, len(u) + 1)]
+    assert len(nodes.at) == len(set(beginnings)) < len(beginnings) / 5
+    place = {}
+    assert all(place.setdefault(b, n) == n for b, n in zip(beginnings, nodes.of.tolist())) and len(set(place.values())) == len(place)
+    batch = pa.RecordBatch.from_arrays([pa.array([3] * 1000, pa.int32()), pa.array(units), pa.array([2] * 1000)], ["mark", "unit", "n"])
+    parts = [lm_scoring.rows_of(b)[0].tobytes() for b in (batch.slice(0, 400), batch.slice(400))]
+    assert b"".join(parts) == flat.tobytes()
+
+
+def test_lm_hot_units_are_not_scored_again(monkeypatch):
+    from types import SimpleNamespace
+
+    rng = np.random.default_rng(4)
+    odds = rng.normal(size=lm_scoring.SLOTS).astype(np.float16)
+    weights = np.full((len(lm_scoring.ORDERS), lm_scoring.GATES), 0.3, np.float32)
+    refine = rng.uniform(0.1, 0.9, lm_scoring.GATES * lm_scoring.BUCKETS).astype(np.float32)
+    model = SimpleNamespace(value=(odds, weights, refine))
+    hot = SimpleNamespace(value=(np.zeros(0, np.uint64), np.zeros(1)))
+    units = pa.record_batch([pa.array([0, 2 * lm_scoring.STATES], pa.int32()), pa.array([b"some ", b"words "])], ["mark", "unit"])
+    packed = [r for b in lm_scoring.score_hot_units(iter([units]), model) for r in b.to_pylist()]
+    ready = SimpleNamespace(value=lm_scoring.unpacked(packed, "digests", "scores"))
+    batch = pa.record_batch([pa.array([1]), pa.array([False]), pa.array(["some words here"])], ["doc_id", "held_out", "text"])
+    scored, plain = [], lm_scoring.key_scores
+    monkeypatch.setattr(lm_scoring, "key_scores", lambda keys, m: scored.append(keys.to_pylist()) or plain(keys, m))
+    run = lambda *more: next(lm_scoring.score_rows(iter([batch]), model, hot, f"hot units {more}", *more)).column("score")[0].as_py()
+    assert run(ready) == pytest.approx(run(), rel=1e-9)
+    assert [len(x) for x in scored] == [1, 3] and scored[0] == [bytes((2 * lm_scoring.STATES,)) + b"here\xff"]
