@@ -436,13 +436,12 @@ def node_scores(nodes: Nodes, log_odds: np.ndarray, weights: np.ndarray, refine:
     halves = np.arange(1 << 16, dtype=np.uint16).view(np.float16).astype(np.float32)
     out = np.zeros(len(nodes.at))
     for part in nodes.slices():
-        total = np.ones(len(nodes.at[part]))
+        total = out[part]
         for t, (bit, found) in enumerate(nodes.bits(part)):
             inputs = [halves[table[slots]] for table, slots in zip(tables, found)]
             gate = gate_of(inputs, t)
             p = refined(mixed(inputs, gate, weights), gate, refine)
-            total *= np.where(bit == 1, p, 1 - p)  # at least 2 ** -128 after eight bits
-        out[part] = np.log10(total)
+            total += np.log10(np.where(bit == 1, p, 1 - p))
     return out
 
 
