@@ -173,8 +173,9 @@ def context_hashes(flat: np.ndarray, at: np.ndarray, depth: np.ndarray, state: n
     for k in range(1, max(wanted) + 1):
         inside = inside[depth[inside] >= k]
         if len(inside):
-            longer = (h[inside] + (flat[at[inside] - k].astype(np.uint64) + np.uint64(1))) * STEP
-            h[inside] = longer ^ (longer >> np.uint64(29))
+            rows = inside if len(inside) < len(at) else slice(None)
+            longer = (h[rows] + (flat[at[rows] - k].astype(np.uint64) + np.uint64(1))) * STEP
+            h[rows] = longer ^ (longer >> np.uint64(29))
         if k in wanted:
             salt = np.array([k], np.uint64) * MIX
             hashes.append(h + salt if k < 3 else h + salt * (state + np.uint64(1)))
@@ -354,10 +355,10 @@ LOGS = np.log(COUNTS + DELTA).astype(np.float32)
 
 
 def gate_of(inputs: list[np.ndarray], t: int) -> np.ndarray:
-    known = np.zeros(len(inputs[0]), np.int64)
+    known = np.zeros(len(inputs[0]), np.int8)
     for x in inputs:
         known += x != 0
-    return known * 8 + t
+    return known.astype(np.int64) * 8 + t
 
 
 def mixed(inputs: list[np.ndarray], gate: np.ndarray, weights: np.ndarray) -> np.ndarray:
@@ -407,7 +408,7 @@ def learn_mixing(batches: Iterator[pa.RecordBatch], counts) -> Iterator[pa.Recor
                 p = 1 / (1 + np.exp(-odds.astype(np.float64)))
                 error, curve = weight * (bit - p), weight * p * (1 - p)
                 curve += 0.01 * weight
-                for k, x in enumerate(inputs):
+                for k, x in enumerate(x.astype(np.float64) for x in inputs):
                     pull = np.bincount(gate, error * x, GATES)
                     bend = np.bincount(gate, curve * x * x, GATES) + 1.0
                     weights[k] = np.clip(weights[k] + 0.15 * pull / bend, -0.5, 2.0)
